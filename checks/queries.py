@@ -276,8 +276,8 @@ def _(spark, folder):
 
 @query("page_pairs_cut_sessions")
 def _(spark, folder):
-    """The same with every session above 1/1000 of the rows cut into pieces."""
-    return funnel.page_pairs(funnel.page_moves(_actions(spark, folder), hot_rows=2))
+    """The same with most sessions of several actions treated as hot, so that they are cut."""
+    return funnel.page_pairs(funnel.page_moves(_actions(spark, folder), hot_share=20_000, hot_rows=2))
 
 
 @query("page_flow_rates")

@@ -32,11 +32,6 @@ def json_field(text: Column, field: str) -> Column:
     return F.get_json_object(text, f"$.{field}")
 
 
-def id_list(text: Column) -> Column:
-    """``3,14,15`` -> array of bigint; null stays null, items that are no number become null."""
-    return F.transform(F.split(text, ","), lambda item: item.try_cast("bigint"))
-
-
 def distinct_list(item: Column, separator: str = ",") -> Column:
     """Aggregate: the distinct non-null values in order, joined to one text."""
     return F.array_join(F.array_sort(F.collect_set(item)), separator)

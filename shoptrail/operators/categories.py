@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.fixed_values import NOTHING, TOP_CATEGORIES, TOP_SESSIONS
-from shoptrail.functions.text import id_list
 from shoptrail.operators.ranking import top_per_group
 
 
@@ -23,8 +22,13 @@ def category_clicks(actions: DataFrame) -> DataFrame:
 
 
 def _listed(actions: DataFrame, column: str, count: str) -> DataFrame:
-    ids = actions.where(F.col(column).isNotNull()).select(F.explode(id_list(F.col(column))).alias("categoryid"))
-    return ids.where("categoryid IS NOT NULL").groupBy("categoryid").agg(F.count(F.lit(1)).alias(count))
+    ids = actions.where(F.col(column).isNotNull()).select(F.explode(F.split(column, ",")).alias("id"))
+    return _with_category(ids).groupBy("categoryid").agg(F.count(F.lit(1)).alias(count))
+
+
+def _with_category(ids: DataFrame) -> DataFrame:
+    """``id`` as a number; items of a list that are none (a comma too many) are dropped."""
+    return ids.withColumn("categoryid", F.col("id").try_cast("bigint")).where("categoryid IS NOT NULL")
 
 
 def category_orders(actions: DataFrame) -> DataFrame:
@@ -38,29 +42,21 @@ def category_pays(actions: DataFrame) -> DataFrame:
 def category_counts(actions: DataFrame) -> DataFrame:
     """Clicks, orders and payments of every category that has any of them.
 
-    One pass: each action gives its (kind, category) pairs, and one aggregation counts all kinds.
+    One pass: each action gives its lists of ids with their kind, and one aggregation counts all
+    kinds. Plain generators keep this in generated code, unlike functions over arrays.
     """
-
-    def tagged(kind: str, ids: Column) -> Column:
-        return F.transform(ids, lambda c: F.struct(F.lit(kind).alias("kind"), c.alias("categoryid")))
-
-    click = F.when(_clicked(), F.array("click_category_id"))
-    pairs = [
-        F.coalesce(tagged("click", click), F.array()),
-        F.coalesce(tagged("order", id_list(F.col("order_category_ids"))), F.array()),
-        F.coalesce(tagged("pay", id_list(F.col("pay_category_ids"))), F.array()),
-    ]
-    has_any = _clicked() | F.col("order_category_ids").isNotNull() | F.col("pay_category_ids").isNotNull()
+    click = F.when(_clicked(), F.col("click_category_id").cast("string"))
+    lists = {"click": click, "order": F.col("order_category_ids"), "pay": F.col("pay_category_ids")}
+    tagged = [part for kind, ids in lists.items() for part in (F.lit(kind), ids)]
+    ids = (
+        actions.select(F.stack(F.lit(len(lists)), *tagged).alias("kind", "ids"))
+        .where("ids IS NOT NULL")
+        .select("kind", F.explode(F.split("ids", ",")).alias("id"))
+    )
     return (
-        actions.where(has_any)
-        .select(F.inline(F.concat(*pairs)))
-        .where("categoryid IS NOT NULL")
+        _with_category(ids)
         .groupBy("categoryid")
-        .agg(
-            F.count_if(F.col("kind") == "click").alias("clickCount"),
-            F.count_if(F.col("kind") == "order").alias("orderCount"),
-            F.count_if(F.col("kind") == "pay").alias("payCount"),
-        )
+        .agg(*(F.count_if(F.col("kind") == kind).alias(f"{kind}Count") for kind in lists))
     )
 
 

@@ -24,7 +24,7 @@ def frequent_keys(df: DataFrame, key: str, share: int = HOT_SHARE, at_least: int
     """
     found = df.agg(
         F.count(F.lit(1)).alias("total"),
-        F.expr(f"approx_top_k(`{key}`, {share}, {16 * share})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {share}, {min(16 * share, 1_000_000)})").alias("top"),
     )
     return (
         found.select("total", F.explode("top").alias("top"))
