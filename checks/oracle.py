@@ -278,6 +278,16 @@ SELECT '{TASK}' AS taskid, user_id AS userid, session_id AS sessionid, page_id A
   order_category_ids AS "orderCategoryIds", order_product_ids AS "orderProductIds",
   pay_category_ids AS "payCategoryIds", pay_product_ids AS "payProductIds"
 FROM a WHERE session_id IN (SELECT session_id FROM sample)""",
+        "kept_actions": f"""WITH {_sessions(ALL_DAYS | FILTERS["age"] | FILTERS["sex"] | FILTERS["keyword"])}
+SELECT session_id, event_id, page_id, click_product_id, order_product_ids, pay_product_ids
+FROM a WHERE session_id IN (SELECT session_id FROM kept)""",
+        "session_category_counts": f"""WITH {_sessions(ALL_DAYS)},
+ids AS (SELECT session_id, click_category_id AS categoryid, 1 AS c, 0 AS o, 0 AS p FROM a WHERE click_category_id <> -1
+  UNION ALL SELECT session_id, CAST(unnest(string_split(order_category_ids, ',')) AS BIGINT), 0, 1, 0 FROM a
+  UNION ALL SELECT session_id, CAST(unnest(string_split(pay_category_ids, ',')) AS BIGINT), 0, 0, 1 FROM a)
+SELECT session_id, categoryid, CAST(sum(c) AS BIGINT) AS "clickCount", CAST(sum(o) AS BIGINT) AS "orderCount",
+  CAST(sum(p) AS BIGINT) AS "payCount"
+FROM ids WHERE session_id IN (SELECT session_id FROM kept) GROUP BY session_id, categoryid""",
         "category_clicks": f'{_categories()} SELECT categoryid, n AS "clickCount" FROM clicks',
         "category_orders": f'{_categories()} SELECT categoryid, n AS "orderCount" FROM orders_',
         "category_pays": f'{_categories()} SELECT categoryid, n AS "payCount" FROM pays',
@@ -293,9 +303,6 @@ SELECT '{TASK}' AS taskid, categoryid, sessionid, "clickCount" FROM ranked WHERE
 SELECT '{TASK}' AS taskid, string_agg(pair || '=' || coalesce(CAST(rate AS VARCHAR), 'null'), '|' ORDER BY step)
   AS "convertRate" FROM rates""",
         "action_gaps": _GAPS,
-        "frequent_sessions": f"""WITH {_actions(ALL_DAYS)}
-SELECT user_id FROM a GROUP BY user_id
-HAVING count(*) > (SELECT count(*) FROM a) / 1000 AND count(*) >= 10""",
         "area_product_clicks": f"{_AREA} SELECT * FROM ac",
         "area_products": f"{_AREA} SELECT * FROM ap",
         "area_products_sql": f"{_AREA} SELECT * FROM ap",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail import schemas
-from shoptrail.operators import ads, area, buckets, categories, funnel, gaps, sampling, sequence, sessions
+from shoptrail.operators import ads, area, buckets, categories, funnel, gaps, sampling, sessions
 from shoptrail.params import TaskParams
 from shoptrail.plans.area_job import area_products_in_sql
 from shoptrail.plans.session_job import run_session_job
@@ -88,12 +88,18 @@ def _cities(spark, folder) -> DataFrame:
     return retail.city_area(retail.read(spark, folder, "nation"), retail.read(spark, folder, "region"))
 
 
+def _actions_and_kept(spark, folder, task: dict = ALL_DAYS) -> tuple[DataFrame, DataFrame]:
+    actions = _actions(spark, folder, task)
+    return actions, sessions.kept_sessions(actions, _users(spark, folder), _params(task))
+
+
 def _kept(spark, folder, task: dict = ALL_DAYS) -> DataFrame:
-    return sessions.kept_sessions(_actions(spark, folder, task), _users(spark, folder), _params(task))
+    return _actions_and_kept(spark, folder, task)[1]
 
 
-def _kept_actions(spark, folder) -> DataFrame:
-    return sessions.actions_of(_actions(spark, folder), _kept(spark, folder))
+def _per_session(spark, folder) -> DataFrame:
+    actions, kept = _actions_and_kept(spark, folder)
+    return sessions.of_sessions(categories.session_category_counts(actions), kept)
 
 
 def _clicks(spark, folder) -> DataFrame:
@@ -119,7 +125,12 @@ def _ad_line_stream(spark, folder) -> DataFrame:
 @query("visit_actions_in_dates")
 def _(spark, folder):
     actions = _actions(spark, folder, SOME_DAYS)
-    return actions.withColumn("action_time", F.date_format("action_time", "yyyy-MM-dd HH:mm:ss"))
+    return actions.withColumns(
+        {
+            "date": F.date_format("date", "yyyy-MM-dd"),
+            "action_time": F.date_format("action_time", "yyyy-MM-dd HH:mm:ss"),
+        }
+    )
 
 
 @query("product_clicks")
@@ -193,54 +204,67 @@ def _(spark, folder):
 
 @query("session_sample")
 def _(spark, folder):
-    return sampling.session_sample(_actions(spark, folder), _kept(spark, folder), TASK, BIG_ALLOWANCE, SEED)
+    return sampling.session_sample(*_actions_and_kept(spark, folder), TASK, BIG_ALLOWANCE, SEED)
 
 
 @query("session_sample_two_days")
 def _(spark, folder):
-    return sampling.session_sample(
-        _actions(spark, folder, TWO_DAYS), _kept(spark, folder, TWO_DAYS), TASK, seed=SEED
-    )
+    return sampling.session_sample(*_actions_and_kept(spark, folder, TWO_DAYS), TASK, seed=SEED)
 
 
 @query("session_sample_detail")
 def _(spark, folder):
-    return sampling.sample_detail(_actions(spark, folder), _kept(spark, folder), TASK, BIG_ALLOWANCE, SEED)
+    return sampling.sample_detail(*_actions_and_kept(spark, folder), TASK, BIG_ALLOWANCE, SEED)
 
 
 # --- categories -----------------------------------------------------------------------------
 
 
+@query("kept_actions")
+def _(spark, folder):
+    """Actions per kept session, with filters."""
+    task = ALL_DAYS | FILTERS["age"] | FILTERS["sex"] | FILTERS["keyword"]
+    actions, kept = _actions_and_kept(spark, folder, task)
+    return sessions.of_sessions(actions, kept).select(
+        "session_id", "event_id", "page_id", "click_product_id", "order_product_ids", "pay_product_ids"
+    )
+
+
+@query("session_category_counts")
+def _(spark, folder):
+    return _per_session(spark, folder)
+
+
 @query("category_clicks")
 def _(spark, folder):
-    return categories.category_clicks(_kept_actions(spark, folder))
+    return categories.category_clicks(_per_session(spark, folder))
 
 
 @query("category_orders")
 def _(spark, folder):
-    return categories.category_orders(_kept_actions(spark, folder))
+    return categories.category_orders(_per_session(spark, folder))
 
 
 @query("category_pays")
 def _(spark, folder):
-    return categories.category_pays(_kept_actions(spark, folder))
+    return categories.category_pays(_per_session(spark, folder))
 
 
 @query("category_full_counts")
 def _(spark, folder):
-    return categories.category_counts(_kept_actions(spark, folder))
+    return categories.category_counts(_per_session(spark, folder))
 
 
 @query("category_top10")
 def _(spark, folder):
-    return categories.top_categories(categories.category_counts(_kept_actions(spark, folder)), TASK)
+    return categories.top_categories(categories.category_counts(_per_session(spark, folder)), TASK)
 
 
 @query("category_top10_sessions")
 def _(spark, folder):
-    actions, kept = _actions(spark, folder), _kept(spark, folder)
-    top = categories.top_categories(categories.category_counts(sessions.actions_of(actions, kept)), TASK)
-    return categories.top_category_sessions(actions, kept, top, TASK)
+    per_session = _per_session(spark, folder)
+    top = categories.top_categories(categories.category_counts(per_session), TASK)
+    return categories.top_category_sessions(per_session, top, TASK)
 
 
 @query("session_job")
@@ -295,12 +319,6 @@ def _(spark, folder):
     return gaps.action_gaps(_actions(spark, folder))
 
 
-@query("frequent_sessions")
-def _(spark, folder):
-    """Users with more than one row in 1,000 and at least ten rows (the sketch is exact for so few)."""
-    return sequence.frequent_keys(_actions(spark, folder), "user_id", 1000, 10)
-
-
 # --- areas ----------------------------------------------------------------------------------
 
 

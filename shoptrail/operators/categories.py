@@ -1,4 +1,8 @@
-"""Category popularity and the most active sessions of popular categories."""
+"""Category popularity and the most active sessions of popular categories.
+
+Everything here starts from counts per session and category. They are made before the join with
+the kept sessions, and both analyses can share them.
+"""
 
 from __future__ import annotations
 
@@ -9,55 +13,52 @@ from shoptrail.fixed_values import NOTHING, TOP_CATEGORIES, TOP_SESSIONS
 from shoptrail.operators.ranking import top_per_group
 
 
-def _clicked() -> Column:
-    return F.col("click_category_id") != NOTHING
+_KINDS = ("click", "order", "pay")
+
 
+def session_category_counts(actions: DataFrame) -> DataFrame:
+    """Clicks, orders and payments of each session on each category that it touched.
 
-def category_clicks(actions: DataFrame) -> DataFrame:
+    One pass: each action gives its lists of ids with their kind, and one aggregation counts all
+    kinds. Plain generators keep this in generated code, unlike functions over arrays. A session
+    of any size leaves a task as one row per category.
+    """
+    click = F.when(F.col("click_category_id") != NOTHING, F.col("click_category_id").cast("string"))
+    lists = zip(_KINDS, (click, F.col("order_category_ids"), F.col("pay_category_ids")))
+    tagged = [part for kind, ids in lists for part in (F.lit(kind), ids)]
     return (
-        actions.where(_clicked())
-        .groupBy(F.col("click_category_id").alias("categoryid"))
-        .agg(F.count(F.lit(1)).alias("clickCount"))
+        actions.select("session_id", F.stack(F.lit(len(_KINDS)), *tagged).alias("kind", "ids"))
+        .where("ids IS NOT NULL")
+        .select("session_id", "kind", F.explode(F.split("ids", ",")).alias("id"))
+        # An item that is no number (a comma too many) is dropped.
+        .select("session_id", "kind", F.col("id").try_cast("bigint").alias("categoryid"))
+        .where("categoryid IS NOT NULL")
+        .groupBy("session_id", "categoryid")
+        .agg(*(F.count_if(F.col("kind") == kind).alias(f"{kind}Count") for kind in _KINDS))
     )
 
 
-def _listed(actions: DataFrame, column: str, count: str) -> DataFrame:
-    ids = actions.where(F.col(column).isNotNull()).select(F.explode(F.split(column, ",")).alias("id"))
-    return _with_category(ids).groupBy("categoryid").agg(F.count(F.lit(1)).alias(count))
-
+def category_counts(per_session: DataFrame) -> DataFrame:
+    """Clicks, orders and payments of every category that has any of them."""
+    return per_session.groupBy("categoryid").agg(
+        *(F.sum(f"{kind}Count").alias(f"{kind}Count") for kind in _KINDS)
+    )
 
-def _with_category(ids: DataFrame) -> DataFrame:
-    """``id`` as a number; items of a list that are none (a comma too many) are dropped."""
-    return ids.withColumn("categoryid", F.col("id").try_cast("bigint")).where("categoryid IS NOT NULL")
 
+def _one_count(per_session: DataFrame, count: str) -> DataFrame:
+    return per_session.where(F.col(count) > 0).groupBy("categoryid").agg(F.sum(count).alias(count))
 
-def category_orders(actions: DataFrame) -> DataFrame:
-    return _listed(actions, "order_category_ids", "orderCount")
 
+def category_clicks(per_session: DataFrame) -> DataFrame:
+    return _one_count(per_session, "clickCount")
 
-def category_pays(actions: DataFrame) -> DataFrame:
-    return _listed(actions, "pay_category_ids", "payCount")
 
+def category_orders(per_session: DataFrame) -> DataFrame:
+    return _one_count(per_session, "orderCount")
 
-def category_counts(actions: DataFrame) -> DataFrame:
-    """Clicks, orders and payments of every category that has any of them.
 
-    One pass: each action gives its lists of ids with their kind, and one aggregation counts all
-    kinds. Plain generators keep this in generated code, unlike functions over arrays.
-    """
-    click = F.when(_clicked(), F.col("click_category_id").cast("string"))
-    lists = {"click": click, "order": F.col("order_category_ids"), "pay": F.col("pay_category_ids")}
-    tagged = [part for kind, ids in lists.items() for part in (F.lit(kind), ids)]
-    ids = (
-        actions.select(F.stack(F.lit(len(lists)), *tagged).alias("kind", "ids"))
-        .where("ids IS NOT NULL")
-        .select("kind", F.explode(F.split("ids", ",")).alias("id"))
-    )
-    return (
-        _with_category(ids)
-        .groupBy("categoryid")
-        .agg(*(F.count_if(F.col("kind") == kind).alias(f"{kind}Count") for kind in lists))
-    )
+def category_pays(per_session: DataFrame) -> DataFrame:
+    return _one_count(per_session, "payCount")
 
 
 def top_categories(counts: DataFrame, task_id: str, k: int = TOP_CATEGORIES) -> DataFrame:
@@ -72,26 +73,13 @@ def top_categories(counts: DataFrame, task_id: str, k: int = TOP_CATEGORIES) ->
 
 
 def top_category_sessions(
-    actions: DataFrame, sessions: DataFrame, top: DataFrame, task_id: str, k: int = TOP_SESSIONS
+    per_session: DataFrame, top: DataFrame, task_id: str, k: int = TOP_SESSIONS
 ) -> DataFrame:
-    """For each category in ``top`` the ``k`` kept sessions with most clicks on it.
-
-    Clicks are counted per category and session before the join with the kept sessions, so a
-    session with very many clicks is one row per category by then.
-    """
+    """For each category in ``top`` the ``k`` sessions with most clicks on it."""
     # ``top`` is the result of a top-k query: a handful of rows.
-    wanted = F.broadcast(top.select(F.col("categoryid").alias("click_category_id")))
-    clicks = (
-        actions.where(_clicked())
-        .join(wanted, "click_category_id", "left_semi")
-        .groupBy("click_category_id", "session_id")
-        .agg(F.count(F.lit(1)).alias("clickCount"))
-        .join(sessions.select("session_id"), "session_id", "left_semi")
-    )
-    ranked = top_per_group(clicks, ["click_category_id"], [F.desc("clickCount"), F.asc("session_id")], k)
+    wanted = F.broadcast(top.select("categoryid"))
+    clicks = per_session.where("clickCount > 0").join(wanted, "categoryid", "left_semi")
+    ranked = top_per_group(clicks, ["categoryid"], [F.desc("clickCount"), F.asc("session_id")], k)
     return ranked.select(
-        F.lit(task_id).alias("taskid"),
-        F.col("click_category_id").alias("categoryid"),
-        F.col("session_id").alias("sessionid"),
-        "clickCount",
+        F.lit(task_id).alias("taskid"), "categoryid", F.col("session_id").alias("sessionid"), "clickCount"
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shoptrail.fixed_values import NOTHING
 from shoptrail.functions.text import distinct_list, is_not_empty
 from shoptrail.functions.times import seconds_between
-from shoptrail.operators.sequence import action_order
+from shoptrail.operators.sequence import first_action_key
 from shoptrail.params import TaskParams
 
 
@@ -43,9 +43,8 @@ def session_rollup(actions: DataFrame, params: TaskParams | None = None) -> Data
     arrives as one row per task. Whether a session searched or clicked something that ``params``
     asks for is a flag of its own: filters need no list, and Catalyst then drops the two lists.
     """
-    order = F.struct(*action_order(actions))
     aggregates = {
-        "user_id": F.min_by("user_id", order),
+        "user_id": F.min_by("user_id", first_action_key(actions)),
         "start_time": F.min("action_time"),
         "end_time": F.max("action_time"),
         "step_length": F.count(F.lit(1)),
@@ -95,6 +94,10 @@ def kept_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> D
     )
 
 
-def actions_of(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Actions of the given sessions."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+def of_sessions(rows: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Rows (actions, or counts per session) of the given sessions.
+
+    Counts per session are better joined than actions: a session has few rows then, whatever its
+    size. With raw actions a very large session is left to adaptive execution's skew join.
+    """
+    return rows.join(sessions.select("session_id"), "session_id", "left_semi")

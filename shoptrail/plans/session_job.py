@@ -27,8 +27,8 @@ def run_session_job(
 ) -> str:
     """Run all four analyses and hand each result to ``write(df, table_name)``; returns the task id.
 
-    The kept sessions are used by every analysis, so they are computed once and staged without
-    their lists; the top categories feed the last analysis, so they are staged as well.
+    What several analyses use is computed once and staged: the kept sessions (without their lists),
+    their counts per category, and the top categories.
     """
     task_id = task_id or str(uuid.uuid4())
     actions = visit_actions(action_table, params)
@@ -40,11 +40,9 @@ def run_session_job(
         sampling.session_sample(actions, kept, task_id, allowance, seed=task_id),
         RESULT_TABLES["session_sample"],
     )
-    counts = categories.category_counts(sessions.actions_of(actions, kept))
-    top = stage(categories.top_categories(counts, task_id), "top-categories")
+    per_session = sessions.of_sessions(categories.session_category_counts(actions), kept)
+    per_session = stage(per_session, "session-categories")
+    top = stage(categories.top_categories(categories.category_counts(per_session), task_id), "top-categories")
     write(top, RESULT_TABLES["top_categories"])
-    write(
-        categories.top_category_sessions(actions, kept, top, task_id),
-        RESULT_TABLES["top_category_sessions"],
-    )
+    write(categories.top_category_sessions(per_session, top, task_id), RESULT_TABLES["top_category_sessions"])
     return task_id

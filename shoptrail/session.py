@@ -14,6 +14,7 @@ def build_session(name: str, cpus: int | str = 8, memory: str = "8g", **conf: st
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(cpus),
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shoptrail-warehouse-"),

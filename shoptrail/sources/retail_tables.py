@@ -26,12 +26,13 @@ def user_visit_action(events: DataFrame, params: TaskParams | None = None) -> Da
         )
     kind = F.col("event_type")
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("bigint")
-    day = F.to_date("ts").cast("string")
+    date = F.to_date("ts")
+    day = date.cast("string")
     # Sessions sit in one hour of the day, and hours are written without a leading zero.
     second = F.floor((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")) / 24).cast("int")
     hour = (F.col("user_id") % 23).cast("string")
     return events.select(
-        day.alias("date"),
+        date.alias("date"),
         "user_id",
         F.concat(F.col("user_id").cast("string"), F.lit("_"), F.replace(day, F.lit("-"), F.lit(""))).alias(
             "session_id"

@@ -12,7 +12,10 @@ from shoptrail.params import TaskParams
 
 
 def in_dates(table: DataFrame, params: TaskParams) -> DataFrame:
-    """Rows of the closed date range. On a table partitioned by ``date`` this prunes partitions."""
+    """Rows of the closed date range. On a table partitioned by ``date`` this prunes partitions.
+
+    ``date`` may be a date or text ``yyyy-MM-dd``; the bounds take its type.
+    """
     return table.where(F.col("date").between(params.start_date, params.end_date))
 
 

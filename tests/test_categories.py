@@ -1,6 +1,7 @@
 from builders import action, action_table
 from conftest import rows
 from shoptrail.operators import categories
+from shoptrail.operators.sessions import of_sessions
 from shoptrail.params import TaskParams
 from shoptrail.sources.tables import visit_actions
 
@@ -12,7 +13,7 @@ def scan(spark, actions):
 
 
 def counts(spark, actions):
-    return categories.category_counts(scan(spark, actions))
+    return categories.category_counts(categories.session_category_counts(scan(spark, actions)))
 
 
 def test_counts_of_each_kind(spark):
@@ -24,10 +25,10 @@ def test_counts_of_each_kind(spark):
         action(search_keyword="x"),
     ]
     assert rows(counts(spark, actions)) == [(1, 2, 0, 1), (2, 0, 2, 0), (3, 0, 2, 0), (4, 0, 0, 1)]
-    acts = scan(spark, actions)
-    assert rows(categories.category_clicks(acts)) == [(1, 2)]
-    assert rows(categories.category_orders(acts)) == [(2, 2), (3, 2)]
-    assert rows(categories.category_pays(acts)) == [(1, 1), (4, 1)]
+    per_session = categories.session_category_counts(scan(spark, actions))
+    assert rows(categories.category_clicks(per_session)) == [(1, 2)]
+    assert rows(categories.category_orders(per_session)) == [(2, 2), (3, 2)]
+    assert rows(categories.category_pays(per_session)) == [(1, 1), (4, 1)]
 
 
 def test_order_of_the_top(spark):
@@ -42,8 +43,8 @@ def test_order_of_the_top(spark):
 def test_ten_of_twelve_equal_sessions(spark):
     actions = [action(session=f"s{i:02}", event=i, click_category_id=1) for i in range(12)]
     actions += [action(session="s11", event=50, click_category_id=1), action(session="s01", click_category_id=2)]
-    acts = scan(spark, actions)
-    kept = acts.select("session_id").where("session_id <> 's00'").distinct()
-    top = categories.top_categories(categories.category_counts(acts), "t", 1)
-    got = [(r.sessionid, r.clickCount) for r in categories.top_category_sessions(acts, kept, top, "t").collect()]
+    kept = spark.createDataFrame([(f"s{i:02}",) for i in range(1, 12)], "session_id string")
+    per_session = of_sessions(categories.session_category_counts(scan(spark, actions)), kept)
+    top = categories.top_categories(categories.category_counts(per_session), "t", 1)
+    got = [(r.sessionid, r.clickCount) for r in categories.top_category_sessions(per_session, top, "t").collect()]
     assert sorted(got) == [(f"s{i:02}", 1) for i in range(1, 10)] + [("s11", 2)]

@@ -167,8 +167,8 @@ def test_long_form_agrees_with_wide_form(spark):
         assert wide[row["bucket"] + "_ratio"] == row["ratio"]
 
 
-def test_actions_of_sessions(spark):
+def test_rows_of_sessions(spark):
     params = TaskParams.from_dict(DAYS)
     actions = scan(spark, SESSIONS, params)
     chosen = spark.createDataFrame([("all",), ("age",)], "session_id string")
-    assert rows(sessions.actions_of(actions, chosen).select("event_id")) == [(1,), (2,), (3,), (4,)]
+    assert rows(sessions.of_sessions(actions, chosen).select("event_id")) == [(1,), (2,), (3,), (4,)]
