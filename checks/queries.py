@@ -404,7 +404,8 @@ _ONCE = {"availableNow": True}
 
 
 def _keyed(spark, label, schema, rule, keys, value=None) -> KeyedTable:
-    return KeyedTable(spark, new_folder(spark, label), schema, rule, keys, value)
+    day = "date" if "date" in schema.names else None
+    return KeyedTable(spark, new_folder(spark, label), schema, rule, keys, value, day)
 
 
 def _totals_table(spark) -> KeyedTable:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoptrail.storage import delete_folder, finished_folders
+from shoptrail.storage import delete_folder, finished_folders, matching_paths
 
 _BATCH = "batch_id"
 
@@ -78,18 +78,39 @@ class KeyedTable:
             .select(*self.schema.names, _BATCH)
         )
 
-    def current(self, before: int | None = None) -> DataFrame:
-        """The table's rows, or its rows before batch ``before`` was applied."""
-        rows = combine(self._read(self._live(before)[1]), self.rule, list(self.keys), self.value)
-        return rows.select(*self.schema.names)
+    def current(self, before: int | None = None, partitions: list[str] | None = None) -> DataFrame:
+        """The table's rows, or its rows before batch ``before`` was applied.
+
+        ``partitions`` restricts the read to some values of the partition column.
+        """
+        stored = self._read(self._live(before)[1])
+        if partitions is not None and self.partition:
+            stored = stored.where(F.col(self.partition).isin(*partitions))
+        return combine(stored, self.rule, list(self.keys), self.value).select(*self.schema.names)
 
     def batch(self, batch_id: int) -> DataFrame:
         """The rows that one batch wrote."""
         folder = self._folders("delta").get(batch_id)
         return self._read([folder] if folder else []).select(*self.schema.names)
 
+    def with_batch(self, batch_id: int, keys: list[str]) -> DataFrame:
+        """The table's rows after batch ``batch_id`` that share ``keys`` with the rows of that batch.
+
+        The days of a batch are known from its folders, so no other day is read.
+        """
+        days = None
+        if self.partition:
+            folder = f"{self.path}/kind=delta/{_BATCH}={batch_id}/{self.partition}=*"
+            days = [path.rsplit("=", 1)[1] for path in matching_paths(self.spark, folder)]
+        touched = self.batch(batch_id).select(*keys).distinct()
+        return self.current(batch_id + 1, days).join(touched, keys, "left_semi")
+
     def _write(self, rows: DataFrame, kind: str, batch_id: int) -> None:
-        writer = rows.select(*self.schema.names).write.mode("overwrite")
+        rows = rows.select(*self.schema.names)
+        if self.partition:
+            # Few files per day, and no day in one task only: adaptive execution splits large ones.
+            rows = rows.hint("rebalance", self.partition)
+        writer = rows.write.mode("overwrite")
         if self.partition:
             writer = writer.partitionBy(self.partition)
         writer.parquet(f"{self.path}/kind={kind}/{_BATCH}={batch_id}")

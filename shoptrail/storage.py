@@ -41,11 +41,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or ())
+
+
 def finished_folders(spark: SparkSession, pattern: str) -> list[str]:
     """Folders matching ``pattern`` whose Spark write has been committed."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(f.getPath().getParent().toString() for f in files or ())
+    return [path.rsplit("/", 1)[0] for path in matching_paths(spark, f"{pattern}/_SUCCESS")]
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:

@@ -92,9 +92,7 @@ def update_blacklist(tables: AdTables, batch_id: int, ban_above: int) -> None:
 
     Only counts that the batch touched are looked up, in one join with the count table.
     """
-    keys = ["date", "userid", "adid"]
-    touched = tables.user_counts.batch(batch_id).select(*keys)
-    counts = tables.user_counts.current(before=batch_id + 1).join(touched, keys, "left_semi")
+    counts = tables.user_counts.with_batch(batch_id, ["date", "userid", "adid"])
     tables.blacklist.apply(ads.users_to_ban(counts, ban_above), batch_id)
 
 

@@ -91,9 +91,7 @@ def start_province_top_ads(
 
 def rank_touched(totals: KeyedTable, top: KeyedTable, batch_id: int) -> None:
     """Replace the top ads of the days and provinces that batch ``batch_id`` of ``totals`` changed."""
-    touched = totals.batch(batch_id).select("date", "province").distinct()
-    changed = totals.current(before=batch_id + 1).join(touched, ["date", "province"], "left_semi")
-    top.apply(province_top_ads(changed), batch_id)
+    top.apply(province_top_ads(totals.with_batch(batch_id, ["date", "province"])), batch_id)
 
 
 def _start(updates: DataFrame, write, checkpoint: str, trigger: dict | None) -> StreamingQuery:
