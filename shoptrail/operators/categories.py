@@ -76,9 +76,7 @@ def top_category_sessions(
     per_session: DataFrame, top: DataFrame, task_id: str, k: int = TOP_SESSIONS
 ) -> DataFrame:
     """For each category in ``top`` the ``k`` sessions with most clicks on it."""
-    # ``top`` is the result of a top-k query: a handful of rows.
-    wanted = F.broadcast(top.select("categoryid"))
-    clicks = per_session.where("clickCount > 0").join(wanted, "categoryid", "left_semi")
+    clicks = per_session.where("clickCount > 0").join(top.select("categoryid"), "categoryid", "left_semi")
     ranked = top_per_group(clicks, ["categoryid"], [F.desc("clickCount"), F.asc("session_id")], k)
     return ranked.select(
         F.lit(task_id).alias("taskid"), "categoryid", F.col("session_id").alias("sessionid"), "clickCount"

@@ -1,4 +1,4 @@
-"""Top rows of each group, safe for groups of any size."""
+"""Top rows of each group, safe for groups of any size, and broadcasts of bounded results."""
 
 from __future__ import annotations
 
@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 _TRIMMED_BY_SPARK = 1000
 _SALTS = 256
 
+# Rows that a broadcast may have at most.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast ``df``, which has at most ``rows`` rows, unless that is too many; then Spark chooses."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
 
 def top_per_group(
     df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank"

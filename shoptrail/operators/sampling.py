@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoptrail.fixed_values import SAMPLE_ALLOWANCE
 from shoptrail.functions.times import date_hour, format_time
-from shoptrail.operators.ranking import top_per_group
+from shoptrail.operators.ranking import broadcast_up_to, top_per_group
 from shoptrail.operators.sessions import session_lists
 
 
@@ -75,7 +75,7 @@ def session_sample(
     not travel to one task.
     """
     # The quotas sum to ``allowance`` rows at most.
-    picked = F.broadcast(pick_sessions(sessions, allowance, seed))
+    picked = broadcast_up_to(pick_sessions(sessions, allowance, seed), allowance)
     values = (
         actions.join(picked, "session_id")
         .select("session_id", "start_time", "search_keyword", "click_category_id")
@@ -101,7 +101,7 @@ def sample_detail(
     seed: str = "0",
 ) -> DataFrame:
     """Every action of the sampled sessions."""
-    picked = F.broadcast(pick_sessions(sessions, allowance, seed).select("session_id"))
+    picked = broadcast_up_to(pick_sessions(sessions, allowance, seed).select("session_id"), allowance)
     return actions.join(picked, "session_id", "left_semi").select(
         F.lit(task_id).alias("taskid"),
         F.col("user_id").alias("userid"),

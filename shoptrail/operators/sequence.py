@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoptrail.operators.ranking import broadcast_up_to
+
 # A group is cut up if it holds more than one row in HOT_SHARE and at least HOT_ROWS rows.
 HOT_SHARE = 1000
 HOT_ROWS = 1_000_000
@@ -33,9 +35,8 @@ def frequent_keys(df: DataFrame, key: str, share: int = HOT_SHARE, at_least: int
     )
 
 
-def _matches(df: DataFrame, frequent: DataFrame, key: str, how: str) -> DataFrame:
-    # At most HOT_SHARE keys, so the broadcast has a fixed bound.
-    other = F.broadcast(frequent.withColumnRenamed(key, "_frequent"))
+def _matches(df: DataFrame, frequent: DataFrame, share: int, key: str, how: str) -> DataFrame:
+    other = broadcast_up_to(frequent.withColumnRenamed(key, "_frequent"), share)
     return df.join(other, F.col(key).eqNullSafe(F.col("_frequent")), how)
 
 
@@ -57,11 +58,11 @@ def add_neighbour(
     frequent = frequent_keys(df, key, hot_share, hot_rows)
 
     whole = Window.partitionBy(key).orderBy(*order)
-    ordinary = _matches(df, frequent, key, "left_anti").withColumns(
+    ordinary = _matches(df, frequent, hot_share, key, "left_anti").withColumns(
         {out: shift(source).over(whole) for source, out in columns.items()}
     )
 
-    pieces = _matches(df, frequent, key, "left_semi").repartitionByRange(key, *order)
+    pieces = _matches(df, frequent, hot_share, key, "left_semi").repartitionByRange(key, *order)
     pieces = pieces.withColumn("_piece", F.spark_partition_id())
     inside = Window.partitionBy(key, "_piece").orderBy(*order)
     pieces = pieces.withColumns(

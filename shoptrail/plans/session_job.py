@@ -11,7 +11,7 @@ from shoptrail.fixed_values import RESULT_TABLES, SAMPLE_ALLOWANCE
 from shoptrail.operators import buckets, categories, sampling, sessions
 from shoptrail.params import TaskParams
 from shoptrail.sources.tables import visit_actions
-from shoptrail.storage import stage
+from shoptrail.storage import Staging
 
 Write = Callable[[DataFrame, str], None]
 
@@ -27,22 +27,30 @@ def run_session_job(
 ) -> str:
     """Run all four analyses and hand each result to ``write(df, table_name)``; returns the task id.
 
+    ``write`` has to store the result at once: staged tables are deleted at the end.
     What several analyses use is computed once and staged: the kept sessions (without their lists),
     their counts per category, and the top categories.
     """
     task_id = task_id or str(uuid.uuid4())
     actions = visit_actions(action_table, params)
     kept = sessions.kept_sessions(actions, users, params)
-    kept = stage(kept.select("session_id", "start_time", "visit_length", "step_length"), "kept-sessions")
-
-    write(buckets.length_ratios(kept, task_id, bucket_limits), RESULT_TABLES["session_ratio"])
-    write(
-        sampling.session_sample(actions, kept, task_id, allowance, seed=task_id),
-        RESULT_TABLES["session_sample"],
-    )
-    per_session = sessions.of_sessions(categories.session_category_counts(actions), kept)
-    per_session = stage(per_session, "session-categories")
-    top = stage(categories.top_categories(categories.category_counts(per_session), task_id), "top-categories")
-    write(top, RESULT_TABLES["top_categories"])
-    write(categories.top_category_sessions(per_session, top, task_id), RESULT_TABLES["top_category_sessions"])
+    per_session = categories.session_category_counts(actions)
+
+    with Staging(action_table.sparkSession, "session-job") as staging:
+        kept = staging.table(
+            kept.select("session_id", "start_time", "visit_length", "step_length"), "kept-sessions"
+        )
+        write(buckets.length_ratios(kept, task_id, bucket_limits), RESULT_TABLES["session_ratio"])
+        write(
+            sampling.session_sample(actions, kept, task_id, allowance, seed=task_id),
+            RESULT_TABLES["session_sample"],
+        )
+        per_session = staging.table(sessions.of_sessions(per_session, kept), "session-categories")
+        counts = categories.category_counts(per_session)
+        top = staging.table(categories.top_categories(counts, task_id), "top-categories")
+        write(top, RESULT_TABLES["top_categories"])
+        write(
+            categories.top_category_sessions(per_session, top, task_id),
+            RESULT_TABLES["top_category_sessions"],
+        )
     return task_id

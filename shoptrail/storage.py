@@ -34,11 +34,23 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return the written table."""
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Staging:
+    """Tables that one run writes to the shared folder and deletes when it ends."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.folder = spark, new_folder(spark, label)
+
+    def __enter__(self) -> "Staging":
+        return self
+
+    def __exit__(self, *error) -> None:
+        delete_folder(self.spark, self.folder)
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once and return the written table."""
+        path = f"{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from builders import action, action_table, user, user_table
 from conftest import rows
@@ -10,7 +12,7 @@ from shoptrail.plans.session_job import run_session_job
 from shoptrail.sinks.jdbc import jdbc_options
 from shoptrail.sinks.tables import register_views, replace_table
 from shoptrail.sources.tables import user_info
-from shoptrail.storage import new_folder, stage
+from shoptrail.storage import Staging, new_folder
 
 from pyspark.sql import functions as F
 
@@ -73,9 +75,12 @@ def test_replace_table(spark, tmp_path):
 
 
 def test_staged_tables_are_in_the_shared_folder(spark):
-    df = stage(spark.range(5), "five")
     shared = spark.conf.get("spark.checkpoint.dir")
-    assert df.count() == 5 and all(shared in f for f in df.inputFiles())
+    with Staging(spark, "test") as staging:
+        df = staging.table(spark.range(5), "five")
+        assert df.count() == 5 and all(shared in f for f in df.inputFiles())
+        assert os.path.exists(staging.folder)
+    assert not os.path.exists(staging.folder)
     assert new_folder(spark, "x") != new_folder(spark, "x")
 
 
