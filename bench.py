@@ -1,7 +1,8 @@
 """Times the headline queries and prints one JSON line.
 
 ``BENCH_SF_DIR`` (default ``/root/testdata/sf0.1``) holds the tables, ``BENCH_CPUS`` (default 8) is
-the number of local cores. Each query runs once to warm up, then three times; the median counts.
+the number of local cores. All queries run once to warm up, then each runs three times;
+the median counts.
 """
 
 from __future__ import annotations
@@ -45,9 +46,10 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", cpus)
     queries = all_queries()
-    times = {}
     for name in HEADLINE:
         seconds(queries[name], spark, folder)
+    times = {}
+    for name in HEADLINE:
         times[name] = round(statistics.median(seconds(queries[name], spark, folder) for _ in range(3)), 3)
     print(
         json.dumps(

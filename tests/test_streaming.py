@@ -98,6 +98,14 @@ def test_replayed_batches_change_nothing(spark, tmp_path):
     expect_job_tables(spark, tables)
 
 
+def test_batches_without_any_click(spark, tmp_path):
+    tables = AdTables.below(spark, str(tmp_path / "out"), fold_every=1)
+    pieces = [["broken line"], PIECES[0], [ad_line(user=1)] * 5, PIECES[1], ["another"], PIECES[2]]
+    for batch_id, piece in enumerate(pieces):
+        process_batch(all_clicks(spark, [piece]), batch_id, tables, BAN_ABOVE)
+    expect_job_tables(spark, tables)
+
+
 def test_running_totals_equal_the_batch_result(spark, inbox, tmp_path):
     folder, add = inbox
     keys = ("date", "province", "city", "adid")
