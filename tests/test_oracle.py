@@ -4,12 +4,15 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import differences
+from checks.oracle import all_oracles
+from checks.queries import all_queries
 
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= queries().keys() and ORACLES.keys() <= oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
