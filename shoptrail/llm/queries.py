@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import byte_bpe, chat_format, html_extract, license_scan, quality_classifier, quality_rules, simhash, token_counts
+from shoptrail.llm import byte_bpe, chat_format, decontaminate, html_extract, license_scan, quality_classifier, quality_rules, simhash, token_counts
 from shoptrail.llm.common import delete_at_end, read
 from shoptrail.storage import new_folder
 
@@ -61,11 +61,17 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (quality_classifier.fold_of("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents only, with the items that they overlap."""
+    found = decontaminate.find_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.withColumn("contaminated", F.lit(True))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(read(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_license_scan, op3_quality_rules, op4_byte_bpe, op5_token_counts, op6_simhash, op7_chat_format, op8_quality_classifier, op10_html_extraction)
+    f.__name__: f for f in (op2_license_scan, op3_quality_rules, op4_byte_bpe, op5_token_counts, op6_simhash, op7_chat_format, op8_quality_classifier, op9_decontamination, op10_html_extraction)
 }
 ORACLES: dict[str, str] = {"op7_chat_format": chat_format.SQL}
