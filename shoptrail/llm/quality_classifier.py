@@ -17,10 +17,11 @@ from itertools import chain
 from operator import eq
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.llm.common import per_text, stage
+from shoptrail.llm.common import per_text, ship_code, stage
 
 TERMS = 1 << 13
 WIDTH = 64
@@ -160,13 +161,9 @@ def fold_of(id_column: str) -> Column:
 
 def _context_sums(sample: DataFrame, text: str) -> np.ndarray:
     """Sum over the sample of the index vectors that stand next to each term."""
-    from shoptrail.llm.common import ship_code
-
     ship_code(sample.sparkSession)
 
     def run(batches):
-        import pyarrow as pa
-
         index = index_vectors()
         sums = np.zeros((TERMS, WIDTH), np.float32)
         for batch in batches:
@@ -196,7 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: s
     # at most ``rows`` small rows, so they may be broadcast
     sample = docs.select(id_column, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text")).join(F.broadcast(drawn), id_column)
     sample = sample.groupBy(id_column).agg(F.first("__label").alias("__label"), F.min("__text").alias("__text"))
-    sample = stage(sample.repartition(FIT_PARTITIONS, id_column), "quality-sample").repartition(FIT_PARTITIONS, id_column)
+    # few tasks, as each sends its sums to the driver
+    sample = stage(sample, "quality-sample").coalesce(FIT_PARTITIONS)
 
     index = index_vectors()
     sums = _context_sums(sample, "__text")
