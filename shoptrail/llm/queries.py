@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import byte_bpe, chat_format, decontaminate, html_extract, license_scan, quality_classifier, quality_rules, simhash, token_counts
+from shoptrail.llm import byte_bpe, chat_format, decontaminate, html_extract, license_scan, line_dedup, quality_classifier, quality_rules, simhash, token_counts
 from shoptrail.llm.common import delete_at_end, read
 from shoptrail.storage import new_folder
 
@@ -16,6 +16,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUALITY_LEAST = 0.3
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -72,6 +76,6 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_license_scan, op3_quality_rules, op4_byte_bpe, op5_token_counts, op6_simhash, op7_chat_format, op8_quality_classifier, op9_decontamination, op10_html_extraction)
+    f.__name__: f for f in (op1_line_dedup, op2_license_scan, op3_quality_rules, op4_byte_bpe, op5_token_counts, op6_simhash, op7_chat_format, op8_quality_classifier, op9_decontamination, op10_html_extraction)
 }
 ORACLES: dict[str, str] = {"op7_chat_format": chat_format.SQL}
