@@ -177,10 +177,10 @@ def encode_documents(docs: DataFrame, codec: Codec, keep: list[str], text: str =
                 out["ids_sha256"].append(hashlib.sha256(raw).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(own.decode(raw)).hexdigest())
                 if ids:
-                    out["ids"].append(np.frombuffer(raw, "<u4"))
+                    out["ids"].append(np.frombuffer(raw, "<i4"))
             return out
 
         return step
 
-    fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * ids
+    fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     return per_text(docs, keep, text, make, fields)

@@ -50,10 +50,13 @@ def per_text(
     """Columns ``keep`` of ``df`` and what ``make()`` computes for column ``text`` (null: empty).
 
     ``make`` runs once per task and returns a function from a list of texts to lists of values, one
-    per field of ``fields`` (a DDL string). Rows are mapped one to one; nothing is shuffled.
+    per field of ``fields`` (a DDL string). Rows are mapped one to one; nothing is shuffled. Names that
+    begin with two underscores are the operators' own.
     """
     ship_code(df.sparkSession)
-    kept = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__text"))
+    value = F.col(f"`{text}`").cast("string")
+    kept = df.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [value.alias("__text")]))
+    place = kept.columns.index(text if text in keep else "__text")
     added = StructType.fromDDL(fields)
     schema = StructType([*kept.drop("__text").schema.fields, *added.fields])
     names = added.fieldNames()
@@ -63,10 +66,9 @@ def per_text(
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                columns = [part.column(i) for i in range(part.num_columns - 1)]
-                made = step(part.column(part.num_columns - 1).to_pylist())
-                columns += [pa.array(made[n], type=kinds[n]) for n in names]
-                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:-1], *names])
+                made = step([t or "" for t in part.column(place).to_pylist()])
+                columns = [part.column(i) for i in range(len(keep))] + [pa.array(made[n], type=kinds[n]) for n in names]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[: len(keep)], *names])
 
     kinds = {f.name: f.type for f in to_arrow_schema(added)}
     return kept.mapInArrow(run, schema)

@@ -134,8 +134,8 @@ def line_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     return groups
 
 
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    r"""``docs`` with the lines of ``text`` that stay, and n_removed.
+def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", count: str | None = "n_removed") -> DataFrame:
+    r"""``docs`` with the lines of ``text`` that stay, and how many went as ``count`` (None: no such column).
 
     Lines of white space only stay where they are. A null text stays null, an empty one empty, and a
     text whose lines all stand elsewhere becomes empty. Rows with one id count as one document: what
@@ -148,4 +148,4 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     joined = docs.join(removed, F.col(f"`{id_column}`") == F.col("__doc"), "left")
     kept = F.filter(F.split(F.col(f"`{text}`").cast("string"), "\n"), lambda line, i: ~F.array_contains("__gone", i))
     others = [F.when(F.col("__gone").isNull(), F.col(f"`{c}`")).otherwise(F.array_join(kept, "\n")).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*others, F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))
+    return joined.select(*others, *([F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias(count)] if count else []))

@@ -213,8 +213,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: s
     return fit_network(vectors, features, truth, fold)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` and ``score``, the calibrated probability of label 1, for each row of ``docs``.
+def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", name: str = "score") -> DataFrame:
+    """``keep`` and the score as ``name``, the calibrated probability of label 1, for each row of ``docs``.
 
     Null and empty texts are scored as texts without words. Only the text is looked at. The model's
     size does not depend on the data; it is broadcast.
@@ -224,6 +224,6 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
     def make():
         own = Model(**shared.value)
         words = WordVectors(own.vectors)
-        return lambda texts: {"score": own.probabilities(np.array([words.features(t) for t in texts]))}
+        return lambda texts: {name: own.probabilities(np.array([words.features(t) for t in texts]))}
 
-    return per_text(docs, keep, text, make, "score double")
+    return per_text(docs, keep, text, make, f"{name} double")

@@ -113,8 +113,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", within: int = 2) -> DataFrame:
-    """The rows of ``docs`` that stand first in their component; of equal ids one row stays."""
+    """The rows of ``docs`` that stand first in their component; of equal ids one row stays.
+
+    Rows without an id cannot be told apart by it and all stay.
+    """
     groups = near_duplicates(docs, id_column, text, within)
     kept = groups.groupBy("component_id").agg(F.min(id_column).alias("__kept")).where(F.col("__kept").isNotNull())
     first = docs.join(kept.select(F.col("__kept").alias(id_column)), id_column, "left_semi")
-    return first.dropDuplicates([id_column]).select(*docs.columns)
+    return first.dropDuplicates([id_column]).select(*docs.columns).unionByName(docs.where(F.col(id_column).isNull()))
