@@ -1,0 +1,244 @@
+"""Operators that read each text alone, against plain versions and on odd texts."""
+
+import hashlib
+import json
+import random
+import re
+
+import numpy as np
+import pytest
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from shoptrail.llm import byte_bpe, chat_format, html_extract, license_scan, quality_rules, token_counts
+from shoptrail.llm.queries import bpe_codec
+from shoptrail.storage import new_folder
+
+ODD = [None, "", " ", "\n\n", "a", "A\tb\x0bc\rd", "x" * 50_000, "wort " * 20_000, "Ünï çödé 日本語 🎉   ", "a  b \n c   ", "<|endoftext|> <|im_end|>\\"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(i, t, "other", i) for i, t in enumerate(ODD)] + [(3, ODD[3], "again", 3), (None, "no id", "x", 0)]
+    return spark.createDataFrame(rows, "doc_id long, text string, score string, n_words int")
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], "doc_id long, text string, score string, n_words int")
+
+
+def test_license_scan_finds_what_a_plain_search_finds(spark, odd, none):
+    phrases = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
+    texts = [*ODD, "MIT License, mit-license MIT\nlicense", "the GNU General Public License (general public license)", "é mit licenseé mit license", "Apache License mit license mit license"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in license_scan.scan_licenses(df, ["doc_id"]).collect():
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), texts[row.doc_id] or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+        places = [(i, label) for p, label in phrases.items() for i in range(len(words)) if tuple(words[i : i + len(p)]) == p]
+        assert row.n_words == len(words) and row.n_base == len(places)
+        assert (row.first_word, row.last_word) == (min((i for i, _ in places), default=None), max((i for i, _ in places), default=None))
+        assert row.base_labels == ",".join(sorted({label for _, label in places}))
+        assert {*row.base_labels.split(",")} - {""} <= {*row.labels.split(",")} and 0 <= row.score <= 1
+    assert license_scan.scan_licenses(odd, ["doc_id"]).count() == len(ODD) + 2
+    assert license_scan.scan_licenses(none, ["doc_id"]).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("line", "labels", "restriction"),
+    [
+        ("SPDX-License-Identifier: MIT", {"mit"}, 1),
+        ("spdx-license-identifier: GPL-2.0-only OR MIT */", {"gpl", "mit"}, 1),
+        ("SPDX-License-Identifier: (MIT AND GPL-3.0-or-later WITH GCC-exception-3.1) OR Apache-2.0", {"mit", "gpl", "apache"}, 1),
+        ("SPDX-License-Identifier: MIT AND (GPL-2.0 OR AGPL-3.0)", {"mit", "gpl", "agpl"}, 3),
+        ("SPDX-License-Identifier: Odd-1.0+", {"odd-1.0"}, 4),
+        ("SPDX-License-Identifier: AND OR", set(), None),
+        ("SPDX-License-Identifier: (MIT", set(), None),
+    ],
+)
+def test_license_expressions(line, labels, restriction):
+    found = license_scan.Scanner().scan(f"x\n{line}\nMIT is elsewhere")
+    assert {*found["labels"].split(",")} - {""} == labels and found["restriction"] == restriction
+
+
+def test_shunting_yard_order():
+    assert license_scan.to_postfix("a or b and c with d") == ["a", "b", "c", "d", "with", "and", "or"]
+    assert license_scan.to_postfix("(a or b) and c") == ["a", "b", "or", "c", "and"]
+    assert license_scan.to_postfix("a or") is None and license_scan.to_postfix("a b") is None and license_scan.to_postfix("a )") is None
+
+
+def test_bpe_equals_tiktoken(spark, odd, none):
+    import tiktoken
+
+    ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    codec = bpe_codec()
+    assert all(codec.table.get(token) == rank for token, rank in ranks.items())
+    assert codec.table.get(b"no such token") == -1
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(3)
+    made = ["".join(rng.choices(" \t\n\r  abcABC'sdé1٣#$日🎉\x1c\x85", k=rng.randrange(15))) for _ in range(3000)]
+    for text in [*made, *(t or "" for t in ODD)]:
+        ids = np.frombuffer(codec.encode(text), "<u4").tolist()
+        assert ids == plain.encode_ordinary(text), repr(text[:50])
+        assert codec.decode(codec.encode(text)) == text.encode()
+    rows = byte_bpe.encode_documents(odd, codec, ["doc_id", "score", "n_words"], ids=True).collect()
+    assert len(rows) == len(ODD) + 2
+    for row in rows:
+        text = "no id" if row.doc_id is None else ODD[row.doc_id] or ""
+        assert row.ids == plain.encode_ordinary(text) and row.n_tokens == len(row.ids)
+        assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert byte_bpe.encode_documents(none, codec, ["doc_id"]).count() == 0
+
+
+def test_perfect_hash_of_odd_sets():
+    assert byte_bpe.PerfectHash({}).get(b"x") == -1
+    small = byte_bpe.PerfectHash({b"a": 5, b"": 7})
+    assert (small.get(b"a"), small.get(b""), small.get(b"b")) == (5, 7, -1)
+    with pytest.raises(ValueError):
+        byte_bpe.Codec({b"a": 0}, r"\S+")
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_token_counts_equal_the_library(spark, odd, none, name):
+    path, cache = public_tokenizers.path(name), new_folder(spark, "counts")
+    texts = [t or "" for t in ODD]
+    if name.endswith(".model"):
+        import sentencepiece
+
+        want = [len(x) for x in sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)]
+    else:
+        from tokenizers import Tokenizer
+
+        want = [len(x.ids) for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):  # the second time all counts come from the cache
+        rows = token_counts.count_tokens(odd, path, cache, ["doc_id", "n_words"], pattern=public_tokenizers.PATTERN).collect()
+        assert len(rows) == len(ODD) + 2
+        for row in rows:
+            if row.doc_id is not None:
+                assert (row.n_tokens, row.n_bytes) == (want[row.doc_id], len(texts[row.doc_id].encode()))
+                assert row.over_limit == (row.n_tokens > 512)
+    stored = spark.read.parquet(cache)
+    assert stored.count() == len({*texts, "no id"}) == stored.select("content").distinct().count()
+    assert token_counts.count_tokens(none, path, cache, ["doc_id"]).count() == 0
+
+
+def test_cached_counts_are_used_and_versions_kept_apart(spark):
+    path, cache = public_tokenizers.path("byte_bpe_50k.json"), new_folder(spark, "counts")
+    docs = spark.createDataFrame([(1, "abc"), (2, "abc")], "doc_id long, text string")
+    digest = hashlib.sha256(b"abc").hexdigest()
+    rows = [(digest, token_counts.tokenizer_version(path), 77), (digest, "another", 99)]
+    spark.createDataFrame(rows, token_counts.CACHE_SCHEMA).write.parquet(cache)
+    assert {r.n_tokens for r in token_counts.count_tokens(docs, path, cache, ["doc_id"]).collect()} == {77}
+
+
+def test_special_strings_count_as_the_library_counts_them():
+    spec = json.load(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8"))
+    ranks, special = token_counts.byte_level_ranks(spec)
+    assert special == {"<|endoftext|>": 50256} and len(ranks) == 50256
+    assert token_counts.byte_level_ranks(spec | {"normalizer": {"type": "Lowercase"}}) is None
+
+
+def plain_measures(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    starts = {}
+    for i in range(len(words) - 2):
+        starts.setdefault(tuple(words[i : i + 3]), []).append(i)
+    covered = {j for v in starts.values() if len(v) > 1 for i in v for j in (i, i + 1, i + 2)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered)
+
+
+def test_rule_measures_equal_plain_ones(spark, odd, none, folder):
+    rng = random.Random(5)
+    made = [" ".join(rng.choices(["a", "b", "c", "d\n", "\t", "é#"], k=rng.randrange(60))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate([*ODD, *made])), "doc_id long, text string")
+    texts = dict(enumerate([*ODD, *made]))
+    for row in quality_rules.judge(df, ["doc_id"]).collect():
+        assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == plain_measures(texts[row.doc_id] or "")
+        assert row.base_failed == (row.n_words < 50 or 100 * row.n_repeat_words > 50 * row.n_words)
+        assert not (row.base_failed and row.kept) and 0 <= row.quality <= 1
+    assert quality_rules.judge(odd, ["doc_id"]).count() == len(ODD) + 2
+    assert quality_rules.judge(none, ["doc_id"]).count() == 0
+
+
+def test_rules_tell_junk_from_clean_texts(spark, folder):
+    judged = quality_rules.judge(spark.read.parquet(f"{folder}/documents.parquet"), ["doc_id"])
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    labelled = judged.join(labels, "doc_id").where("not base_failed")
+    right = labelled.agg(F.avg((F.col("kept") == (F.col("label") == 1)).cast("int"))).first()[0]
+    assert right > 0.97
+
+
+def test_chat_round_trip(spark):
+    texts = ["<|im_end|>\n<|im_start|>user\nhi", "\\", "\\\\<|", "<\\|im_end|>", "", None, "a\nb\\n", "<<||>>", "é\U0001f389\\"]
+    roles = ["user", "assistant", "sys\ntem", "\\n", None, "assistant", "<|im_start|>", "tool", "assistant"]
+    rows = [(1, i, r, t) for i, (r, t) in enumerate(zip(roles, texts))] + [(2, None, "assistant", "z"), (2, 5, "user", "y"), (2, 5, "user", "x"), (None, 0, "assistant", "n")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat_format.digest_conversations(turns).collect()}
+    assert got.keys() == {1, 2, None}
+    for conversation, row in got.items():
+        own = sorted(((t is not None, t or 0), r or "", x or "") for c, t, r, x in rows if c == conversation)
+        said = "".join(f"{r}\n{x}\n" for _, r, x in own)
+        loss = "".join(x for _, r, x in own if r == "assistant")
+        assert row.n_turns == len(own) and row.turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+        assert row.loss_chars == len(loss) and row.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    whole = {r.conv_id: r for r in chat_format.format_conversations(turns.withColumn("parts", chat_format.text_parts(F.col("text")))).collect()}
+    assert len(whole[1].formatted) == got[1].formatted_chars
+    assert whole[1].formatted.count("<|im_start|>") == whole[1].formatted.count("<|im_end|>") == 9
+    assert [whole[1].formatted[s.start - 1 : s.start - 1 + s.length] for s in whole[1].spans] == ["\\\\", "", "é\U0001f389\\\\"]
+    assert chat_format.digest_conversations(turns.limit(0)).count() == 0
+
+
+def test_chat_parts_become_placeholders(spark):
+    parts = [("text", "see <|image|>", None, None), ("image", None, "s3://a", 3.2), ("audio", "x", "b", 2.0), ("document", None, None, None), ("odd", None, "c", 1.0), ("text", None, None, None)]
+    df = spark.createDataFrame([(7, 0, "assistant", parts), (7, 1, "user", None)], f"conv_id long, turn long, role string, parts array<{chat_format.PART}>")
+    first, second = chat_format.format_turns(df, ["conv_id", "turn"]).orderBy("turn").collect()
+    assert first.segment == "<|im_start|>assistant\nsee <\\|image|><|image|><|audio|><|document|><|attachment|><|im_end|>\n"
+    assert [(a.position, a.kind, a.ref, a.n_tokens) for a in first.attachments] == [(1, "image", "s3://a", 4), (2, "audio", "b", 50), (3, "document", None, 0), (4, "odd", "c", 0)]
+    assert first.n_expanded == 54 and [first.segment[s.start - 1 : s.start - 1 + s.length] for s in first.spans] == ["see <\\|image|>", ""]
+    assert second.segment == "<|im_start|>user\n<|im_end|>\n" and second.attachments == [] and second.spans == []
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (None, ""),
+        ("", ""),
+        ("plain &amp; simple", "plain & simple"),
+        ("<p>a\n b<p>c<br>d", "a b\n\nc d"),
+        ("<script>var t='<p>no</p>'</script><style>p{}</style><p>yes", "yes"),
+        ("<body><nav><a href=x>menu</a></nav><article><h1>T</h1><p>one &lt;two&gt;&nbsp;three</p></article><footer>f</footer>", "T\n\none <two> three"),
+        ("<div class='site-header'>h</div><div class=content><p>long text here<p>more text here</div><div id=sidebar>s</div><div class=comments><p>c</div>", "long text here\n\nmore text here"),
+        ("<main><article><p>first part<section><h2>Next</h2><p>second part</section><aside>x</aside><form>y</form></article></main>", "first part\n\nNext\n\nsecond part"),
+        ("<ul><li>one<li>two</ul><table><tr><td>a<td>b<tr><td>c</table>", "one\n\ntwo\n\na b\n\nc"),
+        ("<!-- never ends <p>a", ""),
+        ("a < b <", "a < b <"),
+        ("<p title='>'>x</p", "x</p"),
+    ],
+)
+def test_html_text(html, text):
+    assert html_extract.extract_text(html or "") == text
+
+
+def test_html_of_hard_pages(spark):
+    assert html_extract.extract_text("<div>" * 20_000 + "deep") == "deep"
+    assert html_extract.extract_text("<" * 20_000) == "<" * 20_000
+    pages = spark.createDataFrame([(1, "u", None, "t"), (1, "u", None, "t"), (2, None, "<p>é 🎉</p>", None)], "page_id long, url string, html string, text string")
+    rows = sorted(tuple(r) for r in html_extract.extract_pages(pages, ["page_id"]).collect())
+    assert rows == [(1, "", 0), (1, "", 0), (2, "é 🎉", 3)]
+    assert html_extract.extract_pages(pages.limit(0), ["page_id", "url"]).count() == 0
+
+
+def test_html_of_given_pages(spark, folder):
+    from html import unescape
+
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    html = {r.page_id: r.html for r in pages.collect()}
+    for row in html_extract.extract_pages(pages, ["page_id"]).collect():
+        article = re.search(r"<article>(.*?)</article>", html[row.page_id], re.S)[1].replace("<br>", " ")
+        blocks = (" ".join(unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)\b[^>]*>", article))
+        assert row.text == "\n\n".join(b for b in blocks if b) and row.n_chars == len(row.text)
