@@ -13,6 +13,7 @@ from checks.queries import (
     TASK,
     TWO_DAYS,
 )
+from shoptrail import fixed_values as fixed
 
 
 def _actions(task: dict) -> str:
@@ -180,19 +181,21 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY categoryid ORDER BY "clickC
 
 
 def _session_job() -> str:
+    """Rows as texts; the order of columns in a text is that of their names, capitals first."""
     task = ALL_DAYS | FILTERS["age"] | FILTERS["sex"]
     quota = _quota(task, BIG_ALLOWANCE).replace(f"|{SEED}'", f"|{TASK}'")
     categories = _categories(_TOP_SESSIONS).split("AS (", 1)[1]
     tail = categories[categories.index("ka AS (") :]
+    ratios = {f"{name}_ratio": f"CAST({_ratio(count, 'greatest(count(*), 1)')} AS VARCHAR)" for name, count in _bucket_counts(False)}
+    ratios |= {"session_count": "CAST(count(*) AS VARCHAR)", "taskid": f"'{TASK}'"}
     tables = [
-        ("session_stat_ratio_0911", "SELECT 1"),
-        ("session_extract_0911", "FROM sample"),
-        ("session_top10_0912", "FROM top"),
-        ("session_top10session_0912", "FROM ranked WHERE n <= 10"),
+        ("session_stat_ratio_0911", [ratios[name] for name in sorted(ratios)], "kept"),
+        ("session_extract_0911", ["click_category_ids", "search_keywords", "session_id", f"strftime(t0, {_TIME})", f"'{TASK}'"], "sample"),
+        ("session_top10_0912", ["categoryid", '"clickCount"', '"orderCount"', '"payCount"', f"'{TASK}'"], "top"),
+        ("session_top10session_0912", ["categoryid", '"clickCount"', "sessionid", f"'{TASK}'"], "ranked WHERE n <= 10"),
     ]
     rows = " UNION ALL ".join(
-        f"SELECT '{name}' AS result_table, '{TASK}' AS taskid, count(*) AS rows FROM ({source})"
-        for name, source in tables
+        f"SELECT '{name}' AS result_table, concat_ws('|', {', '.join(values)}) AS row FROM {source}" for name, values, source in tables
     )
     return f"WITH {quota}, {tail} {rows}"
 
@@ -254,6 +257,20 @@ _AT = "strftime(mt, '%Y%m%d') AS date, strftime(mt, '%H') AS hour, strftime(mt,
 _TREND = f'{_ADS} SELECT {_AT}, adid, c AS "clickCount" FROM pm'
 
 
+_REPLAYED = f"""{_ADS},
+r AS (SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM events),
+p AS (SELECT strftime(ts, '%Y%m%d') AS date, userid, adid, least(2, 3 * (epoch_us(ts) - low) // (high - low + 1)) AS piece
+      FROM l, r),
+b1 AS (SELECT DISTINCT userid FROM (SELECT userid FROM p WHERE piece = 0 GROUP BY date, userid, adid HAVING count(*) > {BAN_ABOVE})),
+p2 AS (SELECT * FROM p WHERE piece = 0 OR (piece = 1 AND userid NOT IN (FROM b1))),
+b2 AS (FROM b1 UNION SELECT userid FROM (SELECT userid FROM p2 GROUP BY date, userid, adid HAVING count(*) > {BAN_ABOVE})),
+counted AS (FROM p2 UNION ALL SELECT * FROM p WHERE piece = 2 AND userid NOT IN (FROM b2))
+SELECT date, userid, adid, count(*) AS "clickCount" FROM counted GROUP BY ALL"""
+
+_CITIES = ", ".join(f"({n}, '{city}', '{area}')" for n, city, area in fixed.CITY_AREAS)
+_BUILTIN = " ".join(f"WHEN '{area}' THEN '{level}'" for area, level in fixed.AREA_LEVELS.items())
+
+
 def all_oracles() -> dict[str, str]:
     found = {
         "visit_actions_in_dates": f"""WITH {_actions(SOME_DAYS)}
@@ -311,6 +328,15 @@ SELECT '{TASK}' AS taskid, area, CASE area {_LEVEL} ELSE 'D_Level' END AS "areaL
   city_infos AS "cityInfos", click_count AS "clickCount", product_name AS "productName",
   product_status AS "productStatus"
 FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid) AS n FROM ap) WHERE n <= 3""",
+        "area_top3_builtin_cities": _AREA.replace("FROM nation JOIN region ON n_regionkey = r_regionkey", "FROM n_r")
+        .replace("city AS (", f"n_r AS (SELECT * FROM (VALUES {_CITIES}) v(n_nationkey, n_name, r_name)),\ncity AS (")
+        + f"""
+SELECT '{TASK}' AS taskid, area, CASE area {_BUILTIN} ELSE '{fixed.OTHER_AREA_LEVEL}' END AS "areaLevel",
+  pid AS productid, city_infos AS "cityInfos", click_count AS "clickCount", product_name AS "productName",
+  product_status AS "productStatus"
+FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid) AS n FROM ap) WHERE n <= 3""",
+        "order_lists_trimmed": f"""WITH {_actions(ALL_DAYS)}
+SELECT order_category_ids AS category_ids, count(*) AS orders FROM a WHERE order_category_ids IS NOT NULL GROUP BY 1""",
         "ad_clicks": f"""{_ADS}
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts, province, city, userid, adid FROM l""",
         "ad_user_daily_counts": _USER_COUNTS,
@@ -331,6 +357,8 @@ GROUP BY x.mt, x.adid""",
 w AS (SELECT mt - to_minutes(i) AS w0, adid, c FROM pm, range(0, 60) x(i))
 SELECT strftime(w0, {_TIME}) AS "windowStart", strftime(w0 + INTERVAL 60 MINUTE, {_TIME}) AS "windowEnd", adid,
   CAST(sum(c) AS BIGINT) AS "clickCount" FROM w GROUP BY w0, adid""",
+        "ad_stream_allowed": _REPLAYED,
+        "sink_restart": _CITY_TOTALS,
         "ad_stream_user_counts": _USER_COUNTS,
         "ad_stream_blacklist": f"{_ADS} {_BANNED}",
         "ad_stream_job_top3": _TOP3,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail import schemas
+from shoptrail.functions.text import trim_commas
 from shoptrail.operators import ads, area, buckets, categories, funnel, gaps, sampling, sessions
 from shoptrail.params import TaskParams
 from shoptrail.plans.area_job import area_products_in_sql
@@ -17,8 +18,8 @@ from shoptrail.sinks.keyed import KeyedTable
 from shoptrail.sinks.tables import replace_table
 from shoptrail.sources import retail_tables as retail
 from shoptrail.sources.ad_log import parse_ad_lines
-from shoptrail.sources.tables import product_clicks, visit_actions
-from shoptrail.storage import new_folder
+from shoptrail.sources.tables import city_areas, product_clicks, visit_actions
+from shoptrail.storage import delete_at_end, new_folder
 from shoptrail.streaming import running
 from shoptrail.streaming.ad_job import AdTables, start_ad_job
 
@@ -45,6 +46,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 _found: dict[str, Query] = {}
 
 
+def _scratch(spark: SparkSession, label: str) -> str:
+    """A folder of this run, deleted when the application ends."""
+    folder = new_folder(spark, label)
+    delete_at_end(spark, folder)
+    return folder
+
+
 def query(name: str):
     """Register a query; times are read and shown in UTC."""
 
@@ -267,14 +275,13 @@ def _(spark, folder):
     return categories.top_category_sessions(per_session, top, TASK)
 
 
-@query("session_job")
-def _(spark, folder):
-    """The whole session job with filters; the tables it wrote, as one list of counts."""
+def _session_job(spark, folder) -> dict[str, DataFrame]:
+    """The whole session job with filters: the tables it wrote."""
     task = ALL_DAYS | FILTERS["age"] | FILTERS["sex"]
     written: dict[str, DataFrame] = {}
 
     def write(df, table):
-        path = new_folder(spark, table)
+        path = _scratch(spark, table)
         df.write.parquet(path)
         written[table] = spark.read.parquet(path)
 
@@ -282,10 +289,16 @@ def _(spark, folder):
     run_session_job(
         _action_table(spark, folder, params), _users(spark, folder), params, write, TASK, BIG_ALLOWANCE
     )
+    return written
+
+
+@query("session_job")
+def _(spark, folder):
+    """The rows of all tables, each as one text of its values."""
     shown = None
-    for table, df in written.items():
-        rows = df.where(F.col("taskid") == TASK).agg(F.count("*").alias("rows"))
-        rows = rows.select(F.lit(table).alias("result_table"), F.lit(TASK).alias("taskid"), "rows")
+    for table, df in _session_job(spark, folder).items():
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)]
+        rows = df.select(F.lit(table).alias("result_table"), F.concat_ws("|", *values).alias("row"))
         shown = rows if shown is None else shown.unionByName(rows)
     return shown
 
@@ -301,7 +314,7 @@ def _(spark, folder):
 @query("page_pairs_cut_sessions")
 def _(spark, folder):
     """The same with most sessions of several actions treated as hot, so that they are cut."""
-    return funnel.page_pairs(funnel.page_moves(_actions(spark, folder), hot_share=20_000, hot_rows=2))
+    return funnel.page_pairs(funnel.page_moves(_actions(spark, folder), hot_rows=2))
 
 
 @query("page_flow_rates")
@@ -347,6 +360,21 @@ def _(spark, folder):
     return area.area_top_products(products, TASK, levels=LEVELS)
 
 
+@query("area_top3_builtin_cities")
+def _(spark, folder):
+    """With the built-in city dimension and levels; clicks of cities it does not have are dropped."""
+    clicks = area.area_product_clicks(_clicks(spark, folder), city_areas(spark))
+    return area.area_top_products(area.with_products(clicks, _products(spark, folder)), TASK)
+
+
+@query("order_lists_trimmed")
+def _(spark, folder):
+    """Comma lists with commas at their ends, trimmed, and how often each list occurs."""
+    lists = F.concat(F.lit(",,"), F.col("order_category_ids"), F.lit(","))
+    trimmed = _actions(spark, folder).where("order_category_ids IS NOT NULL").select(trim_commas(lists).alias("category_ids"))
+    return trimmed.groupBy("category_ids").agg(F.count("*").alias("orders"))
+
+
 # --- advertising, batch ---------------------------------------------------------------------
 
 
@@ -405,55 +433,95 @@ _ONCE = {"availableNow": True}
 
 def _keyed(spark, label, schema, rule, keys, value=None) -> KeyedTable:
     day = "date" if "date" in schema.names else None
-    return KeyedTable(spark, new_folder(spark, label), schema, rule, keys, value, day)
+    return KeyedTable(spark, _scratch(spark, label), schema, rule, keys, value, day)
 
 
-def _totals_table(spark) -> KeyedTable:
+def _totals_table(spark, rule: str) -> KeyedTable:
     keys = ("date", "province", "city", "adid")
-    return _keyed(spark, "city-totals", schemas.AD_CITY_TOTALS, "replace", keys, "clickCount")
+    return _keyed(spark, "city-totals", schemas.AD_CITY_TOTALS, rule, keys, "clickCount")
+
+
+def _event_piece(ts, low: int, high: int):
+    """0, 1 or 2: the third of the time range that an event is in."""
+    micros = F.unix_micros(ts.cast("timestamp"))
+    return F.least(F.lit(2), F.floor((micros - low) * 3 / (high - low + 1)).cast("int"))
+
+
+def _in_pieces(spark, folder, start) -> None:
+    """The events in three pieces in order of time, each read by a query that goes on where the last one stopped."""
+    events = retail.read(spark, folder, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.coalesce(F.min(micros), F.lit(0)), F.coalesce(F.max(micros), F.lit(0))).first()
+    inbox, checkpoint = _scratch(spark, "inbox"), _scratch(spark, "checkpoint")
+    for piece in range(3):
+        events.where(_event_piece(F.col("ts"), low, high) == piece).write.mode("append").parquet(inbox)
+        lines = retail.ad_lines(spark.readStream.schema(events.schema).parquet(inbox), _cities(spark, folder))
+        start(lines, checkpoint).awaitTermination()
+
+
+def _counted_in_pieces(spark, folder, table, count) -> DataFrame:
+    _in_pieces(
+        spark, folder, lambda lines, checkpoint: running.start_counts(parse_ad_lines(lines), count, table, checkpoint, _ONCE)
+    )
+    return table.current()
 
 
 @query("ad_stream_city_totals")
 def _(spark, folder):
-    table = _totals_table(spark)
-    updates = running.running_city_totals(parse_ad_lines(_ad_line_stream(spark, folder)))
-    running.start_upserts(updates, table, new_folder(spark, "checkpoint"), _ONCE).awaitTermination()
-    return table.current()
+    return _counted_in_pieces(spark, folder, _totals_table(spark, "add"), ads.city_totals)
 
 
 @query("ad_stream_top3")
 def _(spark, folder):
-    totals = _totals_table(spark)
+    totals = _totals_table(spark, "add")
     top = _keyed(spark, "province-top", schemas.AD_PROVINCE_TOP3, "replace_group", ("date", "province"))
-    updates = running.running_city_totals(parse_ad_lines(_ad_line_stream(spark, folder)))
-    running.start_province_top_ads(
-        updates, totals, top, new_folder(spark, "checkpoint"), _ONCE
-    ).awaitTermination()
+    _in_pieces(
+        spark,
+        folder,
+        lambda lines, checkpoint: running.start_province_top_ads(parse_ad_lines(lines), totals, top, checkpoint, _ONCE),
+    )
     return top.current()
 
 
+def _streamed_trend(spark, folder) -> DataFrame:
+    keys = ("date", "hour", "minute", "adid")
+    table = _keyed(spark, "trend", schemas.AD_TREND, "add", keys, "clickCount")
+    return _counted_in_pieces(spark, folder, table, ads.minute_trend)
+
+
 @query("ad_stream_trend")
 def _(spark, folder):
-    keys = ("date", "hour", "minute", "adid")
-    table = _keyed(spark, "trend", schemas.AD_TREND, "replace", keys, "clickCount")
-    updates = running.running_trend(parse_ad_lines(_ad_line_stream(spark, folder)))
-    running.start_upserts(updates, table, new_folder(spark, "checkpoint"), _ONCE).awaitTermination()
-    return table.current()
+    return _streamed_trend(spark, folder)
 
 
 @query("ad_stream_sliding_hour")
 def _(spark, folder):
-    updates = running.running_hour(parse_ad_lines(_ad_line_stream(spark, folder)))
-    keys = ("windowStart", "windowEnd", "adid")
-    table = _keyed(spark, "sliding-hour", updates.schema, "replace", keys, "clickCount")
-    running.start_upserts(updates, table, new_folder(spark, "checkpoint"), _ONCE).awaitTermination()
+    return running.sliding_hours(_streamed_trend(spark, folder))
+
+
+@query("ad_stream_allowed")
+def _(spark, folder):
+    """Counts of the job over three pieces: users banned in one are dropped from the next on."""
+    tables = AdTables.below(spark, _scratch(spark, "ad-job"))
+    _in_pieces(spark, folder, lambda lines, checkpoint: start_ad_job(lines, tables, checkpoint, BAN_ABOVE, _ONCE))
+    return tables.user_counts.current()
+
+
+@query("sink_restart")
+def _(spark, folder):
+    """Totals of two queries, each with a checkpoint of its own, so both count their batches from 0."""
+    table = _totals_table(spark, "add")
+    odd = F.minute("ts") % 2 == 1
+    for part in (~odd, odd):
+        clicks = parse_ad_lines(_ad_line_stream(spark, folder)).where(part)
+        running.start_counts(clicks, ads.city_totals, table, _scratch(spark, "checkpoint"), _ONCE).awaitTermination()
     return table.current()
 
 
 def _ad_job(spark, folder) -> AdTables:
-    tables = AdTables.below(spark, new_folder(spark, "ad-job"))
+    tables = AdTables.below(spark, _scratch(spark, "ad-job"))
     start_ad_job(
-        _ad_line_stream(spark, folder), tables, new_folder(spark, "checkpoint"), BAN_ABOVE, _ONCE
+        _ad_line_stream(spark, folder), tables, _scratch(spark, "checkpoint"), BAN_ABOVE, _ONCE
     ).awaitTermination()
     return tables
 
@@ -478,9 +546,9 @@ def _(spark, folder):
 
 @query("sink_managed_overwrite")
 def _(spark, folder):
-    table, path = "shoptrail_user_info", new_folder(spark, "user-info")
+    table, path = "shoptrail_user_info", _scratch(spark, "user-info")
     users = _users(spark, folder)
-    replace_table(users.limit(0), table, new_folder(spark, "user-info"))
+    replace_table(users.limit(0), table, _scratch(spark, "user-info"))
     replace_table(users, table, path)
     return spark.read.table(table)
 
@@ -504,7 +572,7 @@ def _(spark, folder):
 
 @query("sink_replacing_upsert")
 def _(spark, folder):
-    table = _totals_table(spark)
+    table = _totals_table(spark, "replace")
     clicks = _ad_clicks(spark, folder)
     table.apply(ads.city_totals(_in_two_batches(clicks)[0]), 0)
     table.apply(ads.city_totals(clicks), 1)

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.operators.sequence import HOT_ROWS, HOT_SHARE, action_order, add_neighbour
+from shoptrail.operators.sequence import HOT_ROWS, action_order, add_neighbour
 
 
-def page_moves(actions: DataFrame, hot_share: int = HOT_SHARE, hot_rows: int = HOT_ROWS) -> DataFrame:
+def page_moves(actions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every action's page with the next page of its session (null for the last action)."""
     order = action_order(actions)
     needed = actions.select(*dict.fromkeys(["session_id", *order, "page_id"]))
     moves = add_neighbour(
-        needed, "session_id", order, {"page_id": "next_page_id"}, 1, hot_share=hot_share, hot_rows=hot_rows
+        needed, "session_id", order, {"page_id": "next_page_id"}, 1, hot_rows=hot_rows
     )
     return moves.select("page_id", "next_page_id")
 
@@ -28,14 +28,17 @@ def page_pairs(moves: DataFrame) -> DataFrame:
 
 
 def flow_pairs(page_flow: str) -> list[str]:
-    """``1,2,3`` -> ``["1_2", "2_3"]``: a parameter of a few dozen pages."""
-    pages = [int(page) for page in page_flow.split(",")]
+    """``1,2,3`` -> ``["1_2", "2_3"]``: a parameter of a few dozen pages. One page or none has no pairs."""
+    pages = [int(page) for page in page_flow.split(",") if page]
     return [f"{a}_{b}" for a, b in zip(pages, pages[1:])]
 
 
 def _flow_counts(moves: DataFrame, page_flow: str) -> DataFrame:
     """One row: ``start_count`` and the array ``steps`` of (pair, moves, base), in flow order."""
     pairs = flow_pairs(page_flow)
+    if not pairs:  # no step, so no row and an empty text
+        steps = F.array().cast("array<struct<pair:string,moves:bigint,base:bigint>>")
+        return moves.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("start_count"), steps.alias("steps"))
     start = int(page_flow.split(",")[0])
     pair = F.concat_ws("_", F.col("page_id").cast("string"), F.col("next_page_id").cast("string"))
     counted = (

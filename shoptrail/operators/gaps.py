@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from shoptrail.functions import times
 from shoptrail.functions.text import two_digits
-from shoptrail.operators.sequence import HOT_ROWS, HOT_SHARE, action_order, add_neighbour
+from shoptrail.operators.sequence import HOT_ROWS, action_order, add_neighbour
 
 
-def action_gaps(actions: DataFrame, hot_share: int = HOT_SHARE, hot_rows: int = HOT_ROWS) -> DataFrame:
+def action_gaps(actions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """For every action the time of the action before, the seconds since, and its day and minute."""
     order = action_order(actions)
     needed = actions.select(*dict.fromkeys(["session_id", *order, "page_id"]))
     rows = add_neighbour(
-        needed, "session_id", order, {"action_time": "previous"}, -1, hot_share=hot_share, hot_rows=hot_rows
+        needed, "session_id", order, {"action_time": "previous"}, -1, hot_rows=hot_rows
     )
     now, previous = F.col("action_time"), F.col("previous")
     return rows.select(

@@ -2,7 +2,7 @@
 
 A plain ``lead`` sorts each group in one task. That is right for ordinary sessions, but one session
 (a crawler, a client that never resets its id) may hold a large part of all rows. Such groups are
-found with a sketch, cut into ordered pieces by range partitioning, and the piece ends are joined
+found by counting, cut into ordered pieces by range partitioning, and the piece ends are joined
 in a second, tiny window. The result is the same, row for row.
 """
 
@@ -11,32 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoptrail.operators.ranking import broadcast_up_to
-
-# A group is cut up if it holds more than one row in HOT_SHARE and at least HOT_ROWS rows.
-HOT_SHARE = 1000
+# A group of so many rows is cut up.
 HOT_ROWS = 1_000_000
 
 
-def frequent_keys(df: DataFrame, key: str, share: int = HOT_SHARE, at_least: int = HOT_ROWS) -> DataFrame:
-    """Keys that hold more than ``1/share`` of all rows: never more than ``share`` of them.
+def frequent_keys(df: DataFrame, key: str, at_least: int = HOT_ROWS) -> DataFrame:
+    """Keys of ``at_least`` rows or more.
 
-    One pass over the key column with a mergeable frequent-items sketch, no shuffle by key. The
-    sketch may be slightly off near the threshold, which only decides how a group is processed.
+    Rows are counted inside the tasks before the shuffle, so a key of any size arrives as one row per
+    task. The result is exact: both branches that ask for it get the same keys.
     """
-    found = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.expr(f"approx_top_k(`{key}`, {share}, {min(16 * share, 1_000_000)})").alias("top"),
-    )
-    return (
-        found.select("total", F.explode("top").alias("top"))
-        .where((F.col("top.count") > F.col("total") / share) & (F.col("top.count") >= at_least))
-        .select(F.col("top.item").alias(key))
-    )
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= at_least).select(key)
 
 
-def _matches(df: DataFrame, frequent: DataFrame, share: int, key: str, how: str) -> DataFrame:
-    other = broadcast_up_to(frequent.withColumnRenamed(key, "_frequent"), share)
+def _matches(df: DataFrame, frequent: DataFrame, key: str, how: str) -> DataFrame:
+    other = frequent.withColumnRenamed(key, "_frequent")
     return df.join(other, F.col(key).eqNullSafe(F.col("_frequent")), how)
 
 
@@ -46,7 +35,6 @@ def add_neighbour(
     order: list[str],
     columns: dict[str, str],
     step: int,
-    hot_share: int = HOT_SHARE,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add columns of the next (``step=1``) or previous (``step=-1``) row of the same ``key``.
@@ -55,14 +43,14 @@ def add_neighbour(
     key. When no key is frequent, adaptive execution drops the second branch before it starts.
     """
     shift = F.lead if step > 0 else F.lag
-    frequent = frequent_keys(df, key, hot_share, hot_rows)
+    frequent = frequent_keys(df, key, hot_rows)
 
     whole = Window.partitionBy(key).orderBy(*order)
-    ordinary = _matches(df, frequent, hot_share, key, "left_anti").withColumns(
+    ordinary = _matches(df, frequent, key, "left_anti").withColumns(
         {out: shift(source).over(whole) for source, out in columns.items()}
     )
 
-    pieces = _matches(df, frequent, hot_share, key, "left_semi").repartitionByRange(key, *order)
+    pieces = _matches(df, frequent, key, "left_semi").repartitionByRange(key, *order)
     pieces = pieces.withColumn("_piece", F.spark_partition_id())
     inside = Window.partitionBy(key, "_piece").orderBy(*order)
     pieces = pieces.withColumns(
@@ -85,15 +73,17 @@ def add_neighbour(
 
 
 def first_action_key(actions: DataFrame) -> Column:
-    """Time order with tie-break as one number, for ``min_by``: seconds, then the low bits of the tie.
+    """Time order with tie-break as one number, for ``min_by``: microseconds, then ``event_id`` (or the user).
 
-    A struct would order by both columns in full, but aggregates on structs are sorted instead of
-    hashed, which takes half as long again. The number puts two actions in the wrong order only if
-    they share the second and their event ids are 2^30 and more apart.
+    A struct would order by both columns too, but aggregates on structs are sorted instead of hashed,
+    which takes half as long again. A decimal of 38 digits holds both numbers in full; a missing
+    id comes first.
     """
-    tie = F.col("event_id" if "event_id" in actions.columns else "user_id")
-    low_bits = F.coalesce(tie, F.lit(0)).bitwiseAND(F.lit(2**30 - 1))
-    return F.shiftleft(F.unix_timestamp("action_time"), 30).bitwiseOR(low_bits)
+    whole = "decimal(38,0)"
+    tie = F.col("event_id" if "event_id" in actions.columns else "user_id").cast("decimal(20,0)")
+    micros = F.unix_micros(F.col("action_time").cast("timestamp")).cast("decimal(17,0)")
+    place = F.coalesce(tie + F.lit(str(2**63)).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    return (micros * F.lit(str(2**64)).cast("decimal(20,0)")).cast(whole) + place.cast(whole)
 
 
 def action_order(actions: DataFrame) -> list[str]:

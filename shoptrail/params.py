@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 
 def _items(value) -> tuple[str, ...]:
@@ -37,10 +38,14 @@ class TaskParams:
 
     @classmethod
     def from_dict(cls, task: Mapping, **extra) -> "TaskParams":
-        """Build from the job's parameter object (``startDate``, ``endDate``, ``startAge``, ...)."""
+        """Build from the job's parameter object (``startDate``, ``endDate``, ``startAge``, ...).
+
+        Without dates the range is yesterday and today, by this machine's clock.
+        """
+        today = date.today()
         return cls(
-            start_date=task["startDate"],
-            end_date=task["endDate"],
+            start_date=task.get("startDate") or (today - timedelta(days=1)).isoformat(),
+            end_date=task.get("endDate") or today.isoformat(),
             start_age=_number(task.get("startAge")),
             end_age=_number(task.get("endAge")),
             professionals=_items(task.get("professionals")),

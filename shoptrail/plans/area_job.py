@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from shoptrail.fixed_values import RESULT_TABLES
+from shoptrail.fixed_values import OTHER_PRODUCT, OWN_PRODUCT, RESULT_TABLES
 from shoptrail.functions.sql import register_functions
 from shoptrail.operators import area
 from shoptrail.params import TaskParams
@@ -31,21 +31,21 @@ def run_area_job(
     return task_id
 
 
-AREA_CLICKS_SQL = """
-SELECT area, pid, count(*) AS click_count,
-       listagg(DISTINCT city_info, ',') WITHIN GROUP (ORDER BY city_info) AS city_infos
-FROM (
-  SELECT area, click_product_id AS pid, concat_long_string(city_id, city_name, ':') AS city_info
-  FROM area_click JOIN area_city USING (city_id)
+PRODUCTS_BY_AREA = """
+WITH per_city AS (
+  SELECT city_id, click_product_id AS pid, count(*) AS n
+  FROM clicks_in
+  GROUP BY city_id, click_product_id
+), per_area AS (
+  SELECT area, pid, sum(n) AS total,
+         array_sort(collect_set(concat_long_string(city_id, city_name, ':'))) AS places
+  FROM per_city NATURAL JOIN cities_in
+  GROUP BY area, pid
 )
-GROUP BY area, pid
-"""
-
-AREA_PRODUCTS_SQL = """
-SELECT c.area, c.city_infos, c.pid, p.product_name,
-       if(get_json_field(p.extend_info, 'product_status') = '0', 'Self', 'Thrid Party') AS product_status,
-       c.click_count
-FROM area_click_count c JOIN area_product p ON c.pid = p.product_id
+SELECT area, pid, total AS click_count, array_join(places, ',') AS city_infos, product_name,
+       CASE get_json_field(extend_info, 'product_status') WHEN '0' THEN :own ELSE :other END AS product_status
+FROM products_in
+JOIN per_area ON product_id = pid
 """
 
 
@@ -53,6 +53,7 @@ def area_products_in_sql(clicks: DataFrame, cities: DataFrame, products: DataFra
     """Products of each area with clicks, cities and status, written in SQL over temporary views."""
     spark = clicks.sparkSession
     register_functions(spark)
-    register_views(area_click=clicks, area_city=cities, area_product=products)
-    register_views(area_click_count=spark.sql(AREA_CLICKS_SQL))
-    return spark.sql(AREA_PRODUCTS_SQL)
+    register_views(
+        clicks_in=clicks.select("city_id", "click_product_id"), cities_in=cities.select("city_id", "city_name", "area"), products_in=products
+    )
+    return spark.sql(PRODUCTS_BY_AREA, args={"own": OWN_PRODUCT, "other": OTHER_PRODUCT})

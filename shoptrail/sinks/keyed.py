@@ -8,22 +8,52 @@ several batches combine is decided by the table's rule when it is read:
 ``replace_group``  a group (say day and province) has the rows of the latest batch that wrote it
 ``insert``         a key is inserted once
 
-Running a batch again overwrites its folder, so a replay cannot count twice. Now and then older
-batches are folded into one base folder, so a read meets a bounded number of folders. Rows are
-partitioned by day where the table has one, so a query on some days reads only those.
+Running a batch again overwrites its folder, so a replay cannot count twice. A new checkpoint counts
+its batches from 0 again; ``first_batch`` gives each checkpoint a range of numbers of its own, above
+those of the checkpoints before it, so its batches come on top of the table.
+
+Now and then older batches are folded into a base, so a read meets a bounded number of folders.
+Rows are partitioned by day where the table has one: a query on some days reads only those, and a
+fold writes only days with new rows. The base of a day is the newest one that has a folder for it.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoptrail.storage import delete_folder, finished_folders, matching_paths
+from shoptrail.storage import delete_folder, finished_folders, make_folder, matching_paths
 
 _BATCH = "batch_id"
+# Batches that one checkpoint may count.
+_RUN = 1 << 40
+# Rows of one day that a batch writes to one file.
+FILE_ROWS = 1_000_000
+
+
+def first_batch(spark: SparkSession, folder: str, checkpoint: str) -> int:
+    """What to add to a query's batch ids for the tables below ``folder``.
+
+    A checkpoint that has offsets goes on in the range it was given; a new one, or one deleted and
+    begun again, gets the next range. An older checkpoint cannot go on once a newer one has
+    written: its batches would come below rows that are already there.
+    """
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()
+    runs = sorted((int(path.rsplit("/run=", 1)[1].split("/")[0]), path.rsplit("/", 1)[1]) for path in matching_paths(spark, f"{folder}/runs/run=*/*"))
+    if matching_paths(spark, f"{checkpoint}/offsets/*"):
+        mine = [run for run, owner in runs if owner == name]
+        if mine and mine[-1] == runs[-1][0]:
+            return mine[-1] * _RUN
+        if mine:
+            raise ValueError(f"a newer checkpoint has written to {folder}")
+    run = runs[-1][0] + 1 if runs else 0
+    make_folder(spark, f"{folder}/runs/run={run}/{name}")
+    return run * _RUN
 
 
 def combine(rows: DataFrame, rule: str, keys: list[str], value: str | None) -> DataFrame:
@@ -56,8 +86,12 @@ class KeyedTable:
         found = finished_folders(self.spark, f"{self.path}/kind={kind}/{_BATCH}=*")
         return {int(folder.rsplit("=", 1)[1]): folder for folder in found}
 
-    def _live(self, before: int | None) -> tuple[int | None, list[str]]:
-        """Latest usable base and the folders that make up the table before batch ``before``."""
+    def _days(self, folder: str) -> dict[str, str]:
+        found = matching_paths(self.spark, f"{folder}/{self.partition}=*")
+        return {path.rsplit("=", 1)[1]: path for path in found}
+
+    def _live(self, before: int | None) -> tuple[int | None, list[str], list[str]]:
+        """Latest usable base number, and the base and delta folders that make up the table before ``before``."""
         bases = {b: f for b, f in self._folders("base").items() if before is None or b < before}
         base = max(bases, default=None)
         deltas = {
@@ -65,7 +99,14 @@ class KeyedTable:
             for b, f in self._folders("delta").items()
             if (before is None or b < before) and (base is None or b > base)
         }
-        return base, ([bases[base]] if base is not None else []) + [deltas[b] for b in sorted(deltas)]
+        if self.partition:
+            newest: dict[str, str] = {}
+            for b in sorted(bases):
+                newest |= self._days(bases[b])
+            folded = [newest[day] for day in sorted(newest)]
+        else:
+            folded = [bases[base]] if base is not None else []
+        return base, folded, [deltas[b] for b in sorted(deltas)]
 
     def _read(self, folders: list[str]) -> DataFrame:
         schema = T.StructType([*self.schema.fields, T.StructField(_BATCH, T.LongType())])
@@ -83,7 +124,10 @@ class KeyedTable:
 
         ``partitions`` restricts the read to some values of the partition column.
         """
-        stored = self._read(self._live(before)[1])
+        _, folded, deltas = self._live(before)
+        if partitions is not None and self.partition:
+            folded = [f for f in folded if f.rsplit("=", 1)[1] in partitions]
+        stored = self._read(folded + deltas)
         if partitions is not None and self.partition:
             stored = stored.where(F.col(self.partition).isin(*partitions))
         return combine(stored, self.rule, list(self.keys), self.value).select(*self.schema.names)
@@ -108,30 +152,61 @@ class KeyedTable:
     def _write(self, rows: DataFrame, kind: str, batch_id: int) -> None:
         rows = rows.select(*self.schema.names)
         if self.partition:
-            # Few files per day, and no day in one task only: adaptive execution splits large ones.
-            rows = rows.hint("rebalance", self.partition)
+            rows = self._dealt(rows)
         writer = rows.write.mode("overwrite")
         if self.partition:
             writer = writer.partitionBy(self.partition)
         writer.parquet(f"{self.path}/kind={kind}/{_BATCH}={batch_id}")
 
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows dealt by day and, for large batches, by a salt of their keys.
+
+        A batch of a stateful query runs without adaptive execution, so what it writes is dealt here:
+        one file for each day and salt, and as many salts as the batch has times ``FILE_ROWS`` rows.
+        """
+        salts = 1 + rows.count() // FILE_ROWS
+        salt = F.pmod(F.xxhash64(*self.schema.names), F.lit(salts))
+        return rows.repartition(F.col(self.partition), salt)
+
     def apply(self, rows: DataFrame, batch_id: int) -> None:
         """Write the rows of a batch; the same batch again replaces what it wrote before."""
-        self._write(rows, "delta", batch_id)
+        if not self.partition:
+            self._write(rows, "delta", batch_id)
+            return
+        kept = rows.persist(StorageLevel.MEMORY_AND_DISK)  # counted, then written
+        try:
+            self._write(kept, "delta", batch_id)
+        finally:
+            kept.unpersist()
 
     def fold(self, before: int) -> None:
-        """Fold the batches before ``before`` into a base once there are enough of them.
+        """Fold the batches before ``before`` into a base once they and the last base are more than ``fold_every``.
 
-        Call it at the start of batch ``before``, when all earlier batches are known to be
-        committed. Folders that the base before this one replaced are deleted; those of the last
-        base are left for readers that have just opened them.
+        Only days that these batches wrote are folded; the folders of other days stay as they are. Call
+        it at the start of batch ``before``, when all earlier batches are known to be committed.
+        Folders that the base before this one replaced are deleted; those that this one replaces are
+        left for readers that have just opened them.
         """
-        base, folders = self._live(before)
-        if len(folders) <= self.fold_every:
+        base, _, deltas = self._live(before)
+        if len(deltas) + (base is not None) <= self.fold_every:
             return
-        self._write(self.current(before), "base", before - 1)
+        days = sorted({day for folder in deltas for day in self._days(folder)}) if self.partition else None
+        self._write(self.current(before, days), "base", before - 1)
         if base is not None:
-            stale = [f for b, f in self._folders("delta").items() if b <= base]
-            stale += [f for b, f in self._folders("base").items() if b < base]
-            for folder in stale:
+            for b, folder in self._folders("delta").items():
+                if b <= base:
+                    delete_folder(self.spark, folder)
+            self._drop_old_bases(base)
+
+    def _drop_old_bases(self, last: int) -> None:
+        """Delete what base ``last`` and those before it have replaced of older ones."""
+        seen: set[str] = set()
+        for b, folder in sorted(self._folders("base").items(), reverse=True):
+            if b > last:
+                continue  # still read by those who opened the table before the new base
+            days = self._days(folder) if self.partition else {"": folder}
+            if days.keys() <= seen:
                 delete_folder(self.spark, folder)
+            for day in days.keys() & seen:
+                delete_folder(self.spark, days[day])
+            seen |= days.keys()

@@ -64,6 +64,17 @@ def finished_folders(spark: SparkSession, pattern: str) -> list[str]:
     return [path.rsplit("/", 1)[0] for path in matching_paths(spark, f"{pattern}/_SUCCESS")]
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+
+def delete_at_end(spark: SparkSession, folder: str) -> None:
+    """Delete the folder when the application's file system is closed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

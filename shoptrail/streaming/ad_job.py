@@ -2,8 +2,10 @@
 
 Every micro-batch drops the clicks of users banned before it, then updates keyed tables. A
 micro-batch is an ordinary DataFrame, so the steps are the batch functions of ``operators.ads``.
-Running values live in the tables, not in the query: they survive a lost checkpoint, and a batch
-that runs again gives the same rows, since it reads the tables as they were before it.
+Running values live in the tables, not in the query. A query with a new checkpoint goes on where the
+tables stand (``sinks.keyed.first_batch``), and a batch that runs again gives the same rows, since it
+reads the tables as they were before it. Lines that the lost checkpoint had read already are counted
+again if the source still offers them: that is the source's position, which only a checkpoint keeps.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shoptrail import schemas
 from shoptrail.fixed_values import BAN_ABOVE_CLICKS, RESULT_TABLES, TRIGGER_SECONDS
 from shoptrail.operators import ads
-from shoptrail.sinks.keyed import KeyedTable
+from shoptrail.sinks.keyed import KeyedTable, first_batch
 from shoptrail.sources.ad_log import parse_ad_lines
 from shoptrail.streaming.running import rank_touched
 
@@ -31,6 +33,7 @@ class AdTables:
     city_totals: KeyedTable
     province_top: KeyedTable
     trend: KeyedTable
+    folder: str
 
     @classmethod
     def below(cls, spark: SparkSession, folder: str, fold_every: int = 50) -> "AdTables":
@@ -56,7 +59,7 @@ class AdTables:
                 "clickCount",
                 "date",
             ),
-            table("ad_province_top3", schemas.AD_PROVINCE_TOP3, "replace_group", ("date", "province")),
+            table("ad_province_top3", schemas.AD_PROVINCE_TOP3, "replace_group", ("date", "province"), partition="date"),
             table(
                 "ad_trend",
                 schemas.AD_TREND,
@@ -65,6 +68,7 @@ class AdTables:
                 "clickCount",
                 "date",
             ),
+            folder,
         )
 
     def all(self) -> tuple[KeyedTable, ...]:
@@ -104,10 +108,11 @@ def start_ad_job(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the job on a stream of ad log lines."""
+    first = first_batch(tables.blacklist.spark, tables.folder, checkpoint)
     return (
         parse_ad_lines(lines, observe_as="ad_lines")
         .writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": f"{TRIGGER_SECONDS} seconds"}))
-        .foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, tables, ban_above))
+        .foreachBatch(lambda batch, batch_id: process_batch(batch, first + batch_id, tables, ban_above))
         .start()
     )

@@ -1,92 +1,62 @@
-"""Running statistics of an ad click stream with Spark's own state: totals, trend, sliding hour.
+"""Running statistics of an ad click stream: totals, top ads, trend, sliding hour.
 
-State is bounded by a watermark on event time: a day's totals, or a window, are dropped once no
-click for them can arrive any more. Results are plain keyed tables (see ``sinks.keyed``).
+Counts add up, so every batch writes its own counts to a keyed table with the ``add`` rule (see
+``sinks.keyed``), and readers sum them. No state is kept in the query, so there is no watermark and no
+click is ever too late. Clicks are counted per minute before they are put into sliding windows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shoptrail.fixed_values import TRIGGER_SECONDS
-from shoptrail.functions.times import day_key, format_time, minute_key
-from shoptrail.operators.ads import province_top_ads
-from shoptrail.sinks.keyed import KeyedTable
-
-
-def running_city_totals(clicks: DataFrame, late: str = "1 day") -> DataFrame:
-    """Running total per day, province, city and ad (update mode: the changed keys of each batch)."""
-    counts = (
-        clicks.withWatermark("ts", late)
-        .groupBy(F.window("ts", "1 day").alias("w"), "province", "city", "adid")
-        .agg(F.count(F.lit(1)).alias("clickCount"))
-    )
-    return counts.select(day_key("w.start").alias("date"), "province", "city", "adid", "clickCount")
-
-
-def running_trend(clicks: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Clicks per minute and ad."""
-    counts = (
-        clicks.withWatermark("ts", late)
-        .groupBy(F.window("ts", "1 minute").alias("w"), "adid")
-        .agg(F.count(F.lit(1)).alias("clickCount"))
-    )
-    key = minute_key("w.start")
-    return counts.select(
-        F.substring(key, 1, 8).alias("date"),
-        F.substring(key, 9, 2).alias("hour"),
-        F.substring(key, 11, 2).alias("minute"),
-        "adid",
-        "clickCount",
-    )
-
-
-def running_hour(clicks: DataFrame, length: str = "60 minutes", slide: str = "1 minute", late: str = "1 hour") -> DataFrame:
-    """Clicks per ad in a window of ``length`` that moves on by ``slide``.
-
-    Every click belongs to ``length / slide`` windows (60 here); the trend per minute carries the
-    same information in one row per minute and is the form to store.
-    """
-    counts = (
-        clicks.withWatermark("ts", late)
-        .groupBy(F.window("ts", length, slide).alias("w"), "adid")
-        .agg(F.count(F.lit(1)).alias("clickCount"))
-    )
-    return counts.select(
-        format_time("w.start").alias("windowStart"), format_time("w.end").alias("windowEnd"), "adid", "clickCount"
+from shoptrail.functions.times import format_time
+from shoptrail.operators.ads import city_totals, province_top_ads
+from shoptrail.sinks.keyed import KeyedTable, first_batch
+
+
+def sliding_hours(trend: DataFrame, minutes: int = 60) -> DataFrame:
+    """Clicks per ad in each window of ``minutes`` that moves on by one, from clicks per minute and ad."""
+    at = F.to_timestamp(F.concat("date", "hour", "minute"), "yyyyMMddHHmm")
+    start = F.explode(F.transform(F.sequence(F.lit(0), F.lit(minutes - 1)), lambda i: at - F.make_interval(mins=i)))
+    windows = trend.select(start.alias("start"), "adid", "clickCount").groupBy("start", "adid").agg(F.sum("clickCount").alias("clickCount"))
+    return windows.select(
+        format_time("start").alias("windowStart"), format_time(F.col("start") + F.make_interval(mins=F.lit(minutes))).alias("windowEnd"), "adid", "clickCount"
     )
 
 
-def start_upserts(
-    updates: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None = None
+def start_counts(
+    clicks: DataFrame, count: Callable[[DataFrame], DataFrame], table: KeyedTable, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Write the changed rows of each batch to a keyed table with the ``replace`` rule."""
+    """Add ``count`` of each batch of clicks to a keyed table with the ``add`` rule."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table.fold(batch_id)
-        table.apply(batch, batch_id)
+        table.apply(count(batch), batch_id)
 
-    return _start(updates, write, checkpoint, trigger)
+    return _start(clicks, write, table, checkpoint, trigger)
 
 
 def start_province_top_ads(
-    updates: DataFrame, totals: KeyedTable, top: KeyedTable, checkpoint: str, trigger: dict | None = None
+    clicks: DataFrame, totals: KeyedTable, top: KeyedTable, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Keep city totals, and the top ads of every day and province that a batch touches.
 
-    A ranking needs all ads of a province, and a streaming frame cannot be ranked, so each batch
-    ranks the totals table again, restricted to the days and provinces it changed.
+    A ranking needs all ads of a province, so each batch ranks the totals table again, restricted
+    to the days and provinces it changed.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         for table in (totals, top):
             table.fold(batch_id)
-        totals.apply(batch, batch_id)
+        totals.apply(city_totals(batch), batch_id)
         rank_touched(totals, top, batch_id)
 
-    return _start(updates, write, checkpoint, trigger)
+    return _start(clicks, write, totals, checkpoint, trigger)
 
 
 def rank_touched(totals: KeyedTable, top: KeyedTable, batch_id: int) -> None:
@@ -94,11 +64,11 @@ def rank_touched(totals: KeyedTable, top: KeyedTable, batch_id: int) -> None:
     top.apply(province_top_ads(totals.with_batch(batch_id, ["date", "province"])), batch_id)
 
 
-def _start(updates: DataFrame, write, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+def _start(clicks: DataFrame, write, table: KeyedTable, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    first = first_batch(table.spark, table.path, checkpoint)
     return (
-        updates.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        clicks.writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": f"{TRIGGER_SECONDS} seconds"}))
-        .foreachBatch(write)
+        .foreachBatch(lambda batch, batch_id: write(batch, first + batch_id))
         .start()
     )

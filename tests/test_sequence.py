@@ -35,15 +35,15 @@ def test_cut_groups_give_the_same_rows(spark, step, partitions):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
-        cut = add_neighbour(df, "key", ["time", "tie"], {"value": "other"}, step, hot_share=100, hot_rows=500)
+        cut = add_neighbour(df, "key", ["time", "tie"], {"value": "other"}, step, hot_rows=500)
         assert rows(cut.select(plain.columns)) == rows(plain)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def test_frequent_keys(spark):
-    assert {r.key for r in frequent_keys(skewed(spark), "key", 100, 500).collect()} == {"hot", None}
-    assert frequent_keys(skewed(spark), "key", 100, 50_000).count() == 0
+    assert {r.key for r in frequent_keys(skewed(spark), "key", 500).collect()} == {"hot", None}
+    assert frequent_keys(skewed(spark), "key", 50_000).count() == 0
 
 
 def test_branch_for_frequent_keys_costs_nothing_without_any(spark):
@@ -86,6 +86,18 @@ def test_flow_with_a_repeated_step(spark):
     assert got == [("1_2", 2, 2), ("2_1", 1, 2), ("1_2", 2, 1)]
 
 
+@pytest.mark.parametrize("flow", ["1", ""])
+def test_flow_without_a_step(spark, flow):
+    moves = funnel.page_moves(visits(spark, a=[1, 2]))
+    assert funnel.flow_rates(moves, flow).collect() == []
+    assert [tuple(r) for r in funnel.flow_rate_text(moves, flow, "t").collect()] == [("t", "")]
+
+
+def test_hot_keys_are_counted_without_a_single_task(spark):
+    plan = frequent_keys(skewed(spark), "key", 500)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "approx_top_k" not in plan
+
+
 def test_flow_without_any_action(spark):
     moves = funnel.page_moves(visits(spark, a=[9]))
     assert [r.moves for r in funnel.flow_rates(moves, "1,2,3").collect()] == [0, 0]

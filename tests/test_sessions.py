@@ -6,6 +6,8 @@ from shoptrail.operators import buckets, sessions
 from shoptrail.params import TaskParams
 from shoptrail.sources.tables import visit_actions
 
+from pyspark.sql import functions as F
+
 DAYS = {"startDate": "2024-03-01", "endDate": "2024-03-31"}
 
 
@@ -43,6 +45,28 @@ def test_rollup_of_one_session(spark):
     assert (row.visit_length, row.step_length) == (9, 9)
 
 
+@pytest.mark.parametrize(
+    "first, second",
+    [
+        ({"event": 2**30 - 1}, {"event": 2**30}),
+        ({"event": 2**31 + 5}, {"event": 2**40}),
+        ({"event": 9, "action_time": "2024-03-01 12:00:00.100"}, {"event": 1, "action_time": "2024-03-01 12:00:00.900"}),
+        ({"event": -(2**63)}, {"event": 2**63 - 1}),
+        ({"event": None}, {"event": 0}),
+    ],
+)
+def test_first_action_is_found_exactly(spark, first, second):
+    for order in ([(first, 10), (second, 20)], [(second, 20), (first, 10)]):
+        table = action_table(spark, [action(user_id=user, **values) for values, user in order])
+        table = table.withColumn("action_time", F.to_timestamp("action_time"))
+        assert sessions.session_rollup(table).first().user_id == 10
+
+
+def test_first_action_without_event_id(spark):
+    table = action_table(spark, [action(user_id=2**40), action(user_id=2**40 - 1)]).drop("event_id")
+    assert sessions.session_rollup(table.withColumn("action_time", F.to_timestamp("action_time"))).first().user_id == 2**40 - 1
+
+
 def test_session_belongs_to_the_user_of_its_first_action(spark):
     actions = [
         action(seconds=1, event=1, user_id=1),

@@ -109,52 +109,66 @@ def test_batches_without_any_click(spark, tmp_path):
 def test_running_totals_equal_the_batch_result(spark, inbox, tmp_path):
     folder, add = inbox
     keys = ("date", "province", "city", "adid")
-    totals = KeyedTable(spark, str(tmp_path / "t"), schemas.AD_CITY_TOTALS, "replace", keys, "clickCount")
+    totals = KeyedTable(spark, str(tmp_path / "t"), schemas.AD_CITY_TOTALS, "add", keys, "clickCount")
     top = KeyedTable(spark, str(tmp_path / "p"), schemas.AD_PROVINCE_TOP3, "replace_group", ("date", "province"))
     for piece in PIECES:
         add(piece)
-        updates = running.running_city_totals(parse_ad_lines(stream(spark, folder)))
-        running.start_province_top_ads(updates, totals, top, str(tmp_path / "cp"), ONCE).awaitTermination()
+        clicks = parse_ad_lines(stream(spark, folder))
+        running.start_province_top_ads(clicks, totals, top, str(tmp_path / "cp"), ONCE).awaitTermination()
     expected = ads.city_totals(all_clicks(spark))
     assert rows(totals.current()) == rows(expected)
     assert rows(top.current()) == rows(ads.province_top_ads(expected))
 
 
-def trend(spark, inbox, tmp_path, pieces, late):
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
+def test_trend_has_every_click_however_late(spark, inbox, tmp_path, order):
     folder, add = inbox
-    table = KeyedTable(
-        spark, str(tmp_path / "t"), schemas.AD_TREND, "replace", ("date", "hour", "minute", "adid"), "clickCount"
-    )
-    for piece in pieces:
-        add(piece)
-    updates = running.running_trend(parse_ad_lines(stream(spark, folder)), late)
-    running.start_upserts(updates, table, str(tmp_path / "cp"), ONCE).awaitTermination()
-    return rows(table.current())
-
-
-def test_trend_equals_the_batch_result(spark, inbox, tmp_path):
-    assert trend(spark, inbox, tmp_path, PIECES, "1 hour") == rows(ads.minute_trend(all_clicks(spark)))
+    keys = ("date", "hour", "minute", "adid")
+    table = KeyedTable(spark, str(tmp_path / "t"), schemas.AD_TREND, "add", keys, "clickCount", "date")
+    pieces = [PIECES[0], [ad_line(at=NOON + timedelta(hours=40))] * 2, [ad_line(at=NOON + timedelta(seconds=1))]]
+    for i in order:
+        add(pieces[i])
+    running.start_counts(parse_ad_lines(stream(spark, folder)), ads.minute_trend, table, str(tmp_path / "cp"), ONCE).awaitTermination()
+    assert rows(table.current()) == rows(ads.minute_trend(all_clicks(spark, pieces)))
 
 
-def test_a_minute_is_final_after_the_watermark(spark, inbox, tmp_path):
-    first = [ad_line(at=NOON)]
-    # Rows are judged late by the watermark that the batch before last has set.
-    later = [ad_line(at=NOON + timedelta(hours=4))]
-    too_late = [ad_line(at=NOON + timedelta(seconds=1))]
-    got = trend(spark, inbox, tmp_path, [first, later, later, too_late], "1 hour")
-    assert got == [("20240301", "12", "00", 1, 1), ("20240301", "16", "00", 1, 2)]
+def test_sliding_hour(spark):
+    lines = [ad_line(at=NOON), ad_line(at=NOON + timedelta(minutes=59)), ad_line(at=NOON + timedelta(minutes=60))]
+    got = running.sliding_hours(ads.minute_trend(all_clicks(spark, [lines]))).collect()
+    assert len(got) == 120 and {r.windowStart[11:] for r in got if r.clickCount == 2} >= {"12:00:00", "12:01:00"}
+    found = {r.windowStart[11:16]: (r.clickCount, r.windowEnd[11:16]) for r in got}
+    assert (found["11:01"], found["12:00"], found["12:01"], found["13:00"]) == ((1, "12:01"), (2, "13:00"), (2, "13:01"), (1, "14:00"))
 
 
-def test_sliding_hour(spark, inbox, tmp_path):
+def test_a_new_checkpoint_goes_on_where_the_tables_stand(spark, inbox, tmp_path):
     folder, add = inbox
-    add([ad_line(at=NOON), ad_line(at=NOON + timedelta(minutes=59)), ad_line(at=NOON + timedelta(minutes=60))])
-    updates = running.running_hour(parse_ad_lines(stream(spark, folder)))
-    keys = ("windowStart", "windowEnd", "adid")
-    table = KeyedTable(spark, str(tmp_path / "t"), updates.schema, "replace", keys, "clickCount")
-    running.start_upserts(updates, table, str(tmp_path / "cp"), ONCE).awaitTermination()
-    got = {r.windowStart[11:16]: r.clickCount for r in table.current().collect()}
-    assert (got["11:01"], got["12:00"], got["12:01"], got["13:00"]) == (1, 2, 2, 1)
-    assert len(got) == 120
+    table = KeyedTable(spark, str(tmp_path / "t"), schemas.AD_CITY_TOTALS, "add", ("date", "province", "city", "adid"), "clickCount")
+    for _ in range(5):
+        add([ad_line()] * 10)
+    source = parse_ad_lines(stream(spark, folder))
+    for _ in range(2):  # the second time there is nothing new
+        running.start_counts(source, ads.city_totals, table, str(tmp_path / "cp1"), ONCE).awaitTermination()
+        assert [r.clickCount for r in table.current().collect()] == [50]
+    second = tmp_path / "second"
+    second.mkdir()
+    for i in range(3):
+        (second / f"p{i}").write_text("\n".join([ad_line()] * 10) + "\n")
+    later = parse_ad_lines(stream(spark, second))
+    running.start_counts(later, ads.city_totals, table, str(tmp_path / "cp2"), ONCE).awaitTermination()
+    assert [r.clickCount for r in table.current().collect()] == [80]
+    with pytest.raises(ValueError, match="newer checkpoint"):
+        running.start_counts(source, ads.city_totals, table, str(tmp_path / "cp1"), ONCE)
+
+
+def test_the_blacklist_outlives_the_checkpoint(spark, inbox, tmp_path):
+    folder, add = inbox
+    tables = AdTables.below(spark, str(tmp_path / "out"))
+    for n, piece in enumerate(PIECES):
+        part = folder.parent / f"in{n}"
+        part.mkdir()
+        (part / "lines").write_text("\n".join(piece) + "\n")
+        start_ad_job(stream(spark, part), tables, str(tmp_path / f"cp{n}"), BAN_ABOVE, ONCE).awaitTermination()
+    expect_job_tables(spark, tables)
 
 
 def keyed(spark, path, rule, keys, value="v", **more):
@@ -202,11 +216,43 @@ def test_folding_bounds_the_number_of_folders(spark, tmp_path):
     for batch_id in range(12):
         table.fold(batch_id)
         table.apply(frame(spark, ("a", "x", 1)), batch_id)
-        assert len(table._live(None)[1]) <= 4
+        assert sum(map(len, table._live(None)[1:])) <= 4
     assert rows(table.current()) == [("a", "x", 12)]
     assert len(list(tmp_path.glob("kind=*/batch_id=*"))) <= 9
 
 
+def test_a_fold_leaves_untouched_days_alone(spark, tmp_path):
+    table = keyed(spark, tmp_path, "add", ("k", "g"), partition="g", fold_every=1)
+    for batch_id, day in enumerate(["x", "x", "y", "y", "x", "y", "y", "y"]):
+        table.fold(batch_id)
+        table.apply(frame(spark, ("a", day, 1)), batch_id)
+        if batch_id == 2:
+            files = {f: f.stat().st_mtime_ns for f in tmp_path.glob("kind=base/batch_id=1/g=x/*.parquet")}
+            assert files
+        if batch_id == 4:  # day y has been folded since
+            assert list(tmp_path.glob("kind=base/batch_id=3/g=y/*")) and not list(tmp_path.glob("kind=base/batch_id=3/g=x"))
+            assert {f: f.stat().st_mtime_ns for f in files} == files
+    assert rows(table.current()) == [("a", "x", 3), ("a", "y", 5)]
+    assert rows(table.current(partitions=["x"])) == [("a", "x", 3)]
+
+
+@pytest.mark.parametrize(("most", "low", "high"), [(1_000_000, 1, 1), (100, 4, 11)])
+def test_a_batch_writes_few_files_for_each_day(spark, tmp_path, monkeypatch, most, low, high):
+    from pyspark.sql import functions as F
+    from shoptrail.sinks import keyed as module
+
+    monkeypatch.setattr(module, "FILE_ROWS", most)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as in a batch of a stateful query
+    try:
+        table = keyed(spark, tmp_path, "add", ("k", "g"), partition="g")
+        day = F.when(F.col("id") < 990, "x").otherwise("y")
+        table.apply(spark.range(1000).repartition(16).select(F.col("id").cast("string").alias("k"), day.alias("g"), F.col("id").alias("v")), 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert low <= len(list(tmp_path.glob("kind=delta/*/g=x/*.parquet"))) <= high
+    assert table.current().count() == 1000
+
+
 def test_kafka_source_names_its_options(spark):
     """The connector is not part of a plain PySpark installation."""
     with pytest.raises(Exception, match="(?i)kafka"):
