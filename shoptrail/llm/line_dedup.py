@@ -1,12 +1,11 @@
 r"""Line dedup: fuzzy equal lines are found over all texts, and one line of each group stays.
 
 1. Lines (split at ``\n``; lower-cased, white space at the ends trimmed) are reduced to distinct ones and written once.
-2. A line's character shingles are hashed and sorted. A signature holds minima: for each of 32 fixed
-   points, the least hash from there on (after the last comes the first). Only shingles that begin with an anchor character
-   count there, which keeps a fixed part of them wherever they stand.
-3. A band is a point's minimum and the next two hashes. Lines that agree in one of seven bands are
-   candidates. In each band's group the first line meets all others. Where that leaves a group in
-   several components, lines of different components meet if their sketches and lengths allow the
+2. A line's character shingles are hashed and sorted. A signature holds minima: for each of seven fixed
+   points, the least three hashes from there on (after the last comes the first). Only shingles that begin with an
+   anchor character count there, which keeps a fixed part of them wherever they stand.
+3. A band is the three hashes of a point. Lines that agree in one of seven bands are candidates. In each band's group the first line meets all others. Where that leaves a group in
+   several components, lines of different components meet if their sketches and sizes allow the
    similarity.
 4. The Jaccard similarity of the full shingle sets is computed exactly; pairs of 0.8 or more are links.
 5. Union-find gives the components. The first line in order of document and place stays.
@@ -24,14 +23,16 @@ from shoptrail.llm.common import stage
 from shoptrail.llm.components import components
 
 SHINGLE = 8
-POINTS, BANDS, ROWS = 32, 7, 3
+BANDS, ROWS = 7, 3
 LEAST = 0.8
-#: Bits, one of each minimum, in which lines of the least similarity differ at most (3.2 on average, 1.7 deviation).
-SKETCH_BITS = 9
+#: Bits of 64, one for each of a line's 21 band elements, in which lines of the least similarity differ at most (8 on average).
+SKETCH_BITS = 20
+#: Numbers of anchored shingles of lines of the least similarity differ at most by this factor (1.25 on average).
+SIZES = 1.6
 #: Anchors: Latin-1 characters whose number is a multiple of 5, and all others.
 _ANCHOR = "[" + "".join(f"\\x{c:02x}" for c in range(0x20, 0x100) if c % 5 == 0) + r"\x{100}-\x{10ffff}]"
 _ANCHORED = rf"(?s)(?=({_ANCHOR}.{{{SHINGLE - 1}}}))"
-_POINTS = [(i * 2 + 1 - POINTS) * (2**63 // POINTS) + 1 for i in range(POINTS)]
+_POINTS = [((2 * i + 1 - BANDS) * (2**63 // BANDS)) | 1 for i in range(BANDS)]
 
 
 def shingle_set(line: Column) -> Column:
@@ -60,23 +61,28 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
 
 
 def band_members(table: DataFrame) -> DataFrame:
-    """Rows (key, rep, lid, sketch, length) of the lines in bands of two lines or more; rep is a band's least lid."""
+    """Rows (key, rep, lid, sketch, length) of the lines in bands of two lines or more; rep is a band's least lid.
+
+    length is the number of a line's different anchored shingles.
+    """
     found = table.select("lid", "line", F.regexp_extract_all("line", F.lit(_ANCHORED), F.lit(1)).alias("some"))
     # a line without anchors, or shorter than a shingle, is its own shingle
-    found = found.select("lid", F.length("line").alias("length"), F.when(F.size("some") > 0, F.col("some")).otherwise(F.array("line")).alias("some"))
-    hashed = found.select("lid", "length", F.array_distinct(F.transform("some", lambda s: F.xxhash64(s))).alias("hashes"))
+    found = found.select("lid", F.when(F.size("some") > 0, F.col("some")).otherwise(F.array("line")).alias("some"))
+    # hashes are even and points odd, so that one walk finds the points among the sorted hashes
+    hashed = found.select("lid", F.array_distinct(F.transform("some", lambda s: F.xxhash64(s).bitwiseAND(F.lit(-2)))).alias("hashes"))
     points = F.array(*[F.lit(p).cast("long") for p in _POINTS])
-    # where each point stands among the hashes: its place among both, less the points before it
-    ordered = hashed.select("lid", "length", F.sort_array("hashes").alias("hashes"), F.sort_array(F.concat("hashes", points)).alias("mixed"))
-    placed = ordered.select("lid", "length", "hashes", F.array(*[(F.array_position("mixed", F.lit(p).cast("long")) - 1 - i).cast("int") for i, p in enumerate(_POINTS)]).alias("from"))
-
-    def nth(point: int, n: int) -> Column:
-        return F.get("hashes", F.pmod(F.get("from", F.lit(point)) + n, F.size("hashes")))
-
-    keys = [F.xxhash64(F.lit(b), *[nth(b * (POINTS // BANDS), r) for r in range(ROWS)]) for b in range(BANDS)]
-    least = F.transform("from", lambda at: F.get("hashes", F.pmod(at, F.size("hashes"))))
-    sketch = F.aggregate(least, F.lit(0).cast("long"), lambda bits, h: F.shiftleft(bits, 1).bitwiseOR(h.bitwiseAND(F.lit(1).cast("long"))))
-    rows = placed.select("lid", "length", sketch.alias("sketch"), F.array(*keys).alias("keys")).select("lid", "length", "sketch", F.explode("keys").alias("key"))
+    mixed = F.transform(F.sort_array(F.concat("hashes", points)), lambda x, i: F.when(x.bitwiseAND(F.lit(1)) == 1, i))
+    placed = hashed.select("lid", F.sort_array("hashes").alias("hashes"), F.array_compact(mixed).alias("from"))
+
+    def nth(band: int, n: int) -> Column:  # of the hashes before a point among both, the points before it are none
+        return F.get("hashes", F.pmod(F.get("from", F.lit(band)) - band + n, F.size("hashes")))
+
+    elements = [[nth(b, r) for r in range(ROWS)] for b in range(BANDS)]
+    keys = F.array(*[F.xxhash64(F.lit(b), *e) for b, e in enumerate(elements)])
+    # a bit for each element of the bands
+    bits = F.aggregate(F.array(*[x for e in elements for x in e]), F.lit(0).cast("long"), lambda a, h: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 1).bitwiseAND(F.lit(63)).cast("int"))))
+    rows = placed.select("lid", F.size("hashes").alias("length"), bits.alias("sketch"), keys.alias("keys"))
+    rows = rows.select("lid", "length", "sketch", F.explode("keys").alias("key"))
     # rows of a few numbers; a band of any size streams through its window
     band = Window.partitionBy("key")
     return rows.withColumns({"rep": F.min("lid").over(band), "last": F.max("lid").over(band)}).where("rep < last").drop("last")
@@ -104,8 +110,7 @@ def line_links(table: DataFrame) -> DataFrame:
     rest = stage(known.join(split, "key", "left_semi").select("key", "rep", "lid", "sketch", "length", "component"), "split-bands")
     left, right = (rest.select(F.col("key").alias(f"key_{c}"), "rep" if c == "a" else "key", F.col("lid").alias(c), F.col("sketch").alias(f"s_{c}"), F.col("length").alias(f"n_{c}"), F.col("component").alias(f"c_{c}")) for c in ("a", "b"))
     allowed = (F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & (F.col("a") != F.col("rep")) & (F.bit_count(F.col("s_a").bitwiseXOR(F.col("s_b"))) <= SKETCH_BITS)
-    # the lengths of similar lines differ little, unless a line repeats its own shingles: twice as much is let through
-    allowed &= F.greatest("n_a", "n_b") <= 2 * F.least("n_a", "n_b")
+    allowed &= F.greatest("n_a", "n_b") <= SIZES * F.least("n_a", "n_b") + 4
     second = left.join(right, (F.col("key_a") == F.col("key_b")) & allowed).select("a", "b").distinct()
     more = stage(second.join(first, ["a", "b"], "left_anti"), "line-pairs")
     if more.isEmpty():
