@@ -29,6 +29,8 @@ LEAST = 0.8
 SKETCH_BITS = 20
 #: Numbers of anchored shingles of lines of the least similarity differ at most by this factor (1.25 on average).
 SIZES = 1.6
+#: Lowest hashes of a line that are compared before its whole set is, and the part of them that must be shared.
+LOWEST, SHARED = 64, 0.72
 #: Anchors: Latin-1 characters whose number is a multiple of 5, and all others.
 _ANCHOR = "[" + "".join(f"\\x{c:02x}" for c in range(0x20, 0x100) if c % 5 == 0) + r"\x{100}-\x{10ffff}]"
 _ANCHORED = rf"(?s)(?=({_ANCHOR}.{{{SHINGLE - 1}}}))"
@@ -47,6 +49,13 @@ def shingle_set(line: Column) -> Column:
     return F.array_distinct(F.get(F.transform(F.array(wide), each), F.lit(0)))
 
 
+def anchored_hashes(line: Column) -> Column:
+    """Different hashes of the shingles that begin with an anchor; of a line without any, of the line. All are even."""
+    some = F.regexp_extract_all(line, F.lit(_ANCHORED), F.lit(1))
+    found = F.transform(F.array(some), lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(line)))
+    return F.array_distinct(F.transform(F.get(found, F.lit(0)), lambda s: F.xxhash64(s).bitwiseAND(F.lit(-2))))
+
+
 def split_lines(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """Rows (doc, at, line, d1, d2) of the lines that hold anything but white space; d1, d2: their digest."""
     lines = docs.where(F.col(f"`{id_column}`").isNotNull()).select(F.col(f"`{id_column}`").alias("doc"), F.posexplode(F.split(F.col(f"`{text}`").cast("string"), "\n")).alias("at", "raw"))
@@ -65,11 +74,8 @@ def band_members(table: DataFrame) -> DataFrame:
 
     length is the number of a line's different anchored shingles.
     """
-    found = table.select("lid", "line", F.regexp_extract_all("line", F.lit(_ANCHORED), F.lit(1)).alias("some"))
-    # a line without anchors, or shorter than a shingle, is its own shingle
-    found = found.select("lid", F.when(F.size("some") > 0, F.col("some")).otherwise(F.array("line")).alias("some"))
     # hashes are even and points odd, so that one walk finds the points among the sorted hashes
-    hashed = found.select("lid", F.array_distinct(F.transform("some", lambda s: F.xxhash64(s).bitwiseAND(F.lit(-2)))).alias("hashes"))
+    hashed = table.select("lid", anchored_hashes(F.col("line")).alias("hashes"))
     points = F.array(*[F.lit(p).cast("long") for p in _POINTS])
     mixed = F.transform(F.sort_array(F.concat("hashes", points)), lambda x, i: F.when(x.bitwiseAND(F.lit(1)) == 1, i))
     placed = hashed.select("lid", F.sort_array("hashes").alias("hashes"), F.array_compact(mixed).alias("from"))
@@ -91,9 +97,12 @@ def band_members(table: DataFrame) -> DataFrame:
 def similar(pairs: DataFrame, table: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of lids whose lines have a Jaccard similarity of ``LEAST`` or more."""
     wanted = pairs.select(F.col("a").alias("lid")).unionByName(pairs.select(F.col("b").alias("lid"))).distinct()
-    texts = stage(table.select("lid", "line").join(wanted, "lid", "left_semi"), "candidate-lines")
-    left, right = (texts.select(F.col("lid").alias(c), F.col("line").alias(f"line_{c}")) for c in ("a", "b"))
+    wide = table.join(wanted, "lid", "left_semi").select("lid", "line", F.sort_array(anchored_hashes(F.col("line"))).alias("hashes"))
+    texts = stage(wide.select("lid", "line", F.slice("hashes", 1, LOWEST).alias("low")), "candidate-lines")
+    left, right = (texts.select(F.col("lid").alias(c), F.col("line").alias(f"line_{c}"), F.col("low").alias(f"low_{c}")) for c in ("a", "b"))
     both = pairs.join(left, "a").join(right, "b")
+    # of the lowest hashes of lines of the least similarity eight in nine are shared; those far from that need no exact look
+    both = both.where(F.size(F.array_intersect("low_a", "low_b")) >= SHARED * F.least(F.size("low_a"), F.size("low_b")) - 2)
     sets = both.select("a", "b", shingle_set(F.col("line_a")).alias("x"), shingle_set(F.col("line_b")).alias("y"))
     shared = sets.select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("sizes"))
     return shared.where(F.col("common") >= LEAST * (F.col("sizes") - F.col("common"))).select("a", "b")
