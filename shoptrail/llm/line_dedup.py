@@ -1,9 +1,8 @@
 r"""Line dedup: fuzzy equal lines are found over all texts, and one line of each group stays.
 
 1. Lines (split at ``\n``; lower-cased, white space at the ends trimmed) are reduced to distinct ones and written once.
-2. A line's character shingles are hashed and sorted. A signature holds minima: for each of seven fixed
-   points, the least three hashes from there on (after the last comes the first). Only shingles that begin with an
-   anchor character count there, which keeps a fixed part of them wherever they stand.
+2. All of a line's character shingles are hashed and sorted. A signature holds minima: for each of seven fixed
+   points, the least three hashes from there on (after the last comes the first); for lines of few shingles the least two.
 3. A band is the three hashes of a point. Lines that agree in one of seven bands are candidates. In each band's group the first line meets all others. Where that leaves a group in
    several components, lines of different components meet if their sketches and sizes allow the
    similarity.
@@ -27,25 +26,27 @@ BANDS, ROWS = 7, 3
 LEAST = 0.8
 #: Bits of 64, one for each of a line's 21 band elements, in which lines of the least similarity differ at most (8 on average).
 SKETCH_BITS = 20
-#: Numbers of anchored shingles of lines of the least similarity differ at most by this factor (1.25 on average).
+#: Numbers of shingles of lines of the least similarity differ at most by this factor (1.25 on average).
 SIZES = 1.6
 #: Lowest hashes of a line that are compared before its whole set is, and the part of them that must be shared.
 LOWEST, SHARED = 64, 0.72
-#: Anchors: Latin-1 characters whose number is a multiple of 5, and all others.
+#: Lines of fewer shingles than this meet in bands of two: among few hashes, points soon share their three.
+FEW = 32
+#: Anchors of the hashes compared before the sets are: Latin-1 characters whose number is a multiple of 5, and all others.
 _ANCHOR = "[" + "".join(f"\\x{c:02x}" for c in range(0x20, 0x100) if c % 5 == 0) + r"\x{100}-\x{10ffff}]"
 _ANCHORED = rf"(?s)(?=({_ANCHOR}.{{{SHINGLE - 1}}}))"
 _POINTS = [((2 * i + 1 - BANDS) * (2**63 // BANDS)) | 1 for i in range(BANDS)]
 
 
 def shingle_set(line: Column) -> Column:
-    """The 64-bit hashes of all different shingles of ``line``; a short line is one shingle.
+    """The hashes of all different shingles of ``line``; a short line is one shingle. All are even.
 
     Characters take four bytes each, so any place is found at once. The bytes are bound as the variable of an
     outer function: a column of binary type would be copied for each shingle.
     """
     wide = F.encode(line, "UTF-32")
     last = lambda w: F.greatest(F.lit(0), F.octet_length(w) - 4 * SHINGLE)
-    each = lambda w: F.transform(F.sequence(F.lit(0), last(w), F.lit(4)), lambda i: F.xxhash64(F.substring(w, i + 1, F.lit(4 * SHINGLE))))
+    each = lambda w: F.transform(F.sequence(F.lit(0), last(w), F.lit(4)), lambda i: F.xxhash64(F.substring(w, i + 1, F.lit(4 * SHINGLE))).bitwiseAND(F.lit(-2)))
     return F.array_distinct(F.get(F.transform(F.array(wide), each), F.lit(0)))
 
 
@@ -72,24 +73,25 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
 def band_members(table: DataFrame) -> DataFrame:
     """Rows (key, rep, lid, sketch, length) of the lines in bands of two lines or more; rep is a band's least lid.
 
-    length is the number of a line's different anchored shingles.
+    length is the number of a line's different shingles.
     """
-    # hashes are even and points odd, so that one walk finds the points among the sorted hashes
-    hashed = table.select("lid", anchored_hashes(F.col("line")).alias("hashes"))
+    # hashes are even and points odd, so that a point's place among both tells how many hashes come before
+    hashed = table.select("lid", shingle_set(F.col("line")).alias("hashes"))
     points = F.array(*[F.lit(p).cast("long") for p in _POINTS])
-    mixed = F.transform(F.sort_array(F.concat("hashes", points)), lambda x, i: F.when(x.bitwiseAND(F.lit(1)) == 1, i))
-    placed = hashed.select("lid", F.sort_array("hashes").alias("hashes"), F.array_compact(mixed).alias("from"))
-
-    def nth(band: int, n: int) -> Column:  # of the hashes before a point among both, the points before it are none
-        return F.get("hashes", F.pmod(F.get("from", F.lit(band)) - band + n, F.size("hashes")))
-
-    elements = [[nth(b, r) for r in range(ROWS)] for b in range(BANDS)]
-    keys = F.array(*[F.xxhash64(F.lit(b), *e) for b, e in enumerate(elements)])
-    # a bit for each element of the bands
-    bits = F.aggregate(F.array(*[x for e in elements for x in e]), F.lit(0).cast("long"), lambda a, h: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 1).bitwiseAND(F.lit(63)).cast("int"))))
-    rows = placed.select("lid", F.size("hashes").alias("length"), bits.alias("sketch"), keys.alias("keys"))
-    rows = rows.select("lid", "length", "sketch", F.explode("keys").alias("key"))
-    # rows of a few numbers; a band of any size streams through its window
+    placed = hashed.select("lid", F.sort_array("hashes").alias("hashes"), F.sort_array(F.concat("hashes", points)).alias("mixed"))
+    placed = placed.select("lid", "hashes", F.size("hashes").alias("n"), F.array(*[F.array_position("mixed", F.lit(p).cast("long")) - 1 - b for b, p in enumerate(_POINTS)]).alias("from"))
+
+    def nth(band: int, n: int) -> Column:
+        return F.get("hashes", F.pmod(F.get("from", F.lit(band)) + n, F.col("n")).cast("int"))
+
+    few = F.array(*[F.xxhash64(F.lit(-1 - b), *[nth(b, r) for r in range(ROWS - 1)]) for b in range(BANDS)])
+    many = F.array(*[F.xxhash64(F.lit(b), *[nth(b, r) for r in range(ROWS)]) for b in range(BANDS)])
+    # lines within LEAST of each other have one kind of bands in common
+    kinds = F.when(F.col("n") < FEW, few).when(F.col("n") * LEAST >= FEW, many).otherwise(F.concat(few, many))
+    elements = F.array(*[nth(b, r) for b in range(BANDS) for r in range(ROWS)])
+    bits = F.aggregate(elements, F.lit(0).cast("long"), lambda a, h: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 1).bitwiseAND(F.lit(63)).cast("int"))))
+    rows = placed.select("lid", bits.alias("sketch"), F.col("n").alias("length"), F.explode(F.array_distinct(kinds)).alias("key"))
+    # rows of four numbers; a band of any size streams through its window
     band = Window.partitionBy("key")
     return rows.withColumns({"rep": F.min("lid").over(band), "last": F.max("lid").over(band)}).where("rep < last").drop("last")
 

@@ -152,6 +152,22 @@ def test_bands_of_unlike_lines_lose_no_link(spark):
     assert len(kept ^ {*groups_of(len(lines), links)}) <= 2
 
 
+def pair_recall(spark, pairs):
+    """The part of the pairs of lines, each of similarity 0.8 or more, of which line dedup leaves one."""
+    for a, b in pairs:
+        assert a != b and len(line_sets(a) & line_sets(b)) >= 0.8 * len(line_sets(a) | line_sets(b))
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(x for pair in pairs for x in pair)], "doc_id long, text string")
+    return sum(r.n_removed for r in line_dedup.dedup_lines(docs).collect()) / len(pairs)
+
+
+def test_near_copies_of_short_lines_are_found(spark):
+    """Lines of 12 to 60 characters, most without d, i, n, s, x and digits, that differ at an end."""
+    rng = random.Random(8)
+    for letters in ("abcefghjklmopqrtuvwyz ", "abcdefghijklmnopqrstuvwxyz 0123456789"):
+        lines = ["a" + "".join(rng.choices(letters, k=n - 2)) + "b" for n in range(12, 60) for _ in range(6)]
+        assert pair_recall(spark, [(x, x + rng.choice("bcn")) if rng.random() < 0.5 else (rng.choice("acs") + x, x) for x in lines]) >= 0.98
+
+
 def best_stretch(text, item):
     """The best score of the item beside the text, over all places."""
     a, b = (re.findall(r"[^\W_]+", t.lower()) for t in (text, item))
