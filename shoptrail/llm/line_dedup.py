@@ -3,10 +3,11 @@ r"""Line dedup: fuzzy equal lines are found over all texts, and one line of each
 1. Lines (split at ``\n``; lower-cased, white space at the ends trimmed) are reduced to distinct ones and written once.
 2. All of a line's character shingles are hashed and sorted. A signature holds minima: for each of seven fixed
    points, the least three hashes from there on (after the last comes the first); for lines of few shingles the least two.
-3. A band is the three hashes of a point. Lines that agree in one of seven bands are candidates. In each band's group the first line meets all others. Where that leaves a group in
-   several components, lines of different components meet if their sketches and sizes allow the
-   similarity.
-4. The Jaccard similarity of the full shingle sets is computed exactly; pairs of 0.8 or more are links.
+3. A band is the hashes of a point. Lines that agree in one of seven bands are candidates. In each band's group the
+   first line meets all others. Where that leaves a group in several components, lines of different components meet.
+4. Pairs go unless the numbers of shingles, and parity sketches of them, rule the similarity out; both are bounds,
+   so no pair of the similarity is lost. The Jaccard similarity of the full shingle sets is then computed
+   exactly; pairs of 0.8 or more are links.
 5. Union-find gives the components. The first line in order of document and place stays.
 
 Two sets of similarity J have the same minimum with chance J, and agree in a band of three with
@@ -24,17 +25,10 @@ from shoptrail.llm.components import components
 SHINGLE = 8
 BANDS, ROWS = 7, 3
 LEAST = 0.8
-#: Bits of 64, one for each of a line's 21 band elements, in which lines of the least similarity differ at most (8 on average).
-SKETCH_BITS = 20
-#: Numbers of shingles of lines of the least similarity differ at most by this factor (1.25 on average).
-SIZES = 1.6
-#: Lowest hashes of a line that are compared before its whole set is, and the part of them that must be shared.
-LOWEST, SHARED = 64, 0.72
 #: Lines of fewer shingles than this meet in bands of two: among few hashes, points soon share their three.
 FEW = 32
-#: Anchors of the hashes compared before the sets are: Latin-1 characters whose number is a multiple of 5, and all others.
-_ANCHOR = "[" + "".join(f"\\x{c:02x}" for c in range(0x20, 0x100) if c % 5 == 0) + r"\x{100}-\x{10ffff}]"
-_ANCHORED = rf"(?s)(?=({_ANCHOR}.{{{SHINGLE - 1}}}))"
+#: Longs of a parity sketch.
+SKETCH = 4
 _POINTS = [((2 * i + 1 - BANDS) * (2**63 // BANDS)) | 1 for i in range(BANDS)]
 
 
@@ -50,11 +44,21 @@ def shingle_set(line: Column) -> Column:
     return F.array_distinct(F.get(F.transform(F.array(wide), each), F.lit(0)))
 
 
-def anchored_hashes(line: Column) -> Column:
-    """Different hashes of the shingles that begin with an anchor; of a line without any, of the line. All are even."""
-    some = F.regexp_extract_all(line, F.lit(_ANCHORED), F.lit(1))
-    found = F.transform(F.array(some), lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(line)))
-    return F.array_distinct(F.transform(F.get(found, F.lit(0)), lambda s: F.xxhash64(s).bitwiseAND(F.lit(-2))))
+def parities(hashes: Column) -> Column:
+    """Bits, each the parity of the number of hashes that fall to it: sets that differ in d hashes differ in at most d bits."""
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 1).bitwiseAND(F.lit(63)).cast("int"))
+    part = lambda h: F.shiftright(h, 7).bitwiseAND(F.lit(SKETCH - 1))
+
+    def of(n: int) -> Column:
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: F.when(part(h) == n, a.bitwiseXOR(bit(h))).otherwise(a))
+
+    return F.array(*map(of, range(SKETCH)))
+
+
+def may_be_similar() -> Column:
+    """False only for pairs (n_a, p_a), (n_b, p_b) below ``LEAST``: J >= 0.8 leaves at most a ninth of n_a + n_b hashes to one side only."""
+    apart = sum((F.bit_count(F.get("p_a", F.lit(i)).bitwiseXOR(F.get("p_b", F.lit(i)))) for i in range(SKETCH)), F.lit(0))
+    return (F.least("n_a", "n_b") >= LEAST * F.greatest("n_a", "n_b")) & (apart * (1 + LEAST) <= (1 - LEAST) * (F.col("n_a") + F.col("n_b")) + 1e-6)
 
 
 def split_lines(docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -71,10 +75,7 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
 
 
 def band_members(table: DataFrame) -> DataFrame:
-    """Rows (key, rep, lid, sketch, length) of the lines in bands of two lines or more; rep is a band's least lid.
-
-    length is the number of a line's different shingles.
-    """
+    """Rows (key, rep, lid) of the lines in bands of two lines or more; rep is a band's least lid."""
     # hashes are even and points odd, so that a point's place among both tells how many hashes come before
     hashed = table.select("lid", shingle_set(F.col("line")).alias("hashes"))
     points = F.array(*[F.lit(p).cast("long") for p in _POINTS])
@@ -88,23 +89,22 @@ def band_members(table: DataFrame) -> DataFrame:
     many = F.array(*[F.xxhash64(F.lit(b), *[nth(b, r) for r in range(ROWS)]) for b in range(BANDS)])
     # lines within LEAST of each other have one kind of bands in common
     kinds = F.when(F.col("n") < FEW, few).when(F.col("n") * LEAST >= FEW, many).otherwise(F.concat(few, many))
-    elements = F.array(*[nth(b, r) for b in range(BANDS) for r in range(ROWS)])
-    bits = F.aggregate(elements, F.lit(0).cast("long"), lambda a, h: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 1).bitwiseAND(F.lit(63)).cast("int"))))
-    rows = placed.select("lid", bits.alias("sketch"), F.col("n").alias("length"), F.explode(F.array_distinct(kinds)).alias("key"))
-    # rows of four numbers; a band of any size streams through its window
+    rows = placed.select("lid", F.explode(F.array_distinct(kinds)).alias("key"))
+    # rows of two numbers; a band of any size streams through its window
     band = Window.partitionBy("key")
     return rows.withColumns({"rep": F.min("lid").over(band), "last": F.max("lid").over(band)}).where("rep < last").drop("last")
 
 
-def similar(pairs: DataFrame, table: DataFrame) -> DataFrame:
+def sketched(table: DataFrame, members: DataFrame) -> DataFrame:
+    """Staged rows (lid, line, n, p) of the lines that are members of a band; n: number of shingles, p: parities."""
+    held = table.join(members.select("lid").distinct(), "lid", "left_semi").select("lid", "line", shingle_set(F.col("line")).alias("hashes"))
+    return stage(held.select("lid", "line", F.size("hashes").alias("n"), parities(F.col("hashes")).alias("p")), "candidate-lines")
+
+
+def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of lids whose lines have a Jaccard similarity of ``LEAST`` or more."""
-    wanted = pairs.select(F.col("a").alias("lid")).unionByName(pairs.select(F.col("b").alias("lid"))).distinct()
-    wide = table.join(wanted, "lid", "left_semi").select("lid", "line", F.sort_array(anchored_hashes(F.col("line"))).alias("hashes"))
-    texts = stage(wide.select("lid", "line", F.slice("hashes", 1, LOWEST).alias("low")), "candidate-lines")
-    left, right = (texts.select(F.col("lid").alias(c), F.col("line").alias(f"line_{c}"), F.col("low").alias(f"low_{c}")) for c in ("a", "b"))
-    both = pairs.join(left, "a").join(right, "b")
-    # of the lowest hashes of lines of the least similarity eight in nine are shared; those far from that need no exact look
-    both = both.where(F.size(F.array_intersect("low_a", "low_b")) >= SHARED * F.least(F.size("low_a"), F.size("low_b")) - 2)
+    left, right = (texts.select(F.col("lid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("line", "n", "p")]) for c in ("a", "b"))
+    both = pairs.join(left, "a").join(right, "b").where(may_be_similar())
     sets = both.select("a", "b", shingle_set(F.col("line_a")).alias("x"), shingle_set(F.col("line_b")).alias("y"))
     shared = sets.select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("sizes"))
     return shared.where(F.col("common") >= LEAST * (F.col("sizes") - F.col("common"))).select("a", "b")
@@ -113,20 +113,20 @@ def similar(pairs: DataFrame, table: DataFrame) -> DataFrame:
 def line_links(table: DataFrame) -> DataFrame:
     """Links (a, b) between distinct lines."""
     members = stage(band_members(table), "band-members")
+    texts = sketched(table, members)
     first = stage(members.where("lid <> rep").select(F.col("rep").alias("a"), F.col("lid").alias("b")).distinct(), "line-pairs")
-    links = stage(similar(first, table), "line-links")
+    links = stage(similar(first, texts), "line-links")
     tied = components(links, "a", "b")
     known = members.join(tied.withColumnRenamed("node", "lid"), "lid", "left").withColumn("component", F.coalesce("component", "lid"))
     split = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    rest = stage(known.join(split, "key", "left_semi").select("key", "rep", "lid", "sketch", "length", "component"), "split-bands")
-    left, right = (rest.select(F.col("key").alias(f"key_{c}"), "rep" if c == "a" else "key", F.col("lid").alias(c), F.col("sketch").alias(f"s_{c}"), F.col("length").alias(f"n_{c}"), F.col("component").alias(f"c_{c}")) for c in ("a", "b"))
-    allowed = (F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & (F.col("a") != F.col("rep")) & (F.bit_count(F.col("s_a").bitwiseXOR(F.col("s_b"))) <= SKETCH_BITS)
-    allowed &= F.greatest("n_a", "n_b") <= SIZES * F.least("n_a", "n_b") + 4
+    rest = stage(known.join(split, "key", "left_semi").join(texts.select("lid", "n", "p"), "lid").select("key", "rep", "lid", "n", "p", "component"), "split-bands")
+    left, right = (rest.select(F.col("key").alias(f"key_{c}"), "rep" if c == "a" else "key", F.col("lid").alias(c), F.col("n").alias(f"n_{c}"), F.col("p").alias(f"p_{c}"), F.col("component").alias(f"c_{c}")) for c in ("a", "b"))
+    allowed = (F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & (F.col("a") != F.col("rep")) & may_be_similar()
     second = left.join(right, (F.col("key_a") == F.col("key_b")) & allowed).select("a", "b").distinct()
     more = stage(second.join(first, ["a", "b"], "left_anti"), "line-pairs")
     if more.isEmpty():
         return links
-    return links.unionByName(stage(similar(more, table), "line-links"))
+    return links.unionByName(stage(similar(more, texts), "line-links"))
 
 
 def line_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -168,6 +168,16 @@ def test_near_copies_of_short_lines_are_found(spark):
         assert pair_recall(spark, [(x, x + rng.choice("bcn")) if rng.random() < 0.5 else (rng.choice("acs") + x, x) for x in lines]) >= 0.98
 
 
+def test_similar_lines_with_a_passage_in_another_script_are_found(spark):
+    rng = random.Random(9)
+    pairs = []
+    for n in [200, 400, 800, 1600] * 15:
+        line = "a" + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n)) + "b"
+        at = rng.randrange(n)
+        pairs.append((line, line[:at] + "".join(rng.choices("абвгдежзиклмнопрст", k=n // 8)) + line[at:]))
+    assert pair_recall(spark, pairs) >= 0.98
+
+
 def best_stretch(text, item):
     """The best score of the item beside the text, over all places."""
     a, b = (re.findall(r"[^\W_]+", t.lower()) for t in (text, item))
