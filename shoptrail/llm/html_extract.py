@@ -214,7 +214,7 @@ class Page:
         while path[-1] not in (self.body, 0):
             path.append(self.parent[path[-1]])
         threshold = min(density[i] for i in path)
-        # the article element around the best node or inside it; else what the threshold joins below the body
+        # the article element around the best node or inside it; else all below the body that reaches the threshold, itself or by its children
         root = next((i for i in path if self.tag[i] == "article"), None) or next((i for i in path if self.tag[i] == "main"), None)
         if root is None or self.tag[root] == "main":
             start = self.body if root is None else root
@@ -222,16 +222,19 @@ class Page:
             largest = max(held, key=lambda i: (chars[i], -i), default=None)
             if largest is not None and 2 * chars[largest] >= chars[start]:
                 root = largest
+        joined_below = root is None and best != self.body
         if root is None:
-            root = next((i for i in reversed(path) if i not in (0, self.body) and density[i] >= threshold), self.body)
-            if best == self.body:
-                root = self.body
+            root = self.body
         kept = [False] * n
         kept[root] = True
+        if joined_below:  # loose text of the body, with the inline elements in it, unless most of it is links
+            loose = [i for i in range(root + 1, n) if self.parent[i] == root and not self.out[i] and self.tag[i] not in _BLOCKS]
+            kept[root] = 2 * sum(links[i] for i in loose) <= self.chars[root] + sum(chars[i] for i in loose)
         on_path = {*path}
         for node in range(root + 1, n):
             above = self.parent[node]
-            kept[node] = kept[above] and not self.out[node]
+            follows = kept[above] and not (joined_below and above == root and self.tag[node] in _BLOCKS)
+            kept[node] = not self.out[node] and (follows or joined_below and inside[node] and max(density[node], total[node]) >= threshold)
             if kept[node] and node not in on_path and self.tag[node] in ("div", "section", "ul", "ol", "table") and density[node] < threshold and 2 * links[node] > chars[node]:
                 kept[node] = False  # a list of links in the text
         blocks, block = [], []

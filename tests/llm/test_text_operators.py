@@ -224,6 +224,18 @@ def test_html_text(html, text):
     assert html_extract.extract_text(html or "") == text
 
 
+def test_html_without_article_keeps_every_dense_container():
+    blocks = [[(chr(97 + 5 * d + i) + "word") * (n // 5) for i in range(5)] for d, n in enumerate((200, 150))]
+    one, two = ("<div>" + "".join(f"<p>{t}</p>" for t in b) + "</div>" for b in blocks)
+    menu = "<div>" + "<a href=x>to a page</a>" * 9 + "</div>"
+    first, both = "\n\n".join(blocks[0]), "\n\n".join(blocks[0] + blocks[1])
+    extract = html_extract.extract_text
+    assert extract(f"<body>{one}</body>") == extract(f"<body>{menu}{one}{menu}</body>") == first
+    assert extract(f"<body>{one}{two}</body>") == extract(f"<body>{menu}{one}{menu}{two}{menu}</body>") == both
+    assert extract(f"<body><div>{one}</div><section>{menu}{two}</section><div class=sidebar>{two}</div></body>") == both
+    assert extract(f"<body>{one}loose <b>text</b> of the body{two}</body>") == first + "\n\nloose text of the body\n\n" + "\n\n".join(blocks[1])
+
+
 def test_html_of_hard_pages(spark):
     assert html_extract.extract_text("<div>" * 20_000 + "deep") == "deep"
     assert html_extract.extract_text("<" * 20_000) == "<" * 20_000
