@@ -16,6 +16,8 @@ about J ** 3: of pairs with J = 0.8 seven bands find 99 %, of more similar ones
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,10 +76,10 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
     return stage(once.select("d1", "d2", F.monotonically_increasing_id().alias("lid"), "line", "o.doc", "o.at", "times"), "lines")
 
 
-def band_members(table: DataFrame) -> DataFrame:
+def band_members(table: DataFrame, sets: Callable[[Column], Column] = shingle_set) -> DataFrame:
     """Rows (key, rep, lid) of the lines in bands of two lines or more; rep is a band's least lid."""
     # hashes are even and points odd, so that a point's place among both tells how many hashes come before
-    hashed = table.select("lid", shingle_set(F.col("line")).alias("hashes"))
+    hashed = table.select("lid", sets(F.col("line")).alias("hashes"))
     points = F.array(*[F.lit(p).cast("long") for p in _POINTS])
     placed = hashed.select("lid", F.sort_array("hashes").alias("hashes"), F.sort_array(F.concat("hashes", points)).alias("mixed"))
     placed = placed.select("lid", "hashes", F.size("hashes").alias("n"), F.array(*[F.array_position("mixed", F.lit(p).cast("long")) - 1 - b for b, p in enumerate(_POINTS)]).alias("from"))
@@ -95,27 +97,27 @@ def band_members(table: DataFrame) -> DataFrame:
     return rows.withColumns({"rep": F.min("lid").over(band), "last": F.max("lid").over(band)}).where("rep < last").drop("last")
 
 
-def sketched(table: DataFrame, members: DataFrame) -> DataFrame:
+def sketched(table: DataFrame, members: DataFrame, sets: Callable[[Column], Column] = shingle_set) -> DataFrame:
     """Staged rows (lid, line, n, p) of the lines that are members of a band; n: number of shingles, p: parities."""
-    held = table.join(members.select("lid").distinct(), "lid", "left_semi").select("lid", "line", shingle_set(F.col("line")).alias("hashes"))
+    held = table.join(members.select("lid").distinct(), "lid", "left_semi").select("lid", "line", sets(F.col("line")).alias("hashes"))
     return stage(held.select("lid", "line", F.size("hashes").alias("n"), parities(F.col("hashes")).alias("p")), "candidate-lines")
 
 
-def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def similar(pairs: DataFrame, texts: DataFrame, sets: Callable[[Column], Column] = shingle_set) -> DataFrame:
     """Those of the pairs (a, b) of lids whose lines have a Jaccard similarity of ``LEAST`` or more."""
     left, right = (texts.select(F.col("lid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("line", "n", "p")]) for c in ("a", "b"))
     both = pairs.join(left, "a").join(right, "b").where(may_be_similar())
-    sets = both.select("a", "b", shingle_set(F.col("line_a")).alias("x"), shingle_set(F.col("line_b")).alias("y"))
-    shared = sets.select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("sizes"))
+    full = both.select("a", "b", sets(F.col("line_a")).alias("x"), sets(F.col("line_b")).alias("y"))
+    shared = full.select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("sizes"))
     return shared.where(F.col("common") >= LEAST * (F.col("sizes") - F.col("common"))).select("a", "b")
 
 
-def line_links(table: DataFrame) -> DataFrame:
-    """Links (a, b) between distinct lines."""
-    members = stage(band_members(table), "band-members")
-    texts = sketched(table, members)
+def line_links(table: DataFrame, sets: Callable[[Column], Column] = shingle_set) -> DataFrame:
+    """Links (a, b) between distinct lines; ``sets`` gives the different even hashes of column ``line``."""
+    members = stage(band_members(table, sets), "band-members")
+    texts = sketched(table, members, sets)
     first = stage(members.where("lid <> rep").select(F.col("rep").alias("a"), F.col("lid").alias("b")).distinct(), "line-pairs")
-    links = stage(similar(first, texts), "line-links")
+    links = stage(similar(first, texts, sets), "line-links")
     tied = components(links, "a", "b")
     known = members.join(tied.withColumnRenamed("node", "lid"), "lid", "left").withColumn("component", F.coalesce("component", "lid"))
     split = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
@@ -126,7 +128,7 @@ def line_links(table: DataFrame) -> DataFrame:
     more = stage(second.join(first, ["a", "b"], "left_anti"), "line-pairs")
     if more.isEmpty():
         return links
-    return links.unionByName(stage(similar(more, texts), "line-links"))
+    return links.unionByName(stage(similar(more, texts, sets), "line-links"))
 
 
 def line_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

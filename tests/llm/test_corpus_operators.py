@@ -104,6 +104,19 @@ def test_pivot_keys_find_every_near_pair(spark):
     assert got == want
 
 
+def test_pipeline_stage_drops_five_word_near_copies(spark):
+    rng = random.Random(12)
+    texts = [" ".join(words(rng, n)) for n in [4, 30, 60, 150, 400] * 12]
+    texts += [changed(rng, t, s) for t in texts for s in (0.015, 0.1)] + texts[:5] + ["", " "]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "x"), (None, "x")], "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    ids = [r.doc_id for r in kept.collect()]
+    assert kept.columns == docs.columns and ids.count(None) == 2
+    assert len(({*ids} - {None}) ^ {*groups_of(len(texts), links)}) <= 1
+
+
 def line_sets(line):
     return {line[i : i + 8] for i in range(len(line) - 7)} or {line}
 
