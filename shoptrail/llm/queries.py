@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import byte_bpe, chat_format, decontaminate, html_extract, license_scan, line_dedup, quality_classifier, quality_rules, simhash, token_counts
+from shoptrail.llm import (
+    byte_bpe,
+    chat_format,
+    conversation_repair,
+    decontaminate,
+    html_extract,
+    license_scan,
+    line_dedup,
+    minhash_dedup,
+    quality_classifier,
+    quality_rules,
+    ranked_search,
+    simhash,
+    token_counts,
+)
 from shoptrail.llm.common import delete_at_end, read
 from shoptrail.storage import new_folder
 
@@ -75,7 +89,34 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(read(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_line_dedup, op2_license_scan, op3_quality_rules, op4_byte_bpe, op5_token_counts, op6_simhash, op7_chat_format, op8_quality_classifier, op9_decontamination, op10_html_extraction)
+    f.__name__: f
+    for f in (
+        op1_line_dedup,
+        op2_license_scan,
+        op3_quality_rules,
+        op4_byte_bpe,
+        op5_token_counts,
+        op6_simhash,
+        op7_chat_format,
+        op8_quality_classifier,
+        op9_decontamination,
+        op10_html_extraction,
+        op11_minhash,
+        op12_ranked_search,
+        op13_conversation_repair,
+    )
 }
-ORACLES: dict[str, str] = {"op7_chat_format": chat_format.SQL}
+ORACLES: dict[str, str] = {"op7_chat_format": chat_format.SQL, "op12_ranked_search": ranked_search.SQL}
