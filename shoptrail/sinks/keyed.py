@@ -1,76 +1,60 @@
-"""Keyed result tables for ``foreachBatch``: upserts on plain Parquet.
+"""Keyed result tables for ``foreachBatch``: upserts by Spark's dynamic partition overwrite.
 
-Each micro-batch writes only its own rows, to a folder named after the batch id; how rows of
-several batches combine is decided by the table's rule when it is read:
+A table is cut into parts: its days, or some hash buckets of its keys where it has no days. A batch is
+combined with the parts it touches, and these are written anew; other parts stay as they are. How rows combine is the
+table's rule:
 
 ``add``            values of the same key are summed
-``replace``        the value of the latest batch holds
-``replace_group``  a group (say day and province) has the rows of the latest batch that wrote it
+``replace``        the value of the batch holds
+``replace_group``  a group (say day and province) has the rows of the batch
 ``insert``         a key is inserted once
 
-Running a batch again overwrites its folder, so a replay cannot count twice. A new checkpoint counts
-its batches from 0 again; ``first_batch`` gives each checkpoint a range of numbers of its own, above
-those of the checkpoints before it, so its batches come on top of the table.
-
-Now and then older batches are folded into a base, so a read meets a bounded number of folders.
-Rows are partitioned by day where the table has one: a query on some days reads only those, and a
-fold writes only days with new rows. The base of a day is the newest one that has a folder for it.
+A part's rows stand in a folder that names their version and the batch that wrote them. The newest version is the part; the one before is
+kept, for readers that have opened it and for the batch itself: when a batch runs again, it starts from the newest version that
+is not its own, and overwrites what it wrote. So a replay cannot count twice, and a crash at any moment loses nothing.
 """
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoptrail.storage import delete_folder, finished_folders, make_folder, matching_paths
+from shoptrail.storage import delete_folder, folder_bytes, matching_paths
 
-_BATCH = "batch_id"
-# Batches that one checkpoint may count.
-_RUN = 1 << 40
-# Rows of one day that a batch writes to one file.
+_PART, _VERSION, _BATCH = "part", "version", "batch"
+# Rows of a batch, and bytes already there, that go to one file of a part.
 FILE_ROWS = 1_000_000
+FILE_BYTES = 128 << 20
+# Parts of a table without days.
+BUCKETS = 8
 
 
-def first_batch(spark: SparkSession, folder: str, checkpoint: str) -> int:
-    """What to add to a query's batch ids for the tables below ``folder``.
-
-    A checkpoint that has offsets goes on in the range it was given; a new one, or one deleted and
-    begun again, gets the next range. An older checkpoint cannot go on once a newer one has
-    written: its batches would come below rows that are already there.
-    """
-    name = hashlib.sha256(checkpoint.encode()).hexdigest()
-    runs = sorted((int(path.rsplit("/run=", 1)[1].split("/")[0]), path.rsplit("/", 1)[1]) for path in matching_paths(spark, f"{folder}/runs/run=*/*"))
-    if matching_paths(spark, f"{checkpoint}/offsets/*"):
-        mine = [run for run, owner in runs if owner == name]
-        if mine and mine[-1] == runs[-1][0]:
-            return mine[-1] * _RUN
-        if mine:
-            raise ValueError(f"a newer checkpoint has written to {folder}")
-    run = runs[-1][0] + 1 if runs else 0
-    make_folder(spark, f"{folder}/runs/run={run}/{name}")
-    return run * _RUN
-
-
-def combine(rows: DataFrame, rule: str, keys: list[str], value: str | None) -> DataFrame:
-    """Rows of several batches (with their ``batch_id``) -> the table's current rows."""
+def combine(old: DataFrame, new: DataFrame, rule: str, keys: list[str], value: str | None) -> DataFrame:
+    """The rows of a part after a batch."""
     if rule == "add":
-        return rows.groupBy(*keys).agg(F.sum(value).alias(value))
+        return old.unionByName(new).groupBy(*keys).agg(F.sum(value).alias(value))
     if rule == "replace":
-        return rows.groupBy(*keys).agg(F.max_by(value, _BATCH).alias(value))
+        both = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+        return both.groupBy(*keys).agg(F.max_by(value, "_new").alias(value))
     if rule == "replace_group":
-        # A group is a top-k list: k rows for each batch since the last fold.
-        latest = F.max(_BATCH).over(Window.partitionBy(*keys))
-        return rows.withColumn("_latest", latest).where(F.col(_BATCH) == F.col("_latest")).drop("_latest", _BATCH)
+        return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
     if rule == "insert":
-        return rows.select(*keys).distinct()
+        return old.unionByName(new).distinct()
     raise ValueError(f"unknown rule {rule!r}")
 
 
+@dataclass(frozen=True)
+class _Version:
+    part: str
+    number: int
+    batch: str
+    folder: str
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     spark: SparkSession
@@ -80,133 +64,66 @@ class KeyedTable:
     keys: tuple[str, ...]
     value: str | None = None
     partition: str | None = None
-    fold_every: int = 50
-
-    def _folders(self, kind: str) -> dict[int, str]:
-        found = finished_folders(self.spark, f"{self.path}/kind={kind}/{_BATCH}=*")
-        return {int(folder.rsplit("=", 1)[1]): folder for folder in found}
-
-    def _days(self, folder: str) -> dict[str, str]:
-        found = matching_paths(self.spark, f"{folder}/{self.partition}=*")
-        return {path.rsplit("=", 1)[1]: path for path in found}
-
-    def _live(self, before: int | None) -> tuple[int | None, list[str], list[str]]:
-        """Latest usable base number, and the base and delta folders that make up the table before ``before``."""
-        bases = {b: f for b, f in self._folders("base").items() if before is None or b < before}
-        base = max(bases, default=None)
-        deltas = {
-            b: f
-            for b, f in self._folders("delta").items()
-            if (before is None or b < before) and (base is None or b > base)
-        }
-        if self.partition:
-            newest: dict[str, str] = {}
-            for b in sorted(bases):
-                newest |= self._days(bases[b])
-            folded = [newest[day] for day in sorted(newest)]
-        else:
-            folded = [bases[base]] if base is not None else []
-        return base, folded, [deltas[b] for b in sorted(deltas)]
-
-    def _read(self, folders: list[str]) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, T.StructField(_BATCH, T.LongType())])
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return (
-            self.spark.read.schema(schema)
-            .option("basePath", self.path)
-            .parquet(*folders)
-            .select(*self.schema.names, _BATCH)
-        )
-
-    def current(self, before: int | None = None, partitions: list[str] | None = None) -> DataFrame:
-        """The table's rows, or its rows before batch ``before`` was applied.
-
-        ``partitions`` restricts the read to some values of the partition column.
-        """
-        _, folded, deltas = self._live(before)
-        if partitions is not None and self.partition:
-            folded = [f for f in folded if f.rsplit("=", 1)[1] in partitions]
-        stored = self._read(folded + deltas)
-        if partitions is not None and self.partition:
-            stored = stored.where(F.col(self.partition).isin(*partitions))
-        return combine(stored, self.rule, list(self.keys), self.value).select(*self.schema.names)
-
-    def batch(self, batch_id: int) -> DataFrame:
-        """The rows that one batch wrote."""
-        folder = self._folders("delta").get(batch_id)
-        return self._read([folder] if folder else []).select(*self.schema.names)
-
-    def with_batch(self, batch_id: int, keys: list[str]) -> DataFrame:
-        """The table's rows after batch ``batch_id`` that share ``keys`` with the rows of that batch.
-
-        The days of a batch are known from its folders, so no other day is read.
-        """
-        days = None
-        if self.partition:
-            folder = f"{self.path}/kind=delta/{_BATCH}={batch_id}/{self.partition}=*"
-            days = [path.rsplit("=", 1)[1] for path in matching_paths(self.spark, folder)]
-        touched = self.batch(batch_id).select(*keys).distinct()
-        return self.current(batch_id + 1, days).join(touched, keys, "left_semi")
 
-    def _write(self, rows: DataFrame, kind: str, batch_id: int) -> None:
-        rows = rows.select(*self.schema.names)
-        if self.partition:
-            rows = self._dealt(rows)
-        writer = rows.write.mode("overwrite")
+    def _part(self) -> Column:
         if self.partition:
-            writer = writer.partitionBy(self.partition)
-        writer.parquet(f"{self.path}/kind={kind}/{_BATCH}={batch_id}")
-
-    def _dealt(self, rows: DataFrame) -> DataFrame:
-        """Rows dealt by day and, for large batches, by a salt of their keys.
-
-        A batch of a stateful query runs without adaptive execution, so what it writes is dealt here:
-        one file for each day and salt, and as many salts as the batch has times ``FILE_ROWS`` rows.
+            return F.col(self.partition).cast("string")
+        return F.pmod(F.xxhash64(*self.keys), F.lit(BUCKETS)).cast("string")
+
+    def _versions(self, parts: list[str] | None = None) -> list[_Version]:
+        """Versions of some parts or of all, oldest first."""
+        which = "*" if parts is None else "{" + ",".join(parts) + "}"
+        found = []
+        for path in matching_paths(self.spark, f"{self.path}/{_PART}={which}/{_VERSION}=*/{_BATCH}=*"):
+            part, number, batch = (piece.split("=", 1)[1] for piece in path.rsplit("/", 3)[1:])
+            found.append(_Version(part, int(number), batch, path))
+        return sorted(found, key=lambda v: v.number)
+
+    def _read(self, versions: list[_Version]) -> DataFrame:
+        if not versions:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*(v.folder for v in versions))
+
+    def current(self, before: int | str | None = None, partitions: list[str] | None = None) -> DataFrame:
+        """The table's rows, or its rows before batch ``before`` was applied; ``partitions`` restricts the read to some days."""
+        newest = {v.part: v for v in self._versions(partitions) if before is None or v.batch != str(before)}
+        return self._read(list(newest.values()))
+
+    def sharing(self, rows: DataFrame, keys: list[str]) -> DataFrame:
+        """The table's rows that share ``keys`` with ``rows``; of a table with days only those of ``rows`` are read."""
+        parts = [r[0] for r in rows.select(self._part()).distinct().collect()] if self.partition in keys else None
+        return self.current(partitions=parts).join(rows.select(*keys).distinct(), keys, "left_semi")
+
+    def apply(self, rows: DataFrame, batch: int | str) -> None:
+        """Combine the rows of a batch with the table; the same batch again replaces what it wrote before.
+
+        ``batch`` names the batch among all that write to the table: its number, with the query's name if several queries write.
         """
-        salts = 1 + rows.count() // FILE_ROWS
-        salt = F.pmod(F.xxhash64(*self.schema.names), F.lit(salts))
-        return rows.repartition(F.col(self.partition), salt)
-
-    def apply(self, rows: DataFrame, batch_id: int) -> None:
-        """Write the rows of a batch; the same batch again replaces what it wrote before."""
-        if not self.partition:
-            self._write(rows, "delta", batch_id)
-            return
-        kept = rows.persist(StorageLevel.MEMORY_AND_DISK)  # counted, then written
+        kept = rows.select(*self.schema.names)  # counted, then written
+        held = kept.storageLevel.useMemory  # the caller's, who lets go of it
+        if not held:
+            kept.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._write(kept, "delta", batch_id)
+            counts = {r[0]: r[1] for r in kept.groupBy(self._part()).count().collect()}
+            if counts:
+                self._rewrite(kept, counts, str(batch))
         finally:
-            kept.unpersist()
-
-    def fold(self, before: int) -> None:
-        """Fold the batches before ``before`` into a base once they and the last base are more than ``fold_every``.
-
-        Only days that these batches wrote are folded; the folders of other days stay as they are. Call
-        it at the start of batch ``before``, when all earlier batches are known to be committed.
-        Folders that the base before this one replaced are deleted; those that this one replaces are
-        left for readers that have just opened them.
-        """
-        base, _, deltas = self._live(before)
-        if len(deltas) + (base is not None) <= self.fold_every:
-            return
-        days = sorted({day for folder in deltas for day in self._days(folder)}) if self.partition else None
-        self._write(self.current(before, days), "base", before - 1)
-        if base is not None:
-            for b, folder in self._folders("delta").items():
-                if b <= base:
-                    delete_folder(self.spark, folder)
-            self._drop_old_bases(base)
-
-    def _drop_old_bases(self, last: int) -> None:
-        """Delete what base ``last`` and those before it have replaced of older ones."""
-        seen: set[str] = set()
-        for b, folder in sorted(self._folders("base").items(), reverse=True):
-            if b > last:
-                continue  # still read by those who opened the table before the new base
-            days = self._days(folder) if self.partition else {"": folder}
-            if days.keys() <= seen:
-                delete_folder(self.spark, folder)
-            for day in days.keys() & seen:
-                delete_folder(self.spark, days[day])
-            seen |= days.keys()
+            if not held:
+                kept.unpersist()
+
+    def _rewrite(self, rows: DataFrame, counts: dict[str, int], batch: str) -> None:
+        before = [v for v in self._versions(list(counts)) if v.batch != batch]
+        newest = list({v.part: v for v in before}.values())
+        number = 1 + max((v.number for v in newest), default=-1)
+        after = combine(self._read(newest), rows, self.rule, list(self.keys), self.value)
+        # A batch of a stateful query runs without adaptive execution, so the rows are dealt here.
+        held = sum(folder_bytes(self.spark, v.folder) for v in newest)
+        salts = 1 + max(sum(counts.values()) // FILE_ROWS, held // FILE_BYTES)
+        dealt = after.withColumns({_PART: self._part(), _VERSION: F.lit(number), _BATCH: F.lit(batch)})
+        dealt = dealt.repartition(F.col(_PART), F.pmod(F.xxhash64(*self.schema.names), F.lit(salts)))
+        stored = dealt.select(*self.schema.names, _PART, _VERSION, _BATCH)
+        writer = stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(_PART, _VERSION, _BATCH).parquet(self.path)
+        for version in before:
+            if version not in newest:
+                delete_folder(self.spark, version.folder.rsplit("/", 1)[0])

@@ -7,6 +7,7 @@ is read back column by column, which a cached or checkpointed plan is not.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from functools import cache
@@ -64,11 +65,35 @@ def finished_folders(spark: SparkSession, pattern: str) -> list[str]:
     return [path.rsplit("/", 1)[0] for path in matching_paths(spark, f"{pattern}/_SUCCESS")]
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
 def make_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
 
 
+def claim(spark: SparkSession, folder: str, checkpoint: str) -> str:
+    """The name under which the query with this checkpoint writes to the tables below ``folder``.
+
+    A checkpoint that has offsets keeps the name it was given; a new one, or one deleted and begun
+    again, gets the next. An older checkpoint cannot go on once a newer one has written.
+    """
+    mine = hashlib.sha256(checkpoint.encode()).hexdigest()
+    claims = sorted((int(path.rsplit("/claim=", 1)[1].split("/")[0]), path.rsplit("/", 1)[1]) for path in matching_paths(spark, f"{folder}/_claims/claim=*/*"))
+    if matching_paths(spark, f"{checkpoint}/offsets/*"):
+        held = [number for number, owner in claims if owner == mine]
+        if held and held[-1] == claims[-1][0]:
+            return f"q{held[-1]}"
+        if held:
+            raise ValueError(f"a newer checkpoint has written to {folder}")
+    number = claims[-1][0] + 1 if claims else 0
+    make_folder(spark, f"{folder}/_claims/claim={number}/{mine}")
+    return f"q{number}"
+
+
 def delete_at_end(spark: SparkSession, folder: str) -> None:
     """Delete the folder when the application's file system is closed."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -3,7 +3,7 @@
 Every micro-batch drops the clicks of users banned before it, then updates keyed tables. A
 micro-batch is an ordinary DataFrame, so the steps are the batch functions of ``operators.ads``.
 Running values live in the tables, not in the query. A query with a new checkpoint goes on where the
-tables stand (``sinks.keyed.first_batch``), and a batch that runs again gives the same rows, since it
+tables stand (``storage.claim``), and a batch that runs again gives the same rows, since it
 reads the tables as they were before it. Lines that the lost checkpoint had read already are counted
 again if the source still offers them: that is the source's position, which only a checkpoint keeps.
 """
@@ -19,8 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 from shoptrail import schemas
 from shoptrail.fixed_values import BAN_ABOVE_CLICKS, RESULT_TABLES, TRIGGER_SECONDS
 from shoptrail.operators import ads
-from shoptrail.sinks.keyed import KeyedTable, first_batch
+from shoptrail.sinks.keyed import KeyedTable
 from shoptrail.sources.ad_log import parse_ad_lines
+from shoptrail.storage import claim
 from shoptrail.streaming.running import rank_touched
 
 
@@ -36,10 +37,10 @@ class AdTables:
     folder: str
 
     @classmethod
-    def below(cls, spark: SparkSession, folder: str, fold_every: int = 50) -> "AdTables":
+    def below(cls, spark: SparkSession, folder: str) -> "AdTables":
         def table(name, schema, rule, keys, value=None, partition=None):
             path = f"{folder}/{RESULT_TABLES[name]}"
-            return KeyedTable(spark, path, schema, rule, keys, value, partition, fold_every)
+            return KeyedTable(spark, path, schema, rule, keys, value, partition)
 
         return cls(
             table(
@@ -71,35 +72,27 @@ class AdTables:
             folder,
         )
 
-    def all(self) -> tuple[KeyedTable, ...]:
-        return self.user_counts, self.blacklist, self.city_totals, self.province_top, self.trend
 
-
-def process_batch(clicks: DataFrame, batch_id: int, tables: AdTables, ban_above: int = BAN_ABOVE_CLICKS) -> None:
+def process_batch(clicks: DataFrame, batch: int | str, tables: AdTables, ban_above: int = BAN_ABOVE_CLICKS) -> None:
     """Apply one micro-batch of parsed clicks to the tables."""
-    for table in tables.all():
-        table.fold(batch_id)
-    banned = tables.blacklist.current(before=batch_id)
+    banned = tables.blacklist.current(before=batch)
     allowed = ads.drop_banned(clicks, banned).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tables.user_counts.apply(ads.user_daily_counts(allowed), batch_id)
-        update_blacklist(tables, batch_id, ban_above)
-        tables.city_totals.apply(ads.city_totals(allowed), batch_id)
-        rank_touched(tables.city_totals, tables.province_top, batch_id)
-        tables.trend.apply(ads.minute_trend(allowed), batch_id)
+        cities = ads.city_totals(allowed).persist(StorageLevel.MEMORY_AND_DISK)
+        tables.city_totals.apply(cities, batch)
+        rank_touched(cities, tables.city_totals, tables.province_top, batch)
+        cities.unpersist()
+        tables.trend.apply(ads.minute_trend(allowed), batch)
+        users = ads.user_daily_counts(allowed).persist(StorageLevel.MEMORY_AND_DISK)
+        tables.user_counts.apply(users, batch)
+        totals = tables.user_counts.sharing(users, ["date", "userid", "adid"])
+        # Last, as Spark drops cached rows that were made from a table once the table is written.
+        tables.blacklist.apply(ads.users_to_ban(totals, ban_above), batch)
+        users.unpersist()
     finally:
         allowed.unpersist()
 
 
-def update_blacklist(tables: AdTables, batch_id: int, ban_above: int) -> None:
-    """Ban the users whose count went above the limit with this batch.
-
-    Only counts that the batch touched are looked up, in one join with the count table.
-    """
-    counts = tables.user_counts.with_batch(batch_id, ["date", "userid", "adid"])
-    tables.blacklist.apply(ads.users_to_ban(counts, ban_above), batch_id)
-
-
 def start_ad_job(
     lines: DataFrame,
     tables: AdTables,
@@ -108,11 +101,11 @@ def start_ad_job(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the job on a stream of ad log lines."""
-    first = first_batch(tables.blacklist.spark, tables.folder, checkpoint)
+    name = claim(tables.blacklist.spark, tables.folder, checkpoint)
     return (
         parse_ad_lines(lines, observe_as="ad_lines")
         .writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": f"{TRIGGER_SECONDS} seconds"}))
-        .foreachBatch(lambda batch, batch_id: process_batch(batch, first + batch_id, tables, ban_above))
+        .foreachBatch(lambda batch, batch_id: process_batch(batch, f"{name}-{batch_id}", tables, ban_above))
         .start()
     )

@@ -1,14 +1,15 @@
-"""Running statistics of an ad click stream: totals, top ads, trend, sliding hour.
+"""Running statistics of an ad click stream without state: totals, top ads, trend, sliding hour.
 
-Counts add up, so every batch writes its own counts to a keyed table with the ``add`` rule (see
-``sinks.keyed``), and readers sum them. No state is kept in the query, so there is no watermark and no
-click is ever too late. Clicks are counted per minute before they are put into sliding windows.
+Counts add up, so every batch adds its own counts to a keyed table (see ``sinks.keyed``). No state is
+kept in the query, so there is no watermark and no click is ever too late; ``streaming.stateful`` has the
+same statistics with Spark's state. Clicks are counted per minute before they are put into sliding windows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 from shoptrail.fixed_values import TRIGGER_SECONDS
 from shoptrail.functions.times import format_time
 from shoptrail.operators.ads import city_totals, province_top_ads
-from shoptrail.sinks.keyed import KeyedTable, first_batch
+from shoptrail.sinks.keyed import KeyedTable
+from shoptrail.storage import claim
 
 
 def sliding_hours(trend: DataFrame, minutes: int = 60) -> DataFrame:
@@ -33,12 +35,7 @@ def start_counts(
     clicks: DataFrame, count: Callable[[DataFrame], DataFrame], table: KeyedTable, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Add ``count`` of each batch of clicks to a keyed table with the ``add`` rule."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        table.fold(batch_id)
-        table.apply(count(batch), batch_id)
-
-    return _start(clicks, write, table, checkpoint, trigger)
+    return _start(clicks, lambda batch, name: table.apply(count(batch), name), table, checkpoint, trigger)
 
 
 def start_province_top_ads(
@@ -50,25 +47,27 @@ def start_province_top_ads(
     to the days and provinces it changed.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        for table in (totals, top):
-            table.fold(batch_id)
-        totals.apply(city_totals(batch), batch_id)
-        rank_touched(totals, top, batch_id)
+    def write(batch: DataFrame, name: str) -> None:
+        counts = city_totals(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            totals.apply(counts, name)
+            rank_touched(counts, totals, top, name)
+        finally:
+            counts.unpersist()
 
     return _start(clicks, write, totals, checkpoint, trigger)
 
 
-def rank_touched(totals: KeyedTable, top: KeyedTable, batch_id: int) -> None:
-    """Replace the top ads of the days and provinces that batch ``batch_id`` of ``totals`` changed."""
-    top.apply(province_top_ads(totals.with_batch(batch_id, ["date", "province"])), batch_id)
+def rank_touched(counts: DataFrame, totals: KeyedTable, top: KeyedTable, batch: int | str) -> None:
+    """Replace the top ads of the days and provinces of ``counts``, which ``totals`` has taken in."""
+    top.apply(province_top_ads(totals.sharing(counts, ["date", "province"])), batch)
 
 
 def _start(clicks: DataFrame, write, table: KeyedTable, checkpoint: str, trigger: dict | None) -> StreamingQuery:
-    first = first_batch(table.spark, table.path, checkpoint)
+    name = claim(table.spark, table.path, checkpoint)
     return (
         clicks.writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": f"{TRIGGER_SECONDS} seconds"}))
-        .foreachBatch(lambda batch, batch_id: write(batch, first + batch_id))
+        .foreachBatch(lambda batch, batch_id: write(batch, f"{name}-{batch_id}"))
         .start()
     )

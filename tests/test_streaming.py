@@ -90,8 +90,8 @@ def test_job_goes_on_after_a_restart(spark, inbox, tmp_path):
 
 
 def test_replayed_batches_change_nothing(spark, tmp_path):
-    """A batch may run again after any of its steps; also across a fold."""
-    tables = AdTables.below(spark, str(tmp_path / "out"), fold_every=1)
+    """A batch may run again after any of its steps."""
+    tables = AdTables.below(spark, str(tmp_path / "out"))
     for batch_id, piece in enumerate(PIECES):
         for _ in range(2):
             process_batch(all_clicks(spark, [piece]), batch_id, tables, BAN_ABOVE)
@@ -99,7 +99,7 @@ def test_replayed_batches_change_nothing(spark, tmp_path):
 
 
 def test_batches_without_any_click(spark, tmp_path):
-    tables = AdTables.below(spark, str(tmp_path / "out"), fold_every=1)
+    tables = AdTables.below(spark, str(tmp_path / "out"))
     pieces = [["broken line"], PIECES[0], [ad_line(user=1)] * 5, PIECES[1], ["another"], PIECES[2]]
     for batch_id, piece in enumerate(pieces):
         process_batch(all_clicks(spark, [piece]), batch_id, tables, BAN_ABOVE)
@@ -182,26 +182,34 @@ def frame(spark, *data):
     return spark.createDataFrame(list(data), "k string, g string, v bigint")
 
 
-@pytest.mark.parametrize("fold", [False, True])
-@pytest.mark.parametrize(
-    "rule, keys, value, expected",
-    [
-        ("add", ("k", "g"), "v", [("a", "x", 5), ("b", "x", 2), ("c", "y", 4)]),
-        ("replace", ("k", "g"), "v", [("a", "x", 4), ("b", "x", 2), ("c", "y", 4)]),
-        ("replace_group", ("g",), None, [("a", "x", 4), ("c", "y", 4)]),
-    ],
-)
-def test_rules_of_keyed_tables(spark, tmp_path, rule, keys, value, expected, fold):
-    table = keyed(spark, tmp_path, rule, keys, value, partition="g", fold_every=0)
+RULES = [
+    ("add", ("k", "g"), "v", [("a", "x", 5), ("b", "x", 2), ("c", "y", 4)]),
+    ("replace", ("k", "g"), "v", [("a", "x", 4), ("b", "x", 2), ("c", "y", 4)]),
+    ("replace_group", ("g",), None, [("a", "x", 4), ("c", "y", 4)]),
+]
+
+
+@pytest.mark.parametrize("rule, keys, value, expected", RULES)
+@pytest.mark.parametrize("by_day", [True, False])
+def test_rules_of_keyed_tables(spark, tmp_path, rule, keys, value, expected, by_day):
+    table = keyed(spark, tmp_path, rule, keys, value, partition="g" if by_day else None)
     assert rows(table.current()) == []
     table.apply(frame(spark, ("a", "x", 1), ("b", "x", 2)), 0)
     before = rows(table.current())
-    if fold:
-        table.fold(1)
-    table.apply(frame(spark, ("z", "x", 99)), 1)
-    table.apply(frame(spark, ("a", "x", 4), ("c", "y", 4)), 1)
-    assert rows(table.current()) == expected
+    table.apply(frame(spark, ("z", "x", 99), ("c", "y", 1)), 1)
+    table.apply(frame(spark, ("a", "x", 4), ("z", "x", 0), ("c", "y", 4)), 1)  # the batch again, with other rows
+    assert [r for r in rows(table.current()) if r[0] != "z"] == expected
     assert rows(table.current(before=1)) == before
+    if by_day:
+        assert [r for r in rows(table.current(partitions=["x"])) if r[0] != "z"] == [r for r in expected if r[1] == "x"]
+
+
+def test_a_batch_that_died_between_two_days_runs_again(spark, tmp_path):
+    table = keyed(spark, tmp_path, "add", ("k", "g"), partition="g")
+    table.apply(frame(spark, ("a", "x", 1), ("a", "y", 1)), 0)
+    table.apply(frame(spark, ("a", "x", 10)), 1)  # of batch 1 only day x was written
+    table.apply(frame(spark, ("a", "x", 10), ("a", "y", 10)), 1)
+    assert rows(table.current()) == [("a", "x", 11), ("a", "y", 11)]
 
 
 def test_insert_rule(spark, tmp_path):
@@ -211,29 +219,24 @@ def test_insert_rule(spark, tmp_path):
     assert rows(table.current()) == [(1,), (2,), (3,)]
 
 
-def test_folding_bounds_the_number_of_folders(spark, tmp_path):
-    table = keyed(spark, tmp_path, "add", ("k", "g"), fold_every=3)
-    for batch_id in range(12):
-        table.fold(batch_id)
-        table.apply(frame(spark, ("a", "x", 1)), batch_id)
-        assert sum(map(len, table._live(None)[1:])) <= 4
-    assert rows(table.current()) == [("a", "x", 12)]
-    assert len(list(tmp_path.glob("kind=*/batch_id=*"))) <= 9
-
-
-def test_a_fold_leaves_untouched_days_alone(spark, tmp_path):
-    table = keyed(spark, tmp_path, "add", ("k", "g"), partition="g", fold_every=1)
+def test_a_day_has_two_versions_and_others_are_left_alone(spark, tmp_path):
+    table = keyed(spark, tmp_path, "add", ("k", "g"), partition="g")
     for batch_id, day in enumerate(["x", "x", "y", "y", "x", "y", "y", "y"]):
-        table.fold(batch_id)
         table.apply(frame(spark, ("a", day, 1)), batch_id)
-        if batch_id == 2:
-            files = {f: f.stat().st_mtime_ns for f in tmp_path.glob("kind=base/batch_id=1/g=x/*.parquet")}
+        if batch_id == 1:
+            files = {f: f.stat().st_mtime_ns for f in tmp_path.glob("part=x/version=1/batch=1/*.parquet")}
             assert files
-        if batch_id == 4:  # day y has been folded since
-            assert list(tmp_path.glob("kind=base/batch_id=3/g=y/*")) and not list(tmp_path.glob("kind=base/batch_id=3/g=x"))
+        if batch_id == 3:
             assert {f: f.stat().st_mtime_ns for f in files} == files
+        assert all(len(list(tmp_path.glob(f"part={d}/version=*/batch=*"))) <= 2 for d in "xy")
     assert rows(table.current()) == [("a", "x", 3), ("a", "y", 5)]
-    assert rows(table.current(partitions=["x"])) == [("a", "x", 3)]
+
+
+def test_batches_of_several_queries_are_told_apart(spark, tmp_path):
+    table = keyed(spark, tmp_path, "add", ("k", "g"))
+    for name in ("q0-0", "q1-0", "q1-0", "q1-1"):
+        table.apply(frame(spark, ("a", "x", 1)), name)
+    assert rows(table.current()) == [("a", "x", 3)]
 
 
 @pytest.mark.parametrize(("most", "low", "high"), [(1_000_000, 1, 1), (100, 4, 11)])
@@ -249,7 +252,7 @@ def test_a_batch_writes_few_files_for_each_day(spark, tmp_path, monkeypatch, mos
         table.apply(spark.range(1000).repartition(16).select(F.col("id").cast("string").alias("k"), day.alias("g"), F.col("id").alias("v")), 0)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert low <= len(list(tmp_path.glob("kind=delta/*/g=x/*.parquet"))) <= high
+    assert low <= len(list(tmp_path.glob("part=x/*/*/*.parquet"))) <= high
     assert table.current().count() == 1000
 
 
