@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import date, timedelta
 
 
 def _items(value) -> tuple[str, ...]:
@@ -24,8 +23,8 @@ def _number(value) -> int | None:
 class TaskParams:
     """What to analyse. A missing, ``None`` or empty filter lets every session pass."""
 
-    start_date: str
-    end_date: str
+    start_date: str | None = None  # None: yesterday
+    end_date: str | None = None  # None: today
     start_age: int | None = None
     end_age: int | None = None
     professionals: tuple[str, ...] = ()
@@ -38,14 +37,10 @@ class TaskParams:
 
     @classmethod
     def from_dict(cls, task: Mapping, **extra) -> "TaskParams":
-        """Build from the job's parameter object (``startDate``, ``endDate``, ``startAge``, ...).
-
-        Without dates the range is yesterday and today, by this machine's clock.
-        """
-        today = date.today()
+        """Build from the job's parameter object (``startDate``, ``endDate``, ``startAge``, ...). Without dates the range is yesterday and today."""
         return cls(
-            start_date=task.get("startDate") or (today - timedelta(days=1)).isoformat(),
-            end_date=task.get("endDate") or today.isoformat(),
+            start_date=task.get("startDate") or None,
+            end_date=task.get("endDate") or None,
             start_age=_number(task.get("startAge")),
             end_age=_number(task.get("endAge")),
             professionals=_items(task.get("professionals")),

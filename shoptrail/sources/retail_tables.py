@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shoptrail.fixed_values import NOTHING
 from shoptrail.functions.text import two_digits
 from shoptrail.params import TaskParams
+from shoptrail.sources.tables import first_and_last_day
 
 AD_EVENTS = ("click", "view")
 
@@ -19,8 +20,8 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def user_visit_action(events: DataFrame, params: TaskParams | None = None) -> DataFrame:
     """Events as visit actions. The date range also filters ``ts``, so that it reaches the scan."""
     if params is not None:
-        first = F.lit(params.start_date).cast("date")
-        last = F.date_add(F.lit(params.end_date).cast("date"), 1)
+        first, last = (day.cast("date") for day in first_and_last_day(params))
+        last = F.date_add(last, 1)
         events = events.where(
             (F.col("ts") >= first.cast("timestamp_ntz")) & (F.col("ts") < last.cast("timestamp_ntz"))
         )

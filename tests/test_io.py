@@ -11,7 +11,7 @@ from shoptrail.plans.page_job import run_page_job
 from shoptrail.plans.session_job import run_session_job
 from shoptrail.sinks.jdbc import jdbc_options
 from shoptrail.sinks.tables import register_views, replace_table
-from shoptrail.sources.tables import user_info
+from shoptrail.sources.tables import in_dates, user_info
 from shoptrail.storage import Staging, new_folder
 
 from pyspark.sql import functions as F
@@ -51,8 +51,16 @@ def test_params():
         {"startDate": "a", "endDate": "b", "startAge": 20, "endAge": "50", "cities": "", "categoryIds": "1,2"}
     )
     assert (p.start_age, p.end_age, p.cities, p.category_ids, p.keywords) == (20, 50, (), (1, 2), ())
-    with pytest.raises(KeyError):
-        TaskParams.from_dict({"startDate": "a"})
+    assert (TaskParams.from_dict({"startDate": "a"}).end_date, TaskParams.from_dict({"endDate": ""}).start_date) == (None, None)
+
+
+def test_a_task_without_dates_is_about_yesterday_and_today(spark):
+    """By the session's clock and time zone, as text and as date columns; one date given leaves the other's default."""
+    days = spark.range(5).select(F.date_sub(F.current_date(), F.col("id").cast("int")).alias("date"), F.col("id"))
+    for table in (days, days.withColumn("date", F.col("date").cast("string"))):
+        assert rows(in_dates(table, TaskParams.from_dict({})).select("id")) == [(0,), (1,)]
+        assert rows(in_dates(table, TaskParams.from_dict({"startDate": "2000-01-01"})).select("id")) == [(n,) for n in range(5)]
+        assert rows(in_dates(table, TaskParams.from_dict({"endDate": days.where("id = 1").first()["date"].isoformat()})).select("id")) == [(1,)]
 
 
 def test_jdbc_options():
