@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail import fixed_values as fixed
@@ -25,22 +25,45 @@ def _bucket_predicates(buckets: str) -> dict[str, Column]:
     }
 
 
+def _counters(buckets: str) -> list[Column]:
+    return [F.count(F.lit(1)).alias("session_count"), *(F.count_if(p).alias(name) for name, p in _bucket_predicates(buckets).items())]
+
+
+def observed(sessions: DataFrame, buckets: str = "reference") -> tuple[DataFrame, Observation]:
+    """``sessions``, and named counters that its first write or other action fills on the way.
+
+    They hold what ``bucket_counts`` gives, without an aggregation of their own. Let the action that fills them be a
+    write of these very rows: its tasks then count once each, however often they are tried.
+    """
+    counters = Observation()
+    return sessions.observe(counters, *_counters(buckets)), counters
+
+
+def counted(spark: SparkSession, counters: Observation, buckets: str = "reference") -> DataFrame:
+    """The counters as ``bucket_counts`` would give them. Waits for the action; a plan known to be empty reports nothing."""
+    found = counters.get
+    names = ["session_count", *_bucket_predicates(buckets)]
+    return spark.createDataFrame([tuple(found.get(n) or 0 for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
 def bucket_counts(sessions: DataFrame, buckets: str = "reference") -> DataFrame:
     """One row: number of sessions and of sessions in each bucket, in a single aggregation.
 
     ``buckets="reference"`` leaves 4, 7 and 10 (and one step) out of every bucket;
     ``"closed"`` puts them where the bucket's name says.
     """
-    return sessions.agg(
-        F.count(F.lit(1)).alias("session_count"),
-        *(F.count_if(p).alias(name) for name, p in _bucket_predicates(buckets).items()),
-    )
+    return sessions.agg(*_counters(buckets))
 
 
 def length_ratios(sessions: DataFrame, task_id: str, buckets: str = "reference") -> DataFrame:
     """One row: number of sessions and the share of each bucket, rounded half up to two digits."""
+    return ratios_of(bucket_counts(sessions, buckets), task_id, buckets)
+
+
+def ratios_of(counts: DataFrame, task_id: str, buckets: str = "reference") -> DataFrame:
+    """``length_ratios`` from the row of counts."""
     total = F.greatest(F.col("session_count"), F.lit(1))
-    return bucket_counts(sessions, buckets).select(
+    return counts.select(
         F.lit(task_id).alias("taskid"),
         "session_count",
         *(half_up(F.col(name) / total, 2).alias(f"{name}_ratio") for name in _bucket_predicates(buckets)),
@@ -49,10 +72,15 @@ def length_ratios(sessions: DataFrame, task_id: str, buckets: str = "reference")
 
 def length_buckets(sessions: DataFrame, buckets: str = "reference") -> DataFrame:
     """The same distribution with one row per bucket."""
+    return buckets_of(bucket_counts(sessions, buckets), buckets)
+
+
+def buckets_of(counts: DataFrame, buckets: str = "reference") -> DataFrame:
+    """``length_buckets`` from the row of counts."""
     names = list(_bucket_predicates(buckets))
     total = F.greatest(F.col("session_count"), F.lit(1))
     return (
-        bucket_counts(sessions, buckets)
+        counts
         .unpivot(["session_count"], names, "bucket", "sessions")
         .select("bucket", "sessions", half_up(F.col("sessions") / total, 2).alias("ratio"))
     )

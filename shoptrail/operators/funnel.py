@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shoptrail.operators.sequence import HOT_ROWS, action_order, add_neighbour
 
 
-def page_moves(actions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def page_moves(actions: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Every action's page with the next page of its session (null for the last action)."""
     order = action_order(actions)
     needed = actions.select(*dict.fromkeys(["session_id", *order, "page_id"]))

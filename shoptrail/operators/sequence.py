@@ -35,14 +35,19 @@ def add_neighbour(
     order: list[str],
     columns: dict[str, str],
     step: int,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add columns of the next (``step=1``) or previous (``step=-1``) row of the same ``key``.
 
     ``columns`` maps a source column to the name of the added one; ``order`` must be total within a
-    key. When no key is frequent, adaptive execution drops the second branch before it starts.
+    key. When no key is frequent, adaptive execution drops the second branch before it starts. With
+    ``hot_rows=None`` no key is looked for: right where ``frequent_keys`` has found none, as in a table bucketed by
+    the key, whose rows then need no exchange.
     """
     shift = F.lead if step > 0 else F.lag
+    if hot_rows is None:
+        whole = Window.partitionBy(key).orderBy(*order)
+        return df.withColumns({out: shift(source).over(whole) for source, out in columns.items()})
     frequent = frequent_keys(df, key, hot_rows)
 
     whole = Window.partitionBy(key).orderBy(*order)

@@ -29,7 +29,7 @@ def run_session_job(
 
     ``write`` has to store the result at once: staged tables are deleted at the end.
     What several analyses use is computed once and staged: the kept sessions (without their lists),
-    their counts per category, and the top categories.
+    their counts per category, and the top categories. The buckets are counted by the write of the kept sessions.
     """
     task_id = task_id or str(uuid.uuid4())
     actions = visit_actions(action_table, params)
@@ -37,10 +37,12 @@ def run_session_job(
     per_session = categories.session_category_counts(actions)
 
     with Staging(action_table.sparkSession, "session-job") as staging:
-        kept = staging.table(
-            kept.select("session_id", "start_time", "visit_length", "step_length"), "kept-sessions"
+        rows, counters = buckets.observed(
+            kept.select("session_id", "start_time", "visit_length", "step_length"), bucket_limits
         )
-        write(buckets.length_ratios(kept, task_id, bucket_limits), RESULT_TABLES["session_ratio"])
+        kept = staging.table(rows, "kept-sessions")
+        counts = buckets.counted(action_table.sparkSession, counters, bucket_limits)
+        write(buckets.ratios_of(counts, task_id, bucket_limits), RESULT_TABLES["session_ratio"])
         write(
             sampling.session_sample(actions, kept, task_id, allowance, seed=task_id),
             RESULT_TABLES["session_sample"],
