@@ -271,6 +271,13 @@ _CITIES = ", ".join(f"({n}, '{city}', '{area}')" for n, city, area in fixed.CITY
 _BUILTIN = " ".join(f"WHEN '{area}' THEN '{level}'" for area, level in fixed.AREA_LEVELS.items())
 
 
+_KEPT_ACTIONS = f"""WITH {_sessions(ALL_DAYS | FILTERS["age"] | FILTERS["sex"] | FILTERS["keyword"])}
+SELECT session_id, event_id, page_id, click_product_id, order_product_ids, pay_product_ids
+FROM a WHERE session_id IN (SELECT session_id FROM kept)"""
+# Where the watermark of the state queries stands at the end: an hour before the last click.
+_PASSED = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM l)"
+
+
 def all_oracles() -> dict[str, str]:
     found = {
         "visit_actions_in_dates": f"""WITH {_actions(SOME_DAYS)}
@@ -284,6 +291,12 @@ SELECT city_id, click_product_id, count(*) AS clicks FROM a WHERE click_product_
         "session_length_ratios": _ratios(False),
         "session_length_ratios_closed": _ratios(True),
         "session_length_buckets_long": _long(),
+        "session_counters": _long(),
+        "session_rollup_bucketed": _session_rows(ALL_DAYS),
+        "kept_actions_bucketed": _KEPT_ACTIONS,
+        "page_pairs_bucketed": _PAIR_COUNTS,
+        "actions_of_default_dates": """SELECT CAST(date_diff('day', CAST(ts AS DATE), last) AS INTEGER) AS days_ago, count(*) AS actions
+FROM events, (SELECT max(CAST(ts AS DATE)) AS last FROM events) WHERE CAST(ts AS DATE) >= last - 1 GROUP BY 1""",
         "session_hourly_counts": f"""WITH {_quota(ALL_DAYS, BIG_ALLOWANCE)} SELECT * FROM hours""",
         "session_sample_quota": f"""WITH {_quota(ALL_DAYS, BIG_ALLOWANCE)} SELECT * FROM quota""",
         "session_sample": _sample(ALL_DAYS, BIG_ALLOWANCE),
@@ -295,9 +308,7 @@ SELECT '{TASK}' AS taskid, user_id AS userid, session_id AS sessionid, page_id A
   order_category_ids AS "orderCategoryIds", order_product_ids AS "orderProductIds",
   pay_category_ids AS "payCategoryIds", pay_product_ids AS "payProductIds"
 FROM a WHERE session_id IN (SELECT session_id FROM sample)""",
-        "kept_actions": f"""WITH {_sessions(ALL_DAYS | FILTERS["age"] | FILTERS["sex"] | FILTERS["keyword"])}
-SELECT session_id, event_id, page_id, click_product_id, order_product_ids, pay_product_ids
-FROM a WHERE session_id IN (SELECT session_id FROM kept)""",
+        "kept_actions": _KEPT_ACTIONS,
         "session_category_counts": f"""WITH {_sessions(ALL_DAYS)},
 ids AS (SELECT session_id, click_category_id AS categoryid, 1 AS c, 0 AS o, 0 AS p FROM a WHERE click_category_id <> -1
   UNION ALL SELECT session_id, CAST(unnest(string_split(order_category_ids, ',')) AS BIGINT), 0, 1, 0 FROM a
@@ -357,6 +368,18 @@ GROUP BY x.mt, x.adid""",
 w AS (SELECT mt - to_minutes(i) AS w0, adid, c FROM pm, range(0, 60) x(i))
 SELECT strftime(w0, {_TIME}) AS "windowStart", strftime(w0 + INTERVAL 60 MINUTE, {_TIME}) AS "windowEnd", adid,
   CAST(sum(c) AS BIGINT) AS "clickCount" FROM w GROUP BY w0, adid""",
+        "ad_state_totals": _CITY_TOTALS,
+        "ad_state_totals_after_failure": _CITY_TOTALS,
+        "ad_state_totals_stopped": _CITY_TOTALS,
+        "ad_state_minutes": f"{_TREND} WHERE mt + INTERVAL 1 MINUTE <= {_PASSED}",
+        "ad_state_sliding_hour": f"""{_ADS},
+w AS (SELECT unnest(generate_series(mt - INTERVAL 59 MINUTE, mt, INTERVAL 1 MINUTE)) AS start, adid, c FROM pm)
+SELECT strftime(start, {_TIME}) AS "windowStart", strftime(start + INTERVAL 1 HOUR, {_TIME}) AS "windowEnd", adid,
+  CAST(sum(c) AS BIGINT) AS "clickCount"
+FROM w WHERE start + INTERVAL 1 HOUR <= {_PASSED} GROUP BY start, adid""",
+        "ad_state_bans": f"{_ADS} {_BANNED}",
+        "sink_row_files": f"""{_ADS}
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts, province, city, userid, adid FROM l""",
         "ad_stream_allowed": _REPLAYED,
         "sink_restart": _CITY_TOTALS,
         "ad_stream_user_counts": _USER_COUNTS,

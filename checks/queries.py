@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,17 +16,21 @@ from shoptrail.params import TaskParams
 from shoptrail.plans.area_job import area_products_in_sql
 from shoptrail.plans.session_job import run_session_job
 from shoptrail.sinks.keyed import KeyedTable
-from shoptrail.sinks.tables import replace_table
+from shoptrail.operators.sequence import HOT_ROWS, frequent_keys
+from shoptrail.sinks.row_files import RowFilesSource
+from shoptrail.sinks.tables import replace_bucketed, replace_table
 from shoptrail.sources import retail_tables as retail
 from shoptrail.sources.ad_log import parse_ad_lines
 from shoptrail.sources.tables import city_areas, product_clicks, visit_actions
 from shoptrail.storage import delete_at_end, new_folder
-from shoptrail.streaming import running
+from shoptrail.streaming import running, stateful
 from shoptrail.streaming.ad_job import AdTables, start_ad_job
+from shoptrail.streaming.lifecycle import stop_between_batches
 
 TASK = "task-1"
 SEED = "7"
-ALL_DAYS = {"startDate": "2024-01-01", "endDate": "2024-12-31", "targetPageFlow": "1,2,3,4,5,6,7"}
+# Every day that a table can hold: where dates are not the feature, no event is left out.
+ALL_DAYS = {"startDate": "0001-01-01", "endDate": "9999-12-31", "targetPageFlow": "1,2,3,4,5,6,7"}
 SOME_DAYS = ALL_DAYS | {"startDate": "2024-01-05", "endDate": "2024-01-20"}
 TWO_DAYS = ALL_DAYS | {"startDate": "2024-01-05", "endDate": "2024-01-06"}
 FILTERS = {
@@ -200,6 +205,56 @@ def _(spark, folder):
     return buckets.length_buckets(_kept(spark, folder))
 
 
+@query("session_counters")
+def _(spark, folder):
+    """The same from counters that the write of the sessions has filled."""
+    rows, counters = buckets.observed(_kept(spark, folder).select("session_id", "visit_length", "step_length"))
+    rows.write.parquet(f"{_scratch(spark, 'session-counters')}/rows")
+    return buckets.buckets_of(buckets.counted(spark, counters))
+
+
+def _bucketed_actions(spark, folder, name: str) -> DataFrame:
+    """The actions as a table bucketed by session."""
+    table = f"shoptrail_actions_{name}"
+    replace_bucketed(_actions(spark, folder), table, "session_id", "action_time", 8, f"{_scratch(spark, table)}/rows")
+    return spark.read.table(table)
+
+
+@query("session_rollup_bucketed")
+def _(spark, folder):
+    actions = _bucketed_actions(spark, folder, "rollup")
+    return _show_sessions(sessions.kept_sessions(actions, _users(spark, folder), _params()))
+
+
+@query("kept_actions_bucketed")
+def _(spark, folder):
+    task = ALL_DAYS | FILTERS["age"] | FILTERS["sex"] | FILTERS["keyword"]
+    actions = _bucketed_actions(spark, folder, "kept")
+    kept = sessions.kept_sessions(actions, _users(spark, folder), _params(task))
+    return sessions.of_sessions(actions, kept).select(
+        "session_id", "event_id", "page_id", "click_product_id", "order_product_ids", "pay_product_ids"
+    )
+
+
+@query("page_pairs_bucketed")
+def _(spark, folder):
+    actions = _bucketed_actions(spark, folder, "pairs")
+    hot = None if frequent_keys(actions, "session_id").isEmpty() else HOT_ROWS
+    return funnel.page_pairs(funnel.page_moves(actions, hot))
+
+
+@query("actions_of_default_dates")
+def _(spark, folder):
+    """Actions of a task without dates: yesterday and today. The events are moved so that their last day is today."""
+    events = retail.read(spark, folder, "events")
+    last = events.agg(F.max(F.to_date("ts"))).first()[0]
+    moved = F.timestamp_add("DAY", F.date_diff(F.current_date(), F.lit(last)), F.col("ts")).cast("timestamp_ntz")
+    recent = events.withColumn("ts", moved)
+    params = TaskParams.from_dict({})
+    actions = visit_actions(retail.user_visit_action(recent, params), params)
+    return actions.groupBy(F.date_diff(F.current_date(), "date").alias("days_ago")).agg(F.count("*").alias("actions"))
+
+
 @query("session_hourly_counts")
 def _(spark, folder):
     return sampling.hourly_counts(_kept(spark, folder))
@@ -518,6 +573,110 @@ def _(spark, folder):
     return table.current()
 
 
+# --- advertising, streams with state --------------------------------------------------------
+
+
+def _state_totals(spark, folder, finish, trigger: dict | None = _ONCE, fail_at: int | None = None) -> DataFrame:
+    """Running totals over three pieces of the events; ``finish`` ends each run. Batch ``fail_at`` fails once, after its write."""
+    table, failed = _totals_table(spark, "replace"), []
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        table.apply(rows, batch_id)
+        if batch_id == fail_at and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("a batch that fails once")
+
+    def start(lines, checkpoint):
+        return finish(lambda: stateful.start(stateful.running_totals(parse_ad_lines(lines)), "update", checkpoint, write, trigger))
+
+    _in_pieces(spark, folder, start)
+    return table.current()
+
+
+@query("ad_state_totals")
+def _(spark, folder):
+    return _state_totals(spark, folder, lambda begin: begin())
+
+
+@query("ad_state_totals_after_failure")
+def _(spark, folder):
+    """The second batch fails once; the query is started again from its checkpoint."""
+
+    def finish(begin):
+        running_query = begin()
+        try:
+            running_query.awaitTermination()
+        except StreamingQueryException:
+            running_query = begin()
+        return running_query
+
+    return _state_totals(spark, folder, finish, fail_at=1)
+
+
+@query("ad_state_totals_stopped")
+def _(spark, folder):
+    """On its trigger of five seconds the query is stopped between batches and started again, for each piece."""
+
+    def finish(begin):
+        running_query = begin()
+        running_query.processAllAvailable()
+        stop_between_batches(running_query)
+        return running_query
+
+    return _state_totals(spark, folder, finish, trigger=None)
+
+
+def _appended(spark, folder, result) -> DataFrame:
+    """What an append-mode query over three pieces has given."""
+    out = _scratch(spark, "windows")
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")  # a batch that runs again writes the same place
+
+    _in_pieces(spark, folder, lambda lines, checkpoint: stateful.start(result(parse_ad_lines(lines)), "append", checkpoint, write, _ONCE))
+    return spark.read.parquet(out).drop("batch")
+
+
+@query("ad_state_minutes")
+def _(spark, folder):
+    """Minutes that the watermark, an hour behind the last click, has passed."""
+    return _appended(spark, folder, stateful.minute_counts)
+
+
+@query("ad_state_sliding_hour")
+def _(spark, folder):
+    """Hours that the watermark has passed."""
+    return _appended(spark, folder, stateful.sliding_hours)
+
+
+@query("ad_state_bans")
+def _(spark, folder):
+    """Users that the stateful processors have banned, each once."""
+    out = _scratch(spark, "bans")
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    _in_pieces(
+        spark, folder, lambda lines, checkpoint: stateful.start(stateful.ban_users(parse_ad_lines(lines), BAN_ABOVE), "update", checkpoint, write, _ONCE)
+    )
+    return spark.read.parquet(out).select("userid")
+
+
+@query("sink_row_files")
+def _(spark, folder):
+    """The clicks of three pieces through the streaming sink, read back."""
+    out = _scratch(spark, "row-files")
+    spark.dataSource.register(RowFilesSource)
+
+    def start(lines, checkpoint):
+        clicks = parse_ad_lines(lines).select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"), "province", "city", "userid", "adid")
+        return clicks.writeStream.format("row_files").option("path", out).option("checkpointLocation", checkpoint).trigger(**_ONCE).start()
+
+    _in_pieces(spark, folder, start)
+    return spark.read.format("row_files").option("path", out).schema("ts string, province string, city string, userid long, adid long").load()
+
+
 def _ad_job(spark, folder) -> AdTables:
     tables = AdTables.below(spark, _scratch(spark, "ad-job"))
     start_ad_job(
