@@ -4,24 +4,22 @@
 2. Universal hash functions h(x) = (a x + b mod 2^64) >> 32 give 128 minima, dealt to 32 bands of four; the
    lowest four bits of each minimum are the signature.
 3. Sets that agree in a band are in one bucket. In each bucket all meet its first set, then one drawn by a
-   hash, which differs from bucket to bucket, unless they are already known to belong together. Buckets that still
-   hold several components: where few sets are outside the largest one, these meet all others; else
-   the bucket is split by the sets' later bands, and the pieces are treated alike.
-4. Candidates pass if sizes and signatures allow the similarity; it is then confirmed on the full sets.
-5. Components come from alternating large-star and small-star steps.
-
-A pair of similarity 0.8 agrees in no band with chance 5e-8, in at most one (what a bucket split once asks beside its
-own) with 1e-6 (twice: in at most two, 1e-5). Its signatures fail with chance 2e-8. No bucket is cut: a set meets at most two sets of a bucket,
-and at most ``OUTSIDE`` or, being outside the largest component itself, all.
+   hash, which differs from bucket to bucket, unless they are already known to belong together.
+4. Sets of buckets that still hold several components go through an exact prefix filter: in order of frequency, rare
+   shingles first, two similar sets share one of the first shingles of each, and their places bound what else they can
+   share. A hot bucket is thus told apart by what its sets do not have in common.
+5. Candidates pass if sizes and signatures allow the similarity; it is then confirmed on the full sets.
+6. Components come from alternating large-star and small-star steps.
+
+A pair of similarity 0.8 agrees in no band with chance 5e-8, and its signatures fail with chance 2e-8; nothing else can lose a
+pair. In a bucket a set meets two others; a prefix joins only sets of different components.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.llm.common import per_text, stage
@@ -31,8 +29,6 @@ SHINGLE = 4
 #: Similar: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 BANDS, ROWS = 32, 4
-#: Sets outside a bucket's largest component that meet all others; of more, the bucket is split.
-OUTSIDE = 64
 #: Of 128 parts of a signature, how many must agree: 104 are expected at 0.8, with a deviation of 4.4.
 LEAST_EQUAL = 79
 _BLOCK = 1 << 12
@@ -129,10 +125,9 @@ class _Search:
     """The links of one table of documents, found bucket by bucket."""
 
     def __init__(self, docs: DataFrame, id_column: str, text: str, size: int):
-        self.docs, self.id, self.text, self.size = docs.where(F.col(f"`{id_column}`").isNotNull()), id_column, text, size
-        plain = docs.select(F.col(f"`{id_column}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"))
-        self.plain = plain
-        described = per_text(plain, ["__id"], "__text", lambda: lambda texts: _described(texts, size), "n_shingles long, d1 long, d2 long, keys array<long>, sig array<long>")
+        self.size = size
+        self.plain = docs.select(F.col(f"`{id_column}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text"))
+        described = per_text(self.plain, ["__id"], "__text", lambda: lambda texts: _described(texts, size), "n_shingles long, d1 long, d2 long, keys array<long>, sig array<long>")
         self.rows = stage(described, "minhash-rows")
         # what is the same in all copies of a set is taken from any of them
         once = self.rows.where("d1 is not null and __id is not null").groupBy("d1", "d2").agg(
@@ -150,12 +145,7 @@ class _Search:
         close = stage(close.select("a", "b"), "minhash-close")
         if close.isEmpty():
             return False
-        wanted = stage(self.sets.select("lid", "doc", "d1", "d2").join(close.select(F.explode(F.array("a", "b")).alias("lid")).distinct(), "lid"), "minhash-wanted")
-        some = self.plain.join(wanted.select(F.col("doc").alias("__id")).distinct(), "__id", "left_semi")
-        size = self.size
-        full = per_text(some, ["__id"], "__text", lambda: lambda texts: _held(texts, size), "d1 long, d2 long, hashes array<long>")
-        full = full.join(wanted, (full["__id"] == wanted["doc"]) & (full["d1"] == wanted["d1"]) & (full["d2"] == wanted["d2"])).select("lid", "doc", "hashes")
-        full = stage(full.dropDuplicates(["lid"]), "minhash-full")
+        full = self.full_sets(close.select(F.explode(F.array("a", "b")).alias("lid")))
         one, two = (full.select(F.col("lid").alias(c), F.struct("doc", "lid").alias(f"node_{c}"), F.col("hashes").alias(f"x_{c}")) for c in "ab")
         both = close.join(one, "a").join(two, "b").select("node_a", "node_b", F.size(F.array_intersect("x_a", "x_b")).alias("common"), (F.size("x_a") + F.size("x_b")).alias("sizes"))
         found = stage(both.where(F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * PERCENT).select("node_a", "node_b"), "minhash-links")
@@ -165,13 +155,25 @@ class _Search:
         self.tied = stage(components(self.links, "node_a", "node_b"), "minhash-components")
         return True
 
-    def split(self, members: DataFrame) -> DataFrame:
-        """Rows (key, band, lid, component) of buckets that hold more than one component."""
+    def full_sets(self, lids: DataFrame) -> DataFrame:
+        """Staged rows (lid, doc, hashes) of the sets in column ``lid``, made anew from their texts."""
+        wanted = stage(self.sets.select("lid", "doc", "d1", "d2").join(lids.distinct(), "lid"), "minhash-wanted")
+        some = self.plain.join(wanted.select(F.col("doc").alias("__id")).distinct(), "__id", "left_semi")
+        size = self.size
+        full = per_text(some, ["__id"], "__text", lambda: lambda texts: _held(texts, size), "d1 long, d2 long, hashes array<long>")
+        full = full.join(wanted, (full["__id"] == wanted["doc"]) & (full["d1"] == wanted["d1"]) & (full["d2"] == wanted["d2"])).select("lid", "doc", "hashes")
+        return stage(full.dropDuplicates(["lid"]), "minhash-full")
+
+    def with_components(self, lids: DataFrame) -> DataFrame:
+        """``lids`` with the component each belongs to so far."""
         if self.tied is None:
-            known = members.select("key", "band", "lid", F.col("lid").alias("component"))
-        else:
-            of = self.tied.select(F.col("node.lid").alias("lid"), F.col("component.lid").alias("component"))
-            known = members.select("key", "band", "lid").join(of, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
+            return lids.withColumn("component", F.col("lid"))
+        of = self.tied.select(F.col("node.lid").alias("lid"), F.col("component.lid").alias("component"))
+        return lids.join(of, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
+
+    def split(self, members: DataFrame) -> DataFrame:
+        """Rows (key, lid, component) of buckets that hold more than one component."""
+        known = self.with_components(members.select("key", "lid"))
         several = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
         return stage(known.join(stage(several, "minhash-split-keys"), "key"), "minhash-buckets")
 
@@ -181,36 +183,39 @@ class _Search:
         return members.join(first, "key").where(F.col("component") != F.col("of")).select("a", F.col("lid").alias("b"))
 
     def run(self) -> None:
-        members = self.sets.select(F.posexplode("keys").alias("band", "key"), "lid")
-        while True:
-            members = self.split(members)
-            if members.isEmpty():
-                return
-            if self.confirm(self.meet_one(members, F.col("lid"))):
-                members = self.split(members)
-            if self.confirm(self.meet_one(members, F.xxhash64("key", "lid"))):
+        members = self.split(self.sets.select(F.explode("keys").alias("key"), "lid"))
+        for order in (F.col("lid"), F.xxhash64("key", "lid")):
+            if self.confirm(self.meet_one(members, order)):
                 members = self.split(members)
-            members = self.meet_outside(members)
-            if members is None:
-                return
-
-    def meet_outside(self, members: DataFrame) -> DataFrame | None:
-        """Confirms what is left of buckets with few sets outside the largest component; gives the pieces of the others."""
-        sizes = members.groupBy("key", "component").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("all"))
-        sizes = stage(sizes.select("key", F.col("top.component").alias("largest"), (F.col("all") - F.col("top.m")).alias("outside")), "minhash-sizes")
-        about = members.join(sizes, "key").join(self.sets.select("lid", "n", "sig"), "lid")
-        few = stage(about.where(F.col("outside") <= OUTSIDE).select("key", "lid", "component", "largest", "n", "sig"), "minhash-few")
-        left = few.where("component <> largest").select("key", F.col("lid").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
-        right = few.select("key", F.col("lid").alias("b"), F.col("component").alias("c_b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
-        same = left["key"] == right["key"]
-        # the tests are part of the join's condition: pairs that fail them never become rows
-        self.confirm(left.join(right, same & (F.col("c_a") != F.col("c_b")) & _may_be_similar("n_a", "n_b", "sig_a", "sig_b")).select("a", "b"))
-        many = members.join(sizes.where(F.col("outside") > OUTSIDE).select("key"), "key")
-        if many.isEmpty():
-            return None
-        later = F.filter(F.transform("keys", lambda k, i: F.struct(i.alias("band"), k.alias("k"))), lambda p: p["band"] > F.col("band"))
-        pieces = many.join(self.sets.select("lid", "keys"), "lid").select("key", "lid", F.explode(later).alias("p"))
-        return pieces.select(F.xxhash64("key", "p.k").alias("key"), F.col("p.band").alias("band"), "lid")
+        left = stage(members.select("lid").distinct(), "minhash-left")
+        if not left.isEmpty():
+            self.confirm(self.meet_by_prefix(left))
+
+    def meet_by_prefix(self, lids: DataFrame) -> DataFrame:
+        """Pairs (a, b) of different components among ``lids``, with all that are similar.
+
+        The place of a shingle in its set is by frequency among these sets, then by hash. Two sets of sizes n and m that
+        share s shingles are similar only if s >= (n + m) * PERCENT / (100 + PERCENT); at their first common shingle, s is at most
+        1 + what follows it in either. Shingles of one set only count as places, and need no rows.
+        """
+        full = self.full_sets(lids)
+        rows = full.select("lid", F.size("hashes").alias("n"), F.explode("hashes").alias("shingle"))
+        shared = stage(rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "minhash-frequencies")
+        inside = Window.partitionBy("lid")
+        placed = rows.join(shared, "shingle").withColumns({"after": F.count("*").over(inside) - F.row_number().over(inside.orderBy("df", "shingle"))})
+        # the last place at which a set of the least size that is similar can begin to agree
+        prefix = placed.where(F.col("after") + 1 >= F.ceil(F.col("n") * PERCENT / 100)).select("shingle", "lid", "n", "after")
+        prefix = stage(self.with_components(prefix), "minhash-prefixes")
+        sizes = prefix.groupBy("shingle", "component").agg(F.count("*").alias("m")).groupBy("shingle").agg(F.max_by("component", "m").alias("largest"), F.count("*").alias("held"))
+        several = stage(sizes.where("held > 1").select("shingle", "largest"), "minhash-prefix-keys")
+        known = stage(prefix.join(several, "shingle"), "minhash-prefix-rows")
+        sides = [known.select(F.col("shingle").alias(f"s_{c}"), F.col("lid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "after", "component", "largest")]) for c in "ab"]
+        left, right = sides[0].where("component_a <> largest_a"), sides[1]
+        most = F.least("after_a", "after_b") + 1
+        enough = (most * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT)
+        # pairs outside the largest component meet from both sides; one of them is enough
+        once = (F.col("component_b") == F.col("largest_b")) | (F.col("a") < F.col("b"))
+        return left.join(right, (F.col("s_a") == F.col("s_b")) & (F.col("component_a") != F.col("component_b")) & once & enough).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
