@@ -51,8 +51,9 @@ def per_text(
 
     ``make`` runs once per task and returns a function from a list of texts to lists of values, one
     per field of ``fields`` (a DDL string). Rows are mapped one to one; nothing is shuffled. Names that
-    begin with two underscores are the operators' own.
+    begin with two underscores are the operators' own. A kept column named as one of ``fields`` gives way to it.
     """
+    keep = [c for c in keep if c not in StructType.fromDDL(fields).fieldNames()]
     ship_code(df.sparkSession)
     value = F.col(f"`{text}`").cast("string")
     kept = df.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [value.alias("__text")]))

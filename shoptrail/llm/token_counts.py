@@ -80,7 +80,31 @@ def make_counter(path: str, pattern: str | None = None):
             import tiktoken
 
             encoding = tiktoken.Encoding("counter", pat_str=pattern, mergeable_ranks=plain[0], special_tokens=plain[1])
-            return lambda texts: [len(encoding.encode(t, allowed_special="all")) for t in texts]
+            whole = _library_counter(path)
+
+            def count(text: str) -> int:
+                try:
+                    return len(encoding.encode(text, allowed_special="all"))
+                except ValueError:  # a run that its splitting pattern cannot hold, such as a million spaces
+                    return whole()([text])[0]
+
+            return lambda texts: [count(t) for t in texts]
+    return _library_counter(path)()
+
+
+def _library_counter(path: str):
+    """A function that gives the counter by tokenizers, made when first asked for."""
+    made = []
+
+    def get():
+        if not made:
+            made.append(_load_library_counter(path))
+        return made[0]
+
+    return get
+
+
+def _load_library_counter(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -101,7 +125,8 @@ def read_cache(docs: DataFrame, cache: str, version: str) -> DataFrame:
 def count_tokens(docs: DataFrame, tokenizer: str, cache: str, keep: list[str], text: str = "text", pattern: str | None = None, limit: int = 512) -> DataFrame:
     """``keep``, n_bytes, n_tokens and over_limit (more than ``limit`` tokens) for each row of ``docs``.
 
-    Null and empty texts have no bytes and no tokens. Repeated rows keep their number. ``cache`` is a
+    Null and empty texts have no bytes and no tokens. Repeated rows keep their number. A kept column named as one of the
+    results gives way to it. ``cache`` is a
     folder of the shared store, made on first use; it only grows. The tokenizer's file must be at the
     same path on every machine, as installed packages are.
     """
@@ -109,7 +134,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, keep: list[str], t
     content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], content.alias("__text")).withColumn("__content", F.sha2("__text", 256))
 
-    texts = rows.select("__content", "__text").join(read_cache(docs, cache, version), F.col("content") == F.col("__content"), "left_anti")
+    cached = read_cache(docs, cache, version).select(F.col("content").alias("__known"), F.col("n_tokens").alias("__tokens"))
+    texts = rows.select("__content", "__text").join(cached, F.col("__known") == F.col("__content"), "left_anti")
     misses = texts.groupBy("__content").agg(F.first("__text").alias("text"))
 
     def make():
@@ -119,6 +145,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, keep: list[str], t
     counted = per_text(misses, ["__content"], "text", make, "n_tokens long")
     counted.select(F.col("__content").alias("content"), F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
 
-    sizes = rows.select(*keep, "__content", F.octet_length("__text").cast("long").alias("n_bytes"))
-    known = read_cache(docs, cache, version)
-    return sizes.join(known, sizes["__content"] == known["content"]).select(*keep, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    others = [c for c in keep if c not in ("n_bytes", "n_tokens", "over_limit")]
+    sizes = rows.select(*[F.col(f"`{c}`") for c in others], "__content", F.octet_length("__text").cast("long").alias("__bytes"))
+    known = read_cache(docs, cache, version).select(F.col("content").alias("__known"), F.col("n_tokens").alias("__tokens"))
+    held = sizes.join(known, F.col("__content") == F.col("__known"))
+    return held.select(*[F.col(f"`{c}`") for c in others], F.col("__bytes").alias("n_bytes"), F.col("__tokens").alias("n_tokens"), (F.col("__tokens") > limit).alias("over_limit"))
