@@ -182,9 +182,12 @@ class Scanner:
                 others.add(label)
         lower = raw.translate(_TO_LOWER).decode("latin-1")
         expressions, restriction = 0, None
-        for end, _ in self.tags.iter(lower):
-            stop = lower.find("\n", end + 1)
-            if (found := read_expression(lower[end + 1 : stop if stop >= 0 else len(lower)])) is not None:
+        tags = [(end + 1 - length, end + 1) for end, length in self.tags.iter(lower)]
+        for (_, begin), (following, _) in zip(tags, [*tags[1:], (len(lower), 0)], strict=False):
+            # an expression ends with its line, or where the next tag begins
+            following = max(begin, following)
+            stop = lower.find("\n", begin, following)
+            if (found := read_expression(lower[begin : stop if stop >= 0 else following])) is not None:
                 others |= found[0]
                 restriction = found[1] if restriction is None else max(restriction, found[1])
                 expressions += 1
