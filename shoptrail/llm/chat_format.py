@@ -3,8 +3,8 @@
 A visitor goes through the parts of a turn in order. Text parts are escaped, so that no control
 string can stand in them; image, audio and document parts become placeholders, and their references and the
 number of tokens each placeholder will be expanded to are recorded. Every turn gives one segment; a
-conversation's text is its segments in order of turns. Working on segments keeps any step but the
-last one, which needs a whole conversation, free of the conversation's size.
+conversation's text is its segments in order of turns. A conversation is read back from that text alone: it is cut at
+the control strings, and the learned text is what the spans cover.
 """
 
 from __future__ import annotations
@@ -41,8 +41,10 @@ def text_parts(text: Column) -> Column:
     return F.array(F.struct(F.lit("text").alias("kind"), text.alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("double").alias("units")))
 
 
-def _placeholder(part: Column) -> Column:
-    shown = F.when(part["kind"] == "text", escape(F.coalesce(part["text"], F.lit(""))))
+def _placeholder(part: Column, number: Column) -> Column:
+    text = escape(F.coalesce(part["text"], F.lit("")))
+    # with a part before it that ends in "<", a bar in front would make a control string
+    shown = F.when(part["kind"] == "text", F.when((number > 0) & text.startswith("|"), F.concat(F.lit("\\"), text)).otherwise(text))
     for kind, (placeholder, _) in KINDS.items():
         shown = shown.when(part["kind"] == kind, F.lit(placeholder))
     return shown.otherwise(F.lit(OTHER))
@@ -65,7 +67,7 @@ def format_turns(turns: DataFrame, keep: list[str], role: str = "role", parts: s
     """
     rows = turns.select(*keep, F.coalesce(role, F.lit("")).alias("__role"), F.coalesce(F.col(parts).cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>")).alias("__parts"))
     rows = rows.withColumn(
-        "__shown", F.transform("__parts", lambda p: F.struct(_placeholder(p).alias("shown"), F.coalesce(p["kind"] == "text", F.lit(False)).alias("is_text")))
+        "__shown", F.transform("__parts", lambda p, i: F.struct(_placeholder(p, i).alias("shown"), F.coalesce(p["kind"] == "text", F.lit(False)).alias("is_text")))
     ).withColumn("__head", F.concat(F.lit(START), escape_role(F.col("__role")), F.lit("\n")))
     none = F.array().cast("array<struct<start:int,length:int>>")
     walked = F.aggregate(
@@ -88,16 +90,6 @@ def format_turns(turns: DataFrame, keep: list[str], role: str = "role", parts: s
     ).withColumn("n_expanded", F.aggregate("attachments", F.lit(0).cast("long"), lambda a, x: a + x["n_tokens"]))
 
 
-def read_turns(segments: DataFrame) -> DataFrame:
-    """``segments`` with role, text and loss, read back from segment and spans of turns that hold text only."""
-    head = F.regexp_extract("segment", r"(?s)^<\|im_start\|>((?:[^\\\n]++|\\.)*+)\n", 1)
-    rows = segments.withColumn("__head", head)
-    begin = F.length(F.lit(START)) + F.length("__head") + 2
-    content = F.substring("segment", begin, F.length("segment") - begin - F.length(F.lit(END)) + 1)
-    loss = F.array_join(F.transform("spans", lambda s: unescape(F.substring(F.col("segment"), s["start"], s["length"]))), "")
-    return rows.withColumns({"role": unescape(F.col("__head")), "text": unescape(content), "loss": loss}).drop("__head")
-
-
 def format_conversations(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", parts: str = "parts", learned: str = "assistant") -> DataFrame:
     """One row per conversation: formatted, spans over the whole text, attachments with their turn.
 
@@ -121,20 +113,37 @@ def format_conversations(turns: DataFrame, conversation: str = "conv_id", turn:
     )
 
 
+def read_conversations(formatted: DataFrame, conversation: str = "conv_id") -> DataFrame:
+    """Rows (conversation, turns, loss, chars) read back from nothing but the formatted text and its spans.
+
+    The text is cut where a turn's control string stands; as it stands nowhere else, escaped texts and roles stay whole. turns are
+    (role, text), unescaped, loss is the text under the spans, unescaped, chars the length of the whole.
+    """
+    pieces = F.slice(F.split("formatted", F.lit(r"\Q" + START + r"\E")), 2, F.length("formatted"))
+    head = lambda p: F.regexp_extract(p, r"(?s)^((?:[^\\\n]++|\\.)*+)\n", 1)
+    end = F.lit(END)
+
+    def turn(piece: Column) -> Column:
+        role = head(piece)
+        closed = F.when(piece.endswith(END), F.substring(piece, F.lit(1), F.length(piece) - F.length(end))).otherwise(piece)
+        return F.struct(unescape(role).alias("role"), unescape(F.substring(closed, F.length(role) + 2, F.length(closed))).alias("text"))
+
+    loss = F.array_join(F.transform("spans", lambda s: unescape(F.substring(F.col("formatted"), s["start"], s["length"]))), "")
+    return formatted.select(conversation, F.transform(pieces, turn).alias("turns"), loss.alias("loss"), F.length("formatted").cast("long").alias("chars"))
+
+
 def digest_conversations(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """Counts and digests of each conversation, read back from the segments of rows (conversation, turn, role, text)."""
-    segments = format_turns(turns.withColumn("parts", text_parts(F.col("text"))), [conversation, turn])
-    back = read_turns(segments).select(conversation, F.struct(F.col(turn).alias("turn"), "role", "text", "loss", F.length("segment").alias("chars")).alias("t"))
-    held = back.groupBy(conversation).agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    said = F.array_join(F.transform("ts", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform("ts", lambda t: t["loss"]), "")
-    return held.select(
+    """Counts and digests of each conversation of rows (conversation, turn, role, text), read back from its formatted text."""
+    formatted = format_conversations(turns.withColumn("parts", text_parts(F.col("text"))), conversation, turn)
+    back = read_conversations(formatted, conversation)
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
         conversation,
-        F.size("ts").cast("long").alias("n_turns"),
+        F.size("turns").cast("long").alias("n_turns"),
         F.sha2(said, 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"),
-        F.aggregate("ts", F.lit(0).cast("long"), lambda a, t: a + t["chars"]).alias("formatted_chars"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.col("chars").alias("formatted_chars"),
     )
 
 
