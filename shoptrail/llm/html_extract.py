@@ -3,7 +3,9 @@
 Every node of the page's tree has its characters per tag, corrected for links: text spread over few
 tags with few links is dense. The sum of the children's densities is greatest at the node that
 holds the article's paragraphs. The least density on the way from there to the body is the threshold
-for what else belongs to the text.
+for what else belongs to the text: every block that reaches it stays, wherever it stands. Elements and class, id or
+role words that name menus, adverts and the like are evidence against a block; an article element is evidence for it, which
+only words for readers' comments outweigh.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ _BOILERPLATE = set(
     "header masthead footer sidebar aside complementary contentinfo cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe "
     "subscription signup login search share sharing social related recommended pagination pager toolbar widget comment comments disqus respond reply replies".split()
 )
+_READERS = set("comment comments disqus respond reply replies".split())
 _ATTRIBUTES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*)>""")
 _LOOSE_TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)([^>]*)>")
@@ -51,7 +54,9 @@ class Page:
 
     def __init__(self, html: str):
         self.tag, self.parent, self.out, self.in_link = ["#root"], [-1], [False], [False]
+        self.article = [False]
         self.chars = [0]
+        self.open: dict[str, int] = {}  # open elements of each tag
         self.parts: list[tuple[int, str | None]] = []  # (node, text), or (node, None) for the edge of a block
         self.body = 0
         self._read(html)
@@ -63,26 +68,20 @@ class Page:
             for name, value in _ATTRIBUTES.findall(attributes):
                 if name.lower() == "hidden" or name.lower() == "aria-hidden" and "true" in value:
                     marked = True
-                elif not _BOILERPLATE.isdisjoint(_NAMES.split(value.lower())):
+                elif not (_READERS if tag == "article" else _BOILERPLATE).isdisjoint(_NAMES.split(value.lower())):
                     marked = True
         elif tag == "header":
             marked = True
-        if marked and above and self._in_article(above) and (tag == "header" or "header" in _NAMES.split(attributes.lower())) and tag not in _NEVER:
+        if marked and self.article[above] and (tag == "header" or "header" in _NAMES.split(attributes.lower())) and tag not in _NEVER:
             marked = False  # the article's own head
         self.tag.append(tag)
         self.parent.append(above)
         self.out.append(self.out[above] or marked)
         self.in_link.append(self.in_link[above] or tag == "a")
+        self.article.append(self.article[above] or tag == "article")
         self.chars.append(0)
         return node
 
-    def _in_article(self, node: int) -> bool:
-        while node > 0:
-            if self.tag[node] == "article":
-                return True
-            node = self.parent[node]
-        return False
-
     def _text(self, node: int, raw: str) -> None:
         if raw and not self.out[node]:
             text = unescape(raw) if "&" in raw else raw
@@ -117,7 +116,7 @@ class Page:
                 self._close(tag, stack)
                 continue
             self._imply(tag, stack)
-            if tag in ("html", "body") and tag in (self.tag[n] for n in stack):
+            if tag in ("html", "body") and self.open.get(tag):
                 continue
             node = self._open(tag, found[2], stack[-1])
             if tag == "body":
@@ -139,6 +138,7 @@ class Page:
                 at = close + 1 if close >= 0 else len(html)
                 continue
             stack.append(node)
+            self.open[tag] = self.open.get(tag, 0) + 1
 
     def _imply(self, tag: str, stack: list[int]) -> None:
         """End what ``tag`` may not stand in."""
@@ -152,6 +152,8 @@ class Page:
             self._end({"head"}, set(), stack)
 
     def _end(self, ended: set[str], stop: set[str], stack: list[int]) -> None:
+        if not any(self.open.get(tag) for tag in ended):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if self.tag[stack[i]] in ended:
                 while len(stack) > i:
@@ -163,6 +165,8 @@ class Page:
     def _close(self, tag: str, stack: list[int]) -> None:
         if tag == "br":
             self._text(stack[-1], " ")
+        if not self.open.get(tag):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if self.tag[stack[i]] == tag:
                 while len(stack) > i:
@@ -173,6 +177,7 @@ class Page:
 
     def _pop(self, stack: list[int]) -> None:
         node = stack.pop()
+        self.open[self.tag[node]] -= 1
         if self.tag[node] in _BLOCKS:
             self.parts.append((node, None))
         elif self.tag[node] in ("td", "th"):
@@ -214,17 +219,7 @@ class Page:
         while path[-1] not in (self.body, 0):
             path.append(self.parent[path[-1]])
         threshold = min(density[i] for i in path)
-        # the article element around the best node or inside it; else all below the body that reaches the threshold, itself or by its children
-        root = next((i for i in path if self.tag[i] == "article"), None) or next((i for i in path if self.tag[i] == "main"), None)
-        if root is None or self.tag[root] == "main":
-            start = self.body if root is None else root
-            held = [i for i in range(start + 1, n) if inside[i] and not self.out[i] and self.tag[i] in ("article", "main")]
-            largest = max(held, key=lambda i: (chars[i], -i), default=None)
-            if largest is not None and 2 * chars[largest] >= chars[start]:
-                root = largest
-        joined_below = root is None and best != self.body
-        if root is None:
-            root = self.body
+        root, joined_below = self.body, best != self.body
         kept = [False] * n
         kept[root] = True
         if joined_below:  # loose text of the body, with the inline elements in it, unless most of it is links
