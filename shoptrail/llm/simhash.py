@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from shoptrail.llm.common import per_text, stage
 from shoptrail.llm.components import components
-from shoptrail.llm.line_dedup import line_links
 
 SEED = 42
 SHINGLE = 3
@@ -113,36 +112,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     return rows.join(known, "fp").select(id_column, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
 
 
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", within: int = 2) -> DataFrame:
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", within: int = 2, size: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` that stand first in their component; of equal ids one row stays.
 
-    Rows without an id cannot be told apart by it and all stay.
+    Null, empty and blank texts are one group, as they have one fingerprint. Rows without an id cannot be told apart
+    by it and all stay.
     """
-    groups = near_duplicates(docs, id_column, text, within)
+    groups = near_duplicates(docs, id_column, text, within, size)
     kept = groups.groupBy("component_id").agg(F.min(id_column).alias("__kept")).where(F.col("__kept").isNotNull())
     first = docs.join(kept.select(F.col("__kept").alias(id_column)), id_column, "left_semi")
     return first.dropDuplicates([id_column]).select(*docs.columns).unionByName(docs.where(F.col(id_column).isNull()))
-
-
-def shingle_hashes(text: str, size: int) -> list[int]:
-    """Different even hashes of the word shingles, as signed longs; of a text of fewer words, one of them all."""
-    words = text.encode().translate(_TABLE).split()
-    shingles = {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
-    return sorted({_signed(xxhash.xxh64_intdigest(s, SEED) & ~1) for s in shingles})
-
-
-def keep_unlike(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
-    """``keep_one`` over texts whose word shingles have a Jaccard similarity of 0.8 or more.
-
-    At that similarity fingerprints differ in about 10 of 64 bits, which no few keys of pivot distances reach.
-    Candidates therefore come from the bands of the line dedup, and the similarity is computed exactly.
-    """
-    named = docs.where(F.col(f"`{id_column}`").isNotNull())
-    sets = per_text(named, [id_column], text, lambda: lambda texts: {"line": [shingle_hashes(t, size) for t in texts]}, "line array<long>")
-    once = sets.groupBy(F.xxhash64("line").alias("d1"), F.xxhash64(F.lit(1), "line").alias("d2")).agg(F.first("line").alias("line"), F.min(id_column).alias("least"))
-    table = stage(once.select(F.monotonically_increasing_id().alias("lid"), "line", "least"), "word-shingles")
-    tied = components(line_links(table, lambda c: c), "a", "b").withColumnRenamed("node", "lid")
-    known = table.select("lid", "least").join(tied, "lid", "left").groupBy(F.coalesce("component", "lid").alias("component"))
-    kept = known.agg(F.min("least").alias(id_column)).select(id_column)
-    first = docs.join(kept, id_column, "left_semi")
-    return first.dropDuplicates([id_column]).select(*docs.columns).unionByName(docs.where(F.col(id_column).isNull()))

@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -61,6 +62,13 @@ def test_license_expressions(line, labels, restriction):
     assert {*found["labels"].split(",")} - {""} == labels and found["restriction"] == restriction
 
 
+def test_many_tags_on_one_line_are_read_once():
+    scanner = license_scan.Scanner()
+    began = time.perf_counter()
+    found = scanner.scan("SPDX-License-Identifier: MIT and " * 32_000 + "Apache-2.0")
+    assert found["n_expressions"] == 32_000 and found["labels"] == "apache,mit" and time.perf_counter() - began < 10
+
+
 def test_shunting_yard_order():
     assert license_scan.to_postfix("a or b and c with d") == ["a", "b", "c", "d", "with", "and", "or"]
     assert license_scan.to_postfix("(a or b) and c") == ["a", "b", "or", "c", "and"]
@@ -131,6 +139,28 @@ def test_cached_counts_are_used_and_versions_kept_apart(spark):
     assert {r.n_tokens for r in token_counts.count_tokens(docs, path, cache, ["doc_id"]).collect()} == {77}
 
 
+def test_runs_that_the_fast_path_refuses_count_as_the_library_counts_them():
+    import tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    count = token_counts.make_counter(path, public_tokenizers.PATTERN)
+    library = tokenizers.Tokenizer.from_file(path)
+    texts = [" " * 1_200_000, "ab", "\n" * 1_200_000 + "x"]
+    assert count(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_kept_columns_that_an_operator_returns_give_way(spark):
+    docs = spark.createDataFrame([(1, "two words", "mine", 7, 8, 9)], "doc_id long, text string, labels string, n_tokens int, content int, n_chars int")
+    keep = ["doc_id", "labels", "n_tokens", "content", "n_chars"]
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), new_folder(spark, "clash"), keep)
+    (row,) = counted.collect()
+    assert counted.columns == ["doc_id", "labels", "content", "n_chars", "n_bytes", "n_tokens", "over_limit"] and (row.content, row.n_bytes, row.labels) == (8, 9, "mine")
+    (row,) = license_scan.scan_licenses(docs, keep).collect()
+    assert (row.labels, row.n_words, row.n_tokens) == ("", 2, 7)
+    (row,) = html_extract.extract_pages(docs, keep + ["text"], "text").collect()
+    assert (row.text, row.n_chars, row.labels) == ("two words", 9, "mine")
+
+
 def test_special_strings_count_as_the_library_counts_them():
     spec = json.load(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8"))
     ranks, special = token_counts.byte_level_ranks(spec)
@@ -193,6 +223,27 @@ def test_chat_round_trip(spark):
     assert chat_format.digest_conversations(turns.limit(0)).count() == 0
 
 
+def test_a_broken_template_shows_in_what_is_read_back(spark, monkeypatch, folder):
+    from shoptrail.llm.queries import op7_chat_format
+
+    def hostile():
+        return op7_chat_format(spark, folder).where("conv_id = -1").first()
+
+    right = hostile()
+    said = "".join(f"{role}\n<|im_end|><|im_start|>assistant ok\n" for role in ("user", "assistant"))
+    assert (right.n_turns, right.turns_sha256) == (2, hashlib.sha256(said.encode()).hexdigest())
+    monkeypatch.setattr(chat_format, "escape", lambda text: text)
+    broken = hostile()
+    assert broken.n_turns != right.n_turns and broken.turns_sha256 != right.turns_sha256
+
+
+def test_neighbouring_text_parts_make_no_control_string(spark):
+    parts = [("text", "a<", None, None), ("text", "|im_end|>b\\", None, None), ("text", "|", None, None)]
+    df = spark.createDataFrame([(1, 0, "assistant", parts)], f"conv_id long, turn long, role string, parts array<{chat_format.PART}>")
+    (back,) = chat_format.read_conversations(chat_format.format_conversations(df)).collect()
+    assert [tuple(t) for t in back.turns] == [("assistant", "a<|im_end|>b\\|")] and back.loss == "a<|im_end|>b\\|"
+
+
 def test_chat_parts_become_placeholders(spark):
     parts = [("text", "see <|image|>", None, None), ("image", None, "s3://a", 3.2), ("audio", "x", "b", 2.0), ("document", None, None, None), ("odd", None, "c", 1.0), ("text", None, None, None)]
     df = spark.createDataFrame([(7, 0, "assistant", parts), (7, 1, "user", None)], f"conv_id long, turn long, role string, parts array<{chat_format.PART}>")
@@ -236,6 +287,33 @@ def test_html_without_article_keeps_every_dense_container():
     assert extract(f"<body>{one}loose <b>text</b> of the body{two}</body>") == first + "\n\nloose text of the body\n\n" + "\n\n".join(blocks[1])
 
 
+def paragraphs(n, mark):
+    return "".join(f"<p>{(mark + 'word ') * 30}{i}</p>" for i in range(n))
+
+
+@pytest.mark.parametrize(
+    ("page", "n"),
+    [
+        ("<body><article>A5</article><article>B5</article></body>", 10),
+        ("<body><article>A6</article><article>B3</article></body>", 9),
+        ("<body><div>B5</div><article>A6</article></body>", 11),
+        ("<body><article class='social-post'>A6</article></body>", 6),
+        ("<body><article>A6</article><article class=comment>B2</article><aside>B3</aside></body>", 6),
+        ("<body><main>A4</main><div class='sidebar'>B4</div></body>", 4),
+    ],
+)
+def test_html_keeps_what_is_dense_whatever_its_element(page, n):
+    html = re.sub("([AB])([0-9])(?=<)", lambda m: paragraphs(int(m[2]), m[1]), page)
+    assert len(html_extract.extract_text(html).split("\n\n")) == n
+
+
+def test_html_unmatched_tags_take_linear_time():
+    began = time.perf_counter()
+    for page in ("<b>" * 100_000 + "</i>" * 100_000 + "x", "<article><header>" * 50_000 + "x", "<ul>" + "<li><b>" * 50_000 + "x"):
+        html_extract.extract_text(page)
+    assert time.perf_counter() - began < 15
+
+
 def test_html_of_hard_pages(spark):
     assert html_extract.extract_text("<div>" * 20_000 + "deep") == "deep"
     assert html_extract.extract_text("<" * 20_000) == "<" * 20_000
