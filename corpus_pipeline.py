@@ -23,8 +23,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates, by five-word shingles of similarity 0.8 or more."""
-    return simhash.keep_unlike(docs)
+    """The first document of each group whose fingerprints of three-word shingles are tied by two differing bits or fewer.
+
+    Texts without words have one fingerprint, so one of them stays.
+    """
+    return simhash.keep_one(docs, within=2, size=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
