@@ -38,6 +38,8 @@ SHARD_BYTES = 16 << 20
 #: Queries searched for in one pass over the index; more are taken in as many passes as they need.
 QUERIES_AT_ONCE = 20_000
 BEST = 10
+#: Rows of a shard that are handed on together.
+ROWS_AT_ONCE = 50_000
 #: Stands for a missing id inside the index; comes last among ties.
 NO_ID = (1 << 63) - 1
 _KEPT = frozenset(b"0123456789abcdefghijklmnopqrstuvwxyz") | frozenset(range(0x80, 0x100))
@@ -64,10 +66,35 @@ def impacts(tf: np.ndarray, length: np.ndarray, n: int, total: int) -> np.ndarra
     return (1_000_000_000 * tf) // (1000 * tf + 8 * m)
 
 
-def _narrow(values: np.ndarray) -> bytes:
-    """A byte for the width, and the values in that width."""
-    width = 1 if (most := int(values.max())) < 1 << 8 else 2 if most < 1 << 16 else 4
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+def _widths(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """For each run of values, the fewest bytes of 1, 2 and 4 that hold them all."""
+    most = np.maximum.reduceat(values, begins)
+    return np.where(most < 1 << 8, 1, np.where(most < 1 << 16, 2, 4))
+
+
+def _packed(columns: list[np.ndarray], begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All blocks as bytes, and where each ends: for each column a byte for the width, and the block's values in that width."""
+    counts = np.diff(begins, append=len(columns[0]))
+    widths = [_widths(c, begins) for c in columns]
+    ends = np.cumsum(sum(1 + w * counts for w in widths))
+    data = np.zeros(int(ends[-1]), np.uint8)
+    at = np.concatenate([[0], ends[:-1]])
+    place = np.arange(len(columns[0])) - np.repeat(begins, counts)
+    for values, width in zip(columns, widths, strict=True):
+        data[at] = width
+        each = np.repeat(width, counts)
+        first = np.repeat(at + 1, counts) + place * each
+        for byte in range(int(width.max())):
+            held = each > byte
+            data[first[held] + byte] = (values[held] >> 8 * byte) & 255
+        at = at + 1 + width * counts
+    return data, ends
+
+
+def _binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Bytes cut at ``ends``, as a column."""
+    cuts = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 def _widened(data: bytes, at: int, count: int) -> tuple[np.ndarray, int]:
@@ -75,6 +102,14 @@ def _widened(data: bytes, at: int, count: int) -> tuple[np.ndarray, int]:
     return np.frombuffer(data, f"<u{width}", count, at + 1).astype(np.int64), at + 1 + width * count
 
 
+class _Numbers(dict):
+    """A number for each term, in order of first use."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = number = len(self)
+        return number
+
+
 class _Shard:
     """Texts gathered until there are enough for a shard."""
 
@@ -83,7 +118,7 @@ class _Shard:
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.numbers = _Numbers()
         self.occurrences: list[np.ndarray] = []
         self.ids: list[int] = []
         self.lengths: list[int] = []
@@ -93,44 +128,49 @@ class _Shard:
         terms = terms_of(text or "")
         if not terms:
             return
-        numbers = self.numbers
-        self.occurrences.append(np.fromiter((numbers.setdefault(t, len(numbers)) for t in terms), np.int64, len(terms)))
+        self.occurrences.append(np.fromiter(map(self.numbers.__getitem__, terms), np.int64, len(terms)))
         self.ids.append(NO_ID if doc_id is None else doc_id)
         self.lengths.append(len(terms))
         self.held += len(text) + 64
 
     def rows(self, shard: int) -> Iterator[pa.RecordBatch]:
-        """The shard's rows, in order of their terms."""
+        """The shard's rows: its documents, then its terms. Everything is done for all terms at once."""
         if not self.ids:
             return
         lengths, size = np.array(self.lengths, np.int64), len(self.ids)
+        documents = np.array(self.ids, "<i8").tobytes() + lengths.astype("<i8").tobytes()
+        yield pa.RecordBatch.from_pylist([{"shard": shard, "term": _DOCUMENTS, "n_docs": size, "postings": documents}], schema=_ARROW)
         docs = np.repeat(np.arange(size), lengths)
         pairs, tf = np.unique(np.concatenate(self.occurrences) * size + docs, return_counts=True)
         term, doc = pairs // size, pairs % size
         impact = impacts(tf, lengths[doc], self.n, self.total)
-        begins = np.flatnonzero(np.diff(term, prepend=-1))
-        names = list(self.numbers)
-        made: dict[str, list] = {f: [] for f in ("shard", "term", "n_docs", "top", "lasts", "tops", "ends", "postings")}
-
-        def put(*row) -> None:
-            for column, value in zip(made.values(), row, strict=True):
-                column.append(value)
-
-        put(shard, _DOCUMENTS, size, None, None, None, None, np.array(self.ids, "<i8").tobytes() + lengths.astype("<i8").tobytes())
-        for low, high in zip(begins.tolist(), [*begins[1:].tolist(), len(term)], strict=True):
-            inside = np.arange(low, high, BLOCK)
-            tops = np.maximum.reduceat(impact[:high], inside)
-            lasts = doc[np.minimum(inside + BLOCK, high) - 1]
-            blocks = []
-            for at in inside.tolist():
-                end = min(at + BLOCK, high)
-                blocks.append(_narrow(np.diff(doc[at:end], prepend=doc[at - 1] if at > low else -1)) + _narrow(tf[at:end]))
-            ends = np.cumsum([len(b) for b in blocks])
-            put(shard, names[term[low]].decode(), high - low, int(tops.max()), lasts.astype("<u4").tobytes(), tops.astype("<u4").tobytes(), ends.astype("<u4").tobytes(), b"".join(blocks))
-            if len(made["shard"]) >= 50_000:
-                yield pa.RecordBatch.from_pydict(made, schema=_ARROW)
-                made.update((f, []) for f in made)
-        yield pa.RecordBatch.from_pydict(made, schema=_ARROW)
+        lists = np.flatnonzero(np.diff(term, prepend=-1))
+        counts = np.diff(lists, append=len(term))
+        # a block begins with its list and at every BLOCK-th place in it
+        blocks = np.flatnonzero((np.arange(len(term)) - np.repeat(lists, counts)) % BLOCK == 0)
+        gaps = np.diff(doc, prepend=0)
+        gaps[lists] = doc[lists] + 1
+        data, ends = _packed([gaps, tf], blocks)
+        last_block = np.searchsorted(blocks, lists + counts) - 1
+        list_ends = ends[last_block]
+        inside = ends - np.repeat(np.concatenate([[0], list_ends[:-1]]), np.diff(last_block, prepend=-1))
+        lasts = doc[np.append(blocks[1:], len(term)) - 1]
+        per_block = lambda values: _binaries(values.astype("<u4").view(np.uint8), 4 * (last_block + 1))
+        batch = pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(lists), shard)),
+                pa.array(list(self.numbers), pa.binary()).cast(pa.string()),
+                pa.array(counts),
+                pa.array(np.maximum.reduceat(impact, lists)),
+                per_block(lasts),
+                per_block(np.maximum.reduceat(impact, blocks)),
+                per_block(inside),
+                _binaries(data, list_ends),
+            ],
+            schema=_ARROW,
+        )
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
 
 
 _ARROW = pa.schema(

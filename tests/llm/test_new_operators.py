@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_corpus_operators import groups_of
@@ -181,7 +182,7 @@ def test_block_maxima_keep_blocks_packed():
     rng = random.Random(1)
     for i in range(4000):
         shard.add(i, " ".join(["often"] * (9 if i == 3900 else 1) + ["rare"] * (i == 3900) + [f"w{rng.randrange(3000)}" for _ in range(10)]))
-    (batch,) = shard.rows(0)
+    batch = pa.Table.from_batches(shard.rows(0))
     rows = {r["term"]: tuple(r[c] for c in ("top", "lasts", "tops", "ends", "postings", "n_docs")) for r in batch.to_pylist()}
     m = np.full(4000, 100)
     often, rare = ranked_search._List(rows["often"], m), ranked_search._List(rows["rare"], m)
