@@ -1,9 +1,13 @@
 """The command line, on Parquet folders."""
 
 import json
+import os
+import signal
+import threading
+from datetime import timedelta
 
 import pytest
-from builders import action, action_table, ad_line, user, user_table
+from builders import NOON, action, action_table, ad_line, user, user_table
 from conftest import rows
 from shoptrail import schemas
 from shoptrail.jobs import main
@@ -59,6 +63,36 @@ def test_ads_job(spark, tmp_path):
     assert rows(AdTables.below(spark, f"{tmp_path}/t").blacklist.current()) == [(1,)]
 
 
+def test_ads_state_job(spark, tmp_path):
+    """Each statistic in a query of its own; started again with new lines, it goes on."""
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    for n, piece in enumerate(([ad_line()] * 3, [ad_line(at=NOON + timedelta(hours=3))])):
+        (lines / f"{n}.txt").write_text("\n".join(piece) + "\n")
+        for what in ("totals", "minutes", "hours", "bans"):
+            main(
+                ["ads-state", "--what", what, "--lines", str(lines), "--tables", f"{tmp_path}/t", "--checkpoint", f"{tmp_path}/{what}", "--once"]
+                + ["--ban-above", "2", "--delay", "30 minutes"]
+            )
+    read = lambda what: spark.read.parquet(f"{tmp_path}/t/ad_{what}").drop("batch")
+    table = AdTables.below(spark, f"{tmp_path}/t").city_totals
+    assert rows(table.current()) == [("20240301", "North", "Oslo", 1, 4)]
+    assert rows(read("minutes")) == [("20240301", "12", "00", 1, 3)]
+    assert read("hours").count() == 60 and {r.clickCount for r in read("hours").collect()} == {3}
+    assert rows(read("bans")) == [(1, 1, 3)]
+
+
+def test_a_stream_ends_after_its_batch_on_sigterm(spark, tmp_path):
+    from shoptrail import jobs
+
+    query = spark.readStream.format("rate").load().writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/c").trigger(processingTime="1 second").start()
+    before = signal.getsignal(signal.SIGTERM)
+    timer = threading.Timer(3, os.kill, (os.getpid(), signal.SIGTERM))
+    timer.start()
+    jobs._until_stopped(query)
+    assert not query.isActive and query.exception() is None and signal.getsignal(signal.SIGTERM) is before
+
+
 def test_a_target_is_needed(inputs):
     with pytest.raises(SystemExit, match="--output"):
         main(["page", "--params", '{"startDate": "a", "endDate": "b"}', "--actions", f"{inputs}/actions"])
