@@ -57,7 +57,7 @@ def test_categories_are_counted_before_the_join(spark, folder):
     assert any(re.search(r"HashAggregate\(keys=\[session_id.*categoryid", line) for line in lines[join:])
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if "stream" not in n and not n.startswith("sink")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("ad_stream", "ad_state", "sink"))))
 def test_no_python_and_no_cross_join(spark, folder, name):
     if name == "session_job":
         pytest.skip("runs its parts, which are checked on their own")
