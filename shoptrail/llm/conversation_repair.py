@@ -239,3 +239,59 @@ def repair_damaged(turns: DataFrame, conversation: str = "conv_id", turn: str =
     """``repair_conversations`` of ``turns`` after damage."""
     columns = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
     return repair_conversations(damaged(turns, conversation, turn, role, text)).select(F.col("conv").alias(conversation), *columns)
+
+
+SQL = r"""
+WITH RECURSIVE table_of AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+    FROM conversations
+), drawn AS (
+    SELECT named.*, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(key, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS a
+    FROM named, table_of
+), damaged AS (
+    SELECT conv_id, turn, copy, CASE WHEN a = 4 THEN 'user' ELSE role END AS role,
+        CASE a WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM drawn, range(2) x(copy) WHERE a <> 0 AND (copy = 0 OR a = 3)
+), placed AS (
+    SELECT *, row_number() OVER whole AS place, left(role, 1) AS i, lag(left(role, 1)) OVER whole AS before,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+        regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+    FROM damaged WINDOW whole AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+), faults AS (
+    SELECT *, CASE WHEN last = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed
+), facts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+        count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (before || i NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY conv_id
+), ways(conv_id, place, go) AS (
+    SELECT conv_id, n + 1, [{'c': 0, 'a': ''}, {'c': 4, 'a': 'II'}, {'c': 2, 'a': 'I'}, {'c': 0, 'a': ''}] FROM facts
+    UNION ALL
+    SELECT conv_id, place, [list_min([o[1], {'c': u.c + 2, 'a': 'I' || u.a}]), list_min([o[2], {'c': u.c + 2, 'a': 'I' || u.a}]), u, list_min([o[4], {'c': o[3].c + 2, 'a': 'I' || o[3].a}])]
+    FROM (SELECT *, list_min([o[3], {'c': o[4].c + 2, 'a': 'I' || o[4].a}]) AS u FROM (
+        SELECT f.conv_id, f.place, list_transform([1, 2, 3, 4], lambda s: list_min(list_filter([
+            {'c': go[s].c + 3, 'a': 'D' || go[s].a},
+            {'c': CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 ELSE go[CASE WHEN s = 3 THEN 4 ELSE 3 END].c + 2 + CAST(fault = 'truncated' AS INT) END, 'a': 'R' || go[CASE WHEN s = 3 THEN 4 ELSE 3 END].a},
+            {'c': CASE WHEN fault IN ('blank', 'duplicate') OR NOT coalesce((i = 's' AND s = 1) OR (i = 'u' AND s <> 3) OR (i = 'a' AND s = 3), false) THEN 1000000000
+                ELSE go[CASE i WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END].c + CAST(fault = 'truncated' AS INT) END, 'a': 'K' || go[CASE i WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END].a}
+        ], lambda x: x.c < 1000000000))) AS o
+        FROM ways JOIN faults f ON f.conv_id IS NOT DISTINCT FROM ways.conv_id AND f.place = ways.place - 1))
+), best AS (SELECT conv_id, go[1].c AS cost, go[1].a AS audit FROM ways WHERE place = 1
+), written(conv_id, pos, place, state, out) AS (
+    SELECT conv_id, 0, 0, 0, CAST([] AS VARCHAR[]) FROM best
+    UNION ALL
+    SELECT conv_id, pos + 1, place + CAST(letter <> 'I' AS INT),
+        CASE letter WHEN 'D' THEN state WHEN 'K' THEN CASE i WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END ELSE CASE state WHEN 2 THEN 3 ELSE 2 END END,
+        CASE letter WHEN 'D' THEN out WHEN 'K' THEN list_append(out, role || ':' || text)
+            ELSE list_append(out, CASE state WHEN 2 THEN 'assistant:' ELSE 'user:' END || CASE letter WHEN 'R' THEN text ELSE '' END) END
+    FROM (SELECT w.*, b.audit[w.pos + 1] AS letter, f.i, f.role, f.text FROM written w JOIN best b ON b.conv_id IS NOT DISTINCT FROM w.conv_id
+        LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.place = w.place + 1 WHERE w.pos < length(b.audit))
+), done AS (SELECT w.conv_id, array_to_string(out, chr(10)) AS repaired FROM written w JOIN best b ON b.conv_id IS NOT DISTINCT FROM w.conv_id WHERE pos = length(audit))
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

@@ -19,11 +19,12 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.llm.common import per_text, stage
 from shoptrail.llm.components import components
+from shoptrail.llm.prefix_filter import prefix_pairs
 
 SHINGLE = 4
 #: Similar: 100 * intersection >= PERCENT * union.
@@ -192,30 +193,9 @@ class _Search:
             self.confirm(self.meet_by_prefix(left))
 
     def meet_by_prefix(self, lids: DataFrame) -> DataFrame:
-        """Pairs (a, b) of different components among ``lids``, with all that are similar.
-
-        The place of a shingle in its set is by frequency among these sets, then by hash. Two sets of sizes n and m that
-        share s shingles are similar only if s >= (n + m) * PERCENT / (100 + PERCENT); at their first common shingle, s is at most
-        1 + what follows it in either. Shingles of one set only count as places, and need no rows.
-        """
+        """Pairs (a, b) of different components among ``lids``, with all that are similar."""
         full = self.full_sets(lids)
-        rows = full.select("lid", F.size("hashes").alias("n"), F.explode("hashes").alias("shingle"))
-        shared = stage(rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "minhash-frequencies")
-        inside = Window.partitionBy("lid")
-        placed = rows.join(shared, "shingle").withColumns({"after": F.count("*").over(inside) - F.row_number().over(inside.orderBy("df", "shingle"))})
-        # the last place at which a set of the least size that is similar can begin to agree
-        prefix = placed.where(F.col("after") + 1 >= F.ceil(F.col("n") * PERCENT / 100)).select("shingle", "lid", "n", "after")
-        prefix = stage(self.with_components(prefix), "minhash-prefixes")
-        sizes = prefix.groupBy("shingle", "component").agg(F.count("*").alias("m")).groupBy("shingle").agg(F.max_by("component", "m").alias("largest"), F.count("*").alias("held"))
-        several = stage(sizes.where("held > 1").select("shingle", "largest"), "minhash-prefix-keys")
-        known = stage(prefix.join(several, "shingle"), "minhash-prefix-rows")
-        sides = [known.select(F.col("shingle").alias(f"s_{c}"), F.col("lid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "after", "component", "largest")]) for c in "ab"]
-        left, right = sides[0].where("component_a <> largest_a"), sides[1]
-        most = F.least("after_a", "after_b") + 1
-        enough = (most * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT)
-        # pairs outside the largest component meet from both sides; one of them is enough
-        once = (F.col("component_b") == F.col("largest_b")) | (F.col("a") < F.col("b"))
-        return left.join(right, (F.col("s_a") == F.col("s_b")) & (F.col("component_a") != F.col("component_b")) & once & enough).select("a", "b")
+        return prefix_pairs(full.select("lid", F.size("hashes").alias("n"), F.explode("hashes").alias("element")), self.with_components, PERCENT)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
@@ -239,3 +219,27 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     return joined.select(
         F.col("__id").alias(id_column), "n_shingles", tied.alias("component_id"), F.coalesce(tied == F.col("__id"), F.lit(True)).alias("kept")
     )
+
+
+SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT row_number() OVER () AS d, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT d, unnest(CASE WHEN len(w) < 4 THEN [w] ELSE list_transform(range(1, len(w) - 2), lambda i: w[i : i + 3]) END) AS s
+    FROM words WHERE len(w) > 0
+), sizes AS (SELECT d, count(*) AS n FROM shingles GROUP BY d
+), common AS (
+    SELECT a.d AS x, b.d AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.d < b.d GROUP BY ALL
+), links AS (
+    SELECT x, y FROM common JOIN sizes p ON p.d = x JOIN sizes q ON q.d = y WHERE 100 * c >= 80 * (p.n + q.n - c)
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached(d, other) AS (
+    SELECT d, d FROM words
+    UNION SELECT reached.d, both_ways.y FROM reached JOIN both_ways ON both_ways.x = reached.other
+), smallest AS (
+    SELECT reached.d, min(o.doc_id) AS component_id FROM reached JOIN words o ON o.d = reached.other GROUP BY reached.d
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM words JOIN smallest USING (d) LEFT JOIN sizes USING (d)
+"""

@@ -119,4 +119,4 @@ QUERIES: dict[str, Query] = {
         op13_conversation_repair,
     )
 }
-ORACLES: dict[str, str] = {"op7_chat_format": chat_format.SQL, "op12_ranked_search": ranked_search.SQL}
+ORACLES: dict[str, str] = {"op7_chat_format": chat_format.SQL, "op11_minhash": minhash_dedup.SQL, "op12_ranked_search": ranked_search.SQL, "op13_conversation_repair": conversation_repair.SQL}
