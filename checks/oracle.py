@@ -324,6 +324,8 @@ FROM ids WHERE session_id IN (SELECT session_id FROM kept) GROUP BY session_id,
         "category_top10_sessions": f"""{_categories(_TOP_SESSIONS)}
 SELECT '{TASK}' AS taskid, categoryid, sessionid, "clickCount" FROM ranked WHERE n <= 10""",
         "session_job": _session_job(),
+        "session_job_random_task": f"""SELECT result_table, true AS one_uuid, count(*) AS result_rows
+FROM ({_session_job()}) WHERE result_table <> '{fixed.RESULT_TABLES["session_sample"]}' GROUP BY 1""",
         "page_pairs": _PAIR_COUNTS,
         "page_pairs_cut_sessions": _PAIR_COUNTS,
         "page_flow_rates": f"{_FLOW} SELECT * FROM rates",

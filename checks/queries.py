@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail import schemas
+from shoptrail.fixed_values import RESULT_TABLES
 from shoptrail.functions.text import trim_commas
 from shoptrail.operators import ads, area, buckets, categories, funnel, gaps, sampling, sessions
 from shoptrail.params import TaskParams
@@ -330,8 +331,8 @@ def _(spark, folder):
     return categories.top_category_sessions(per_session, top, TASK)
 
 
-def _session_job(spark, folder) -> dict[str, DataFrame]:
-    """The whole session job with filters: the tables it wrote."""
+def _session_job(spark, folder, task_id: str | None = TASK) -> dict[str, DataFrame]:
+    """The whole session job with filters: the tables it wrote. Without an id the task draws one."""
     task = ALL_DAYS | FILTERS["age"] | FILTERS["sex"]
     written: dict[str, DataFrame] = {}
 
@@ -342,7 +343,7 @@ def _session_job(spark, folder) -> dict[str, DataFrame]:
 
     params = _params(task)
     run_session_job(
-        _action_table(spark, folder, params), _users(spark, folder), params, write, TASK, BIG_ALLOWANCE
+        _action_table(spark, folder, params), _users(spark, folder), params, write, task_id, BIG_ALLOWANCE
     )
     return written
 
@@ -358,6 +359,20 @@ def _(spark, folder):
     return shown
 
 
+@query("session_job_random_task")
+def _(spark, folder):
+    """Rows of the tables of a task that drew its id, with whether the ids are one and look like one."""
+    written = _session_job(spark, folder, None)
+    drawn = written[RESULT_TABLES["session_ratio"]].first()["taskid"]
+    fixed = (F.col("taskid") == drawn) & F.lit(drawn).rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    shown = None
+    for table, df in written.items():
+        if table != RESULT_TABLES["session_sample"]:  # the sample is drawn by the task's id
+            rows = df.groupBy(F.lit(table).alias("result_table"), fixed.alias("one_uuid")).agg(F.count("*").alias("result_rows"))
+            shown = rows if shown is None else shown.unionByName(rows)
+    return shown
+
+
 # --- page flow ------------------------------------------------------------------------------
 
 
