@@ -4,10 +4,11 @@ r"""Line dedup: fuzzy equal lines are found over all texts, and one line of each
 2. All of a line's character shingles are hashed and sorted. A signature holds minima: for each of seven fixed
    points, the least three hashes from there on (after the last comes the first); for lines of few shingles the least two.
 3. A band is the hashes of a point. Lines that agree in one of seven bands are candidates. In each band's group the
-   first line meets all others. Where that leaves a group in several components, lines of different components meet.
-4. Pairs go unless the numbers of shingles, and parity sketches of them, rule the similarity out; both are bounds,
-   so no pair of the similarity is lost. The Jaccard similarity of the full shingle sets is then computed
-   exactly; pairs of 0.8 or more are links.
+   first line meets all others.
+4. In groups that this leaves in several components, lines of different components meet, if the group is small and bounds of
+   size and parity sketch allow the similarity. Lines of larger groups meet by the prefix filter: pairs that no common rare shingle
+   joins are too far apart, so a crowded band is never compared with itself.
+   The Jaccard similarity of the full shingle sets of candidates is computed exactly; pairs of 0.8 or more are links.
 5. Union-find gives the components. The first line in order of document and place stays.
 
 Two sets of similarity J have the same minimum with chance J, and agree in a band of three with
@@ -16,13 +17,12 @@ about J ** 3: of pairs with J = 0.8 seven bands find 99 %, of more similar ones
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.llm.common import stage
 from shoptrail.llm.components import components
+from shoptrail.llm.prefix_filter import prefix_pairs
 
 SHINGLE = 8
 BANDS, ROWS = 7, 3
@@ -31,6 +31,8 @@ LEAST = 0.8
 FEW = 32
 #: Longs of a parity sketch.
 SKETCH = 4
+#: Lines of a band up to which its components meet directly; of a larger one, by the prefix filter.
+DIRECT = 32
 _POINTS = [((2 * i + 1 - BANDS) * (2**63 // BANDS)) | 1 for i in range(BANDS)]
 
 
@@ -76,11 +78,11 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
     return stage(once.select("d1", "d2", F.monotonically_increasing_id().alias("lid"), "line", "o.doc", "o.at", "times"), "lines")
 
 
-def band_members(table: DataFrame, sets: Callable[[Column], Column] = shingle_set) -> DataFrame:
-    """Rows (key, rep, lid) of the lines in bands of two lines or more; rep is a band's least lid."""
+def band_members(table: DataFrame) -> DataFrame:
+    """Staged rows (key, rep, lid) of the lines in bands of two lines or more; rep is a band's least lid."""
     # hashes are even and points odd, so that a point's place among both tells how many hashes come before
-    hashed = table.select("lid", sets(F.col("line")).alias("hashes"))
     points = F.array(*[F.lit(p).cast("long") for p in _POINTS])
+    hashed = table.select("lid", shingle_set(F.col("line")).alias("hashes"))
     placed = hashed.select("lid", F.sort_array("hashes").alias("hashes"), F.sort_array(F.concat("hashes", points)).alias("mixed"))
     placed = placed.select("lid", "hashes", F.size("hashes").alias("n"), F.array(*[F.array_position("mixed", F.lit(p).cast("long")) - 1 - b for b, p in enumerate(_POINTS)]).alias("from"))
 
@@ -91,55 +93,58 @@ def band_members(table: DataFrame, sets: Callable[[Column], Column] = shingle_se
     many = F.array(*[F.xxhash64(F.lit(b), *[nth(b, r) for r in range(ROWS)]) for b in range(BANDS)])
     # lines within LEAST of each other have one kind of bands in common
     kinds = F.when(F.col("n") < FEW, few).when(F.col("n") * LEAST >= FEW, many).otherwise(F.concat(few, many))
-    rows = placed.select("lid", F.explode(F.array_distinct(kinds)).alias("key"))
-    # rows of two numbers; a band of any size streams through its window
-    band = Window.partitionBy("key")
-    return rows.withColumns({"rep": F.min("lid").over(band), "last": F.max("lid").over(band)}).where("rep < last").drop("last")
-
-
-def sketched(table: DataFrame, members: DataFrame, sets: Callable[[Column], Column] = shingle_set) -> DataFrame:
-    """Staged rows (lid, line, n, p) of the lines that are members of a band; n: number of shingles, p: parities."""
-    held = table.join(members.select("lid").distinct(), "lid", "left_semi").select("lid", "line", sets(F.col("line")).alias("hashes"))
-    return stage(held.select("lid", "line", F.size("hashes").alias("n"), parities(F.col("hashes")).alias("p")), "candidate-lines")
-
-
-def similar(pairs: DataFrame, texts: DataFrame, sets: Callable[[Column], Column] = shingle_set) -> DataFrame:
-    """Those of the pairs (a, b) of lids whose lines have a Jaccard similarity of ``LEAST`` or more."""
-    left, right = (texts.select(F.col("lid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("line", "n", "p")]) for c in ("a", "b"))
-    both = pairs.join(left, "a").join(right, "b").where(may_be_similar())
-    full = both.select("a", "b", sets(F.col("line_a")).alias("x"), sets(F.col("line_b")).alias("y"))
-    shared = full.select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("sizes"))
-    return shared.where(F.col("common") >= LEAST * (F.col("sizes") - F.col("common"))).select("a", "b")
-
-
-def line_links(table: DataFrame, sets: Callable[[Column], Column] = shingle_set) -> DataFrame:
-    """Links (a, b) between distinct lines; ``sets`` gives the different even hashes of column ``line``."""
-    members = stage(band_members(table, sets), "band-members")
-    texts = sketched(table, members, sets)
-    first = stage(members.where("lid <> rep").select(F.col("rep").alias("a"), F.col("lid").alias("b")).distinct(), "line-pairs")
-    links = stage(similar(first, texts, sets), "line-links")
-    tied = components(links, "a", "b")
-    known = members.join(tied.withColumnRenamed("node", "lid"), "lid", "left").withColumn("component", F.coalesce("component", "lid"))
-    split = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    rest = stage(known.join(split, "key", "left_semi").join(texts.select("lid", "n", "p"), "lid").select("key", "rep", "lid", "n", "p", "component"), "split-bands")
-    left, right = (rest.select(F.col("key").alias(f"key_{c}"), "rep" if c == "a" else "key", F.col("lid").alias(c), F.col("n").alias(f"n_{c}"), F.col("p").alias(f"p_{c}"), F.col("component").alias(f"c_{c}")) for c in ("a", "b"))
-    allowed = (F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & (F.col("a") != F.col("rep")) & may_be_similar()
-    second = left.join(right, (F.col("key_a") == F.col("key_b")) & allowed).select("a", "b").distinct()
-    more = stage(second.join(first, ["a", "b"], "left_anti"), "line-pairs")
-    if more.isEmpty():
+    rows = stage(placed.select("lid", F.explode(F.array_distinct(kinds)).alias("key")), "bands")
+    # counted inside the tasks first, and joined: a band of any size is a large key of a join, which adaptive execution splits
+    several = rows.groupBy("key").agg(F.min("lid").alias("rep"), F.max("lid").alias("last")).where("rep < last").select("key", "rep")
+    return stage(rows.join(stage(several, "band-firsts"), "key"), "band-members")
+
+
+def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Staged links (node_a, node_b): the pairs (a, b) of lids whose lines have a Jaccard similarity of ``LEAST`` or more.
+
+    A node is (doc, at, lid) of a line's first occurrence, so the smallest node of a component is the line to keep.
+    """
+    left, right = (texts.select(F.col("lid").alias(c), F.struct("doc", "at", "lid").alias(f"node_{c}"), F.col("line").alias(f"line_{c}")) for c in ("a", "b"))
+    both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(left, "a").join(right, "b")
+    full = both.select("node_a", "node_b", shingle_set(F.col("line_a")).alias("x"), shingle_set(F.col("line_b")).alias("y"))
+    shared = full.select("node_a", "node_b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("sizes"))
+    return stage(shared.where(F.col("common") >= LEAST * (F.col("sizes") - F.col("common"))).select("node_a", "node_b"), "line-links")
+
+
+def line_links(table: DataFrame) -> DataFrame:
+    """Links (node_a, node_b) between distinct lines, enough to tie all that are similar."""
+    members = band_members(table)
+    texts = stage(table.join(members.select("lid").distinct(), "lid", "left_semi").select("lid", "line", "doc", "at"), "candidate-lines")
+    links = similar(members.where("lid <> rep").select(F.col("rep").alias("a"), F.col("lid").alias("b")), texts)
+    tied = stage(components(links, "node_a", "node_b").select(F.col("node.lid").alias("lid"), F.col("component.lid").alias("component")), "first-components")
+
+    def tie(rows: DataFrame) -> DataFrame:
+        return rows.join(tied, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
+
+    known = tie(members)
+    bands = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("lines")).where("x < y").select("key", "lines")
+    left = stage(known.join(stage(bands, "split-bands"), "key").select("key", "lid", "component", "lines"), "lines-left")
+    if left.isEmpty():
         return links
-    return links.unionByName(stage(similar(more, texts, sets), "line-links"))
+    few = left.where(F.col("lines") <= DIRECT)
+    hashed = texts.join(few.select("lid").distinct(), "lid", "left_semi").select("lid", shingle_set(F.col("line")).alias("hashes"))
+    sketches = stage(hashed.select("lid", F.size("hashes").alias("n"), parities(F.col("hashes")).alias("p")), "sketches")
+    rows = stage(few.join(sketches, "lid"), "small-bands")
+    one, two = (rows.select(F.col("key").alias(f"key_{c}"), F.col("lid").alias(c), F.col("component").alias(f"c_{c}"), F.col("n").alias(f"n_{c}"), F.col("p").alias(f"p_{c}")) for c in ("a", "b"))
+    # the tests are part of the join's condition: pairs that fail them never become rows
+    direct = one.join(two, (F.col("key_a") == F.col("key_b")) & (F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & may_be_similar()).select("a", "b")
+    many = left.where(F.col("lines") > DIRECT).select("lid").distinct()
+    sets = texts.join(many, "lid", "left_semi").select("lid", shingle_set(F.col("line")).alias("hashes"))
+    crowded = prefix_pairs(sets.select("lid", F.size("hashes").alias("n"), F.explode("hashes").alias("element")), tie, round(100 * LEAST))
+    return links.unionByName(similar(direct.unionByName(crowded), texts))
 
 
 def line_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (d1, d2, doc, at): for each line digest that is repeated or has similar lines, the occurrence that stays."""
     table = distinct_lines(split_lines(docs, id_column, text))
-    tied = stage(components(line_links(table), "a", "b"), "line-components")
-    found = table.select("d1", "d2", "lid", "doc", "at", "times").join(tied.withColumnRenamed("node", "lid"), "lid", "left")
-    alone = found.where("component is null and times > 1").select("d1", "d2", F.struct("doc", "at").alias("first"))
-    grouped = found.where("component is not null")
-    firsts = grouped.groupBy("component").agg(F.min(F.struct("doc", "at")).alias("first"))
-    return stage(alone.unionByName(grouped.join(firsts, "component").select("d1", "d2", "first")).select("d1", "d2", "first.*"), "line-groups")
+    tied = components(line_links(table), "node_a", "node_b").select(F.col("node.lid").alias("lid"), F.col("component.doc").alias("first_doc"), F.col("component.at").alias("first_at"))
+    found = table.select("d1", "d2", "lid", "doc", "at", "times").join(tied, "lid", "left").where("first_at is not null or times > 1")
+    return stage(found.select("d1", "d2", F.coalesce("first_doc", "doc").alias("doc"), F.coalesce("first_at", "at").alias("at")), "line-groups")
 
 
 def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", count: str | None = "n_removed") -> DataFrame:
