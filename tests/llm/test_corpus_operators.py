@@ -122,7 +122,9 @@ def line_sets(line):
     return {line[i : i + 8] for i in range(len(line) - 7)} or {line}
 
 
-def test_line_dedup_equals_brute_force(spark):
+@pytest.mark.parametrize("direct", [1, 32])
+def test_line_dedup_equals_brute_force(spark, monkeypatch, direct):
+    monkeypatch.setattr(line_dedup, "DIRECT", direct)  # with 1, all bands that stay split go through the prefix filter
     rng = random.Random(4)
     base = [" ".join(words(rng, rng.randrange(3, 60))) for _ in range(50)]
     pool = base + [changed(rng, b, s) for b in base for s in (0.02, 0.05, 0.2)] + ["Short.", "x", "日本語の行です、とても長い行です", "日本語の行です、とても長い行でず"]
