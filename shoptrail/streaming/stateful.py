@@ -3,8 +3,8 @@
 * ``running_totals``: clicks per day, province, city and ad, as update-mode state. A day's state goes once the watermark has passed it.
 * ``minute_counts`` and ``sliding_hours``: event-time windows in append mode. Clicks are counted per minute first, and only these
   counts are put into the sixty windows that hold their minute.
-* ``ban_users``: one stateful processor per user, with the user's counts per day and ad in map state. A ban is emitted once; timers
-  delete the counts of days that the watermark has passed.
+* ``ban_users``: one stateful processor per user, with the user's counts per day and ad as one value. A ban is emitted once; a timer
+  deletes the counts of days that the watermark has passed.
 
 State lives in RocksDB, so it is bounded by disk and not by memory, and each batch writes only what it changed
 (changelog checkpoints). A query started again with its checkpoint goes on from the last batch that was committed.
@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -80,46 +80,67 @@ def sliding_hours(clicks: DataFrame, delay: str = DELAY, length: str = "60 minut
 
 
 class _Bans(StatefulProcessor):
-    """Counts one user's clicks per day and ad until one count is above the limit."""
+    """Counts one user's clicks per day and ad until one count is above the limit.
+
+    Each call to the state is a message between Python and the JVM, so what is known of a user is one value, read and
+    written once a batch, and one timer waits for the end of the first day in it.
+    """
 
     def __init__(self, above: int):
         self.above = above
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.counts = handle.getMapState("counts", "day long, adid long", "clicks long")
-        self.banned = handle.getValueState("banned", "day long")
+        # the day of the ban, or the clicks so far, least day first
+        self.user = handle.getValueState("user", "banned long, counts array<struct<day: long, adid: long, clicks: long>>")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self.banned.exists():
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = self.user.get()
+        if held and held[0] is not None:
             for _ in rows:  # a banned user's clicks count no more
                 pass
             return
-        new: dict[tuple[int, int], int] = {}
-        for some in rows:
-            for day, ad, clicks in zip(some["day"].tolist(), some["adid"].tolist(), some["clicks"].tolist(), strict=True):
-                new[day, ad] = new.get((day, ad), 0) + clicks
-        over = []
-        for place, clicks in new.items():
-            total = clicks + (self.counts.getValue(place)[0] if self.counts.containsKey(place) else 0)
-            if total > self.above:
-                over.append((place, total))
-            else:
-                self.counts.updateValue(place, (total,))
-                self.handle.registerTimer((place[0] + 1) * _DAY_MS)
+        before = held[1] if held else []
+        counts = {(day, ad): clicks for day, ad, clicks in before}
+        new = set()
+        for row in rows:
+            place = row["day"], row["adid"]
+            counts[place] = counts.get(place, 0) + row["clicks"]
+            new.add(place)
+        over = min((place for place in new if counts[place] > self.above), default=None)
         if over:
-            (day, ad), total = min(over)
-            self.banned.update((day,))
-            self.counts.clear()
-            yield pd.DataFrame({"userid": [key[0]], "adid": [ad], "clickCount": [total]})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """The day that ended at the timer can change no more."""
-        ended = expiredTimerInfo.getExpiryTimeInMs() // _DAY_MS
-        for place in [p for p in self.counts.keys() if p[0] < ended]:
-            self.counts.removeKey(place)
+            self._wait(before, [])
+            self.user.update((over[0], None))
+            yield Row(userid=key[0], adid=over[1], clickCount=counts[over])
+        else:
+            self._keep(before, sorted((*place, clicks) for place, clicks in counts.items()))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """The days that ended by the watermark can change no more."""
+        held = self.user.get()
+        if held and held[0] is None:
+            ended = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) // _DAY_MS
+            # the timer that expired is gone by itself
+            self._keep([], [tuple(c) for c in held[1] if c[0] >= ended])
         yield from ()
 
+    def _keep(self, before: list, counts: list[tuple[int, int, int]]) -> None:
+        self._wait(before, counts)
+        if counts:
+            self.user.update((None, counts))
+        else:
+            self.user.clear()
+
+    def _wait(self, before: list, counts: list) -> None:
+        """Moves the timer from the end of the first day of ``before`` to that of ``counts``."""
+        old, new = ((some[0][0] + 1) * _DAY_MS if some else None for some in (before, counts))
+        if old == new:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+        if new is not None:
+            self.handle.registerTimer(new)
+
     def close(self) -> None:
         pass
 
@@ -143,7 +164,7 @@ def ban_users(clicks: DataFrame, above: int = BAN_ABOVE_CLICKS, delay: str = DEL
     A batch counts whole, so a ban holds from the next one on.
     """
     counted = _combined(clicks).withWatermark("ts", delay)
-    return counted.groupBy("userid").transformWithStateInPandas(_Bans(above), "userid long, adid long, clickCount long", "Update", "EventTime")
+    return counted.groupBy("userid").transformWithState(_Bans(above), "userid long, adid long, clickCount long", "Update", "EventTime")
 
 
 def start(

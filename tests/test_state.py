@@ -158,6 +158,78 @@ def test_a_ban_comes_once_and_old_days_leave_the_state(spark, inbox, tmp_path):
     assert state[-1] < max(state)
 
 
+class CountedState:
+    """State of one user in memory, with the calls that reach it; each is a message to the JVM."""
+
+    def __init__(self):
+        self.calls, self.values, self.timers = 0, {}, set()
+
+    def getValueState(self, name, schema):
+        return CountedValue(self, name)
+
+    def getMapState(self, name, key, value):
+        return CountedMap(self)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+class CountedValue:
+    def __init__(self, state, name):
+        self.state, self.name = state, name
+
+    def get(self):
+        self.state.calls += 1
+        return self.state.values.get(self.name)
+
+    def exists(self):
+        return self.get() is not None
+
+    def update(self, value):
+        self.state.calls += 1
+        self.state.values[self.name] = value
+
+    def clear(self):
+        self.state.calls += 1
+        self.state.values.pop(self.name, None)
+
+
+class CountedMap:
+    def __init__(self, state):
+        self.state, self.held = state, {}
+
+    def containsKey(self, key):
+        self.state.calls += 1
+        return key in self.held
+
+    def updateValue(self, key, value):
+        self.state.calls += 1
+        self.held[key] = value
+
+
+def test_calls_to_the_state_do_not_grow_with_a_users_clicks():
+    state, passed, day_ms = CountedState(), type("Passed", (), {}), 24 * 3600 * 1000
+    bans = stateful._Bans(2)
+    bans.init(state)
+    clicks = [Row(userid=1, day=day, adid=ad, clicks=1) for day in range(40) for ad in range(5)]
+    assert list(bans.handleInputRows((1,), iter(clicks), None)) == [] and state.calls <= 4
+    # one timer waits for the first day's end; when the watermark has passed more days, they all go at once
+    passed.getCurrentWatermarkInMs = passed.getExpiryTimeInMs = staticmethod(lambda: 30 * day_ms)
+    assert state.timers == {day_ms}
+    state.timers.clear()
+    assert list(bans.handleExpiredTimer((1,), passed, passed)) == [] and state.calls <= 8
+    assert state.timers == {31 * day_ms}
+    # an earlier day that the watermark has not passed moves the timer; the counts of the other days are still there
+    assert list(bans.handleInputRows((1,), iter([Row(userid=1, day=29, adid=0, clicks=2)]), None)) == [] and state.timers == {30 * day_ms}
+    assert list(bans.handleInputRows((1,), iter([Row(userid=1, day=d, adid=4, clicks=2) for d in (35, 34)]), None)) == [Row(userid=1, adid=4, clickCount=3)]
+    assert state.timers == set() and list(bans.handleInputRows((1,), iter(clicks), None)) == []
+
+
 def test_a_query_stopped_between_batches_goes_on(spark, inbox, tmp_path):
     folder, add = inbox
     totals, sink = ProgressTotals(), Latest()
