@@ -6,8 +6,9 @@ r"""Line dedup: fuzzy equal lines are found over all texts, and one line of each
 3. A band is the hashes of a point. Lines that agree in one of seven bands are candidates. In each band's group the
    first line meets all others.
 4. In groups that this leaves in several components, lines of different components meet, if the group is small and bounds of
-   size and parity sketch allow the similarity. Lines of larger groups meet by the prefix filter: pairs that no common rare shingle
-   joins are too far apart, so a crowded band is never compared with itself.
+   size and parity sketch allow the similarity. In larger groups all lines meet two drawn ones first, others in each band, which
+   ties dense groups together; what is left in several components meets by the prefix filter and the same bounds: pairs that
+   no common rare shingle joins are too far apart, so a crowded band is never compared with itself.
    The Jaccard similarity of the full shingle sets of candidates is computed exactly; pairs of 0.8 or more are links.
 5. Union-find gives the components. The first line in order of document and place stays.
 
@@ -17,6 +18,8 @@ about J ** 3: of pairs with J = 0.8 seven bands find 99 %, of more similar ones
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,33 +33,37 @@ LEAST = 0.8
 #: Lines of fewer shingles than this meet in bands of two: among few hashes, points soon share their three.
 FEW = 32
 #: Longs of a parity sketch.
-SKETCH = 4
+SKETCH = 8
 #: Lines of a band up to which its components meet directly; of a larger one, by the prefix filter.
 DIRECT = 32
+#: Turns in which a larger band's lines meet one that is drawn, before the prefix filter.
+DRAWN = 2
 _POINTS = [((2 * i + 1 - BANDS) * (2**63 // BANDS)) | 1 for i in range(BANDS)]
 
 
 def shingle_set(line: Column) -> Column:
-    """The hashes of all different shingles of ``line``; a short line is one shingle. All are even.
+    """The hashes of all different shingles of ``line``; a short line is one shingle.
 
     Characters take four bytes each, so any place is found at once. The bytes are bound as the variable of an
     outer function: a column of binary type would be copied for each shingle.
     """
     wide = F.encode(line, "UTF-32")
-    last = lambda w: F.greatest(F.lit(0), F.octet_length(w) - 4 * SHINGLE)
-    each = lambda w: F.transform(F.sequence(F.lit(0), last(w), F.lit(4)), lambda i: F.xxhash64(F.substring(w, i + 1, F.lit(4 * SHINGLE))).bitwiseAND(F.lit(-2)))
+    last = lambda w: F.greatest(F.lit(1), F.octet_length(w) - (4 * SHINGLE - 1))
+    each = lambda w: F.transform(F.sequence(F.lit(1), last(w), F.lit(4)), lambda i: F.xxhash64(F.substring(w, i, F.lit(4 * SHINGLE))))
     return F.array_distinct(F.get(F.transform(F.array(wide), each), F.lit(0)))
 
 
-def parities(hashes: Column) -> Column:
-    """Bits, each the parity of the number of hashes that fall to it: sets that differ in d hashes differ in at most d bits."""
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 1).bitwiseAND(F.lit(63)).cast("int"))
-    part = lambda h: F.shiftright(h, 7).bitwiseAND(F.lit(SKETCH - 1))
-
-    def of(n: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: F.when(part(h) == n, a.bitwiseXOR(bit(h))).otherwise(a))
+def sketches(texts: DataFrame) -> DataFrame:
+    """Staged rows (lid, n, p): size and parity sketch of the lines' shingle sets.
 
-    return F.array(*map(of, range(SKETCH)))
+    A bit of the sketch is the parity of the number of hashes that fall to it: sets that differ in d hashes differ in at most d bits.
+    """
+    each = texts.select("lid", F.explode(shingle_set(F.col("line"))).alias("h"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("h", 1).bitwiseAND(F.lit(63)).cast("int"))
+    part = F.shiftright("h", 7).bitwiseAND(F.lit(SKETCH - 1))
+    parts = [F.bit_xor(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{i}") for i in range(SKETCH)]
+    summed = each.groupBy("lid").agg(F.count("*").alias("n"), *parts)
+    return stage(summed.select("lid", "n", F.array(*[f"p{i}" for i in range(SKETCH)]).alias("p")), "sketches")
 
 
 def may_be_similar() -> Column:
@@ -80,7 +87,7 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
 
 def band_members(table: DataFrame) -> DataFrame:
     """Staged rows (key, rep, lid) of the lines in bands of two lines or more; rep is a band's least lid."""
-    # hashes are even and points odd, so that a point's place among both tells how many hashes come before
+    # a point's first place among both tells how many hashes come before
     points = F.array(*[F.lit(p).cast("long") for p in _POINTS])
     hashed = table.select("lid", shingle_set(F.col("line")).alias("hashes"))
     placed = hashed.select("lid", F.sort_array("hashes").alias("hashes"), F.sort_array(F.concat("hashes", points)).alias("mixed"))
@@ -111,31 +118,52 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stage(shared.where(F.col("common") >= LEAST * (F.col("sizes") - F.col("common"))).select("node_a", "node_b"), "line-links")
 
 
-def line_links(table: DataFrame) -> DataFrame:
-    """Links (node_a, node_b) between distinct lines, enough to tie all that are similar."""
-    members = band_members(table)
-    texts = stage(table.join(members.select("lid").distinct(), "lid", "left_semi").select("lid", "line", "doc", "at"), "candidate-lines")
-    links = similar(members.where("lid <> rep").select(F.col("rep").alias("a"), F.col("lid").alias("b")), texts)
-    tied = stage(components(links, "node_a", "node_b").select(F.col("node.lid").alias("lid"), F.col("component.lid").alias("component")), "first-components")
+def split_bands(members: DataFrame, links: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Staged rows (key, lid, component, lines) of the bands that ``links`` leave in several components, and what adds the component to rows with a lid."""
+    tied = stage(components(links, "node_a", "node_b").select(F.col("node.lid").alias("lid"), F.col("component.lid").alias("component")), "line-components")
 
     def tie(rows: DataFrame) -> DataFrame:
         return rows.join(tied, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
 
-    known = tie(members)
+    known = tie(members.select("key", "lid"))
     bands = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("lines")).where("x < y").select("key", "lines")
-    left = stage(known.join(stage(bands, "split-bands"), "key").select("key", "lid", "component", "lines"), "lines-left")
+    return stage(known.join(stage(bands, "split-bands"), "key").select("key", "lid", "component", "lines"), "lines-left"), tie
+
+
+def ends(rows: DataFrame, columns: list[str]) -> list[DataFrame]:
+    """``rows`` as the two ends a and b of pairs: the lid named so, the other columns with that ending."""
+    return [rows.select(F.col("lid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in columns]) for c in ("a", "b")]
+
+
+def meet_drawn(left: DataFrame, known: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of a line drawn from each band, another one in each band and turn, with the band's lines in other components that may be similar."""
+    drawn = left.groupBy("key").agg(F.min_by(F.struct("lid", "component"), F.xxhash64(F.lit(turn), "key", "lid")).alias("d"))
+    drawn = stage(drawn.select("key", F.col("d.lid").alias("a"), F.col("d.component").alias("of")), "drawn-lines")
+    pairs = left.join(drawn, "key").where(F.col("component") != F.col("of")).select(F.least("a", "lid").alias("a"), F.greatest("a", "lid").alias("b")).distinct()
+    one, two = ends(known, ["n", "p"])
+    return pairs.join(one, "a").join(two, "b").where(may_be_similar()).select("a", "b")
+
+
+def line_links(table: DataFrame) -> DataFrame:
+    """Links (node_a, node_b) between distinct lines, enough to tie all that are similar."""
+    members = band_members(table)
+    texts = stage(table.join(members.select("lid").distinct(), "lid", "left_semi").select("lid", "line", "doc", "at"), "candidate-lines")
+    links = similar(members.where("lid <> rep").select(F.col("rep").alias("a"), F.col("lid").alias("b")), texts)
+    left, tie = split_bands(members, links)
     if left.isEmpty():
         return links
-    few = left.where(F.col("lines") <= DIRECT)
-    hashed = texts.join(few.select("lid").distinct(), "lid", "left_semi").select("lid", shingle_set(F.col("line")).alias("hashes"))
-    sketches = stage(hashed.select("lid", F.size("hashes").alias("n"), parities(F.col("hashes")).alias("p")), "sketches")
-    rows = stage(few.join(sketches, "lid"), "small-bands")
-    one, two = (rows.select(F.col("key").alias(f"key_{c}"), F.col("lid").alias(c), F.col("component").alias(f"c_{c}"), F.col("n").alias(f"n_{c}"), F.col("p").alias(f"p_{c}")) for c in ("a", "b"))
+    texts = stage(texts.join(left.select("lid").distinct(), "lid", "left_semi"), "lines-unsettled")
+    known = sketches(texts)
+    for turn in range(DRAWN):
+        links = links.unionByName(similar(meet_drawn(left.where(F.col("lines") > DIRECT), known, turn), texts))
+        left, tie = split_bands(left, links)
+    few = left.where(F.col("lines") <= DIRECT).select("lid", "key", F.col("component").alias("c")).join(known, "lid")
+    one, two = ends(stage(few, "small-bands"), ["key", "c", "n", "p"])
     # the tests are part of the join's condition: pairs that fail them never become rows
     direct = one.join(two, (F.col("key_a") == F.col("key_b")) & (F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & may_be_similar()).select("a", "b")
     many = left.where(F.col("lines") > DIRECT).select("lid").distinct()
     sets = texts.join(many, "lid", "left_semi").select("lid", shingle_set(F.col("line")).alias("hashes"))
-    crowded = prefix_pairs(sets.select("lid", F.size("hashes").alias("n"), F.explode("hashes").alias("element")), tie, round(100 * LEAST))
+    crowded = prefix_pairs(sets.select("lid", F.size("hashes").alias("n"), F.explode("hashes").alias("element")), tie, round(100 * LEAST), known, may_be_similar())
     return links.unionByName(similar(direct.unionByName(crowded), texts))
 
 

@@ -168,6 +168,29 @@ def test_bands_of_unlike_lines_lose_no_link(spark):
     assert len(kept ^ {*groups_of(len(lines), links)}) <= 2
 
 
+def test_near_copies_below_the_bound_do_not_become_pairs(spark, monkeypatch):
+    """A crowded band of near copies, most of them too far apart for a link: only pairs that are about similar are joined."""
+    rng = random.Random(8)
+    base = words(rng, 40)
+    lines = {" ".join(rng.choice(words(rng, 1)) if rng.random() < 0.06 else w for w in base) for _ in range(150)}
+    sets = [line_sets(x) for x in lines]
+    similarity = [len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(sets)) for j in range(i)]
+    joined, prefix_pairs = [], line_dedup.prefix_pairs
+
+    def counted(*args):
+        pairs = prefix_pairs(*args)
+        joined.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(line_dedup, "prefix_pairs", counted)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    kept = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.text}
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert kept == {*groups_of(len(sets), links)}
+    assert 0 < len(links) < len(similarity) / 4 and len(kept) > 10
+    assert joined[0][1] <= sum(s >= 0.7 for s in similarity)
+
+
 def pair_recall(spark, pairs):
     """The part of the pairs of lines, each of similarity 0.8 or more, of which line dedup leaves one."""
     for a, b in pairs:
