@@ -4,12 +4,11 @@ r"""Line dedup: fuzzy equal lines are found over all texts, and one line of each
 2. All of a line's character shingles are hashed and sorted. A signature holds minima: for each of seven fixed
    points, the least three hashes from there on (after the last comes the first); for lines of few shingles the least two.
 3. A band is the hashes of a point. Lines that agree in one of seven bands are candidates. In each band's group the
-   first line meets all others.
-4. In groups that this leaves in several components, lines of different components meet, if the group is small and bounds of
-   size and parity sketch allow the similarity. In larger groups all lines meet two drawn ones first, others in each band, which
-   ties dense groups together; what is left in several components meets by the prefix filter and the same bounds: pairs that
+   first line meets all others; pairs whose sizes and parity sketches rule the similarity out are dropped.
+   The Jaccard similarity of the full shingle sets of the others is computed exactly; pairs of 0.8 or more are links.
+4. In small groups lines without a link to the first one meet all others in the same way. In larger groups they
+   meet two drawn ones, others in each band. What this leaves in several components there meets by the prefix filter: pairs that
    no common rare shingle joins are too far apart, so a crowded band is never compared with itself.
-   The Jaccard similarity of the full shingle sets of candidates is computed exactly; pairs of 0.8 or more are links.
 5. Union-find gives the components. The first line in order of document and place stays.
 
 Two sets of similarity J have the same minimum with chance J, and agree in a band of three with
@@ -34,9 +33,9 @@ LEAST = 0.8
 FEW = 32
 #: Longs of a parity sketch.
 SKETCH = 8
-#: Lines of a band up to which its components meet directly; of a larger one, by the prefix filter.
+#: Lines of a band up to which those not linked to its first one meet all directly; of a larger one, by the prefix filter.
 DIRECT = 32
-#: Turns in which a larger band's lines meet one that is drawn, before the prefix filter.
+#: Lines drawn from a larger band that its others meet, before the prefix filter.
 DRAWN = 2
 _POINTS = [((2 * i + 1 - BANDS) * (2**63 // BANDS)) | 1 for i in range(BANDS)]
 
@@ -119,15 +118,15 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def split_bands(members: DataFrame, links: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
-    """Staged rows (key, lid, component, lines) of the bands that ``links`` leave in several components, and what adds the component to rows with a lid."""
+    """Staged rows (key, lid) of the bands that ``links`` leave in several components, and what adds the component to rows with a lid."""
     tied = stage(components(links, "node_a", "node_b").select(F.col("node.lid").alias("lid"), F.col("component.lid").alias("component")), "line-components")
 
     def tie(rows: DataFrame) -> DataFrame:
         return rows.join(tied, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
 
     known = tie(members.select("key", "lid"))
-    bands = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("lines")).where("x < y").select("key", "lines")
-    return stage(known.join(stage(bands, "split-bands"), "key").select("key", "lid", "component", "lines"), "lines-left"), tie
+    bands = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
+    return stage(members.select("key", "lid").join(bands, "key", "left_semi"), "lines-left"), tie
 
 
 def ends(rows: DataFrame, columns: list[str]) -> list[DataFrame]:
@@ -135,36 +134,50 @@ def ends(rows: DataFrame, columns: list[str]) -> list[DataFrame]:
     return [rows.select(F.col("lid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in columns]) for c in ("a", "b")]
 
 
-def meet_drawn(left: DataFrame, known: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of a line drawn from each band, another one in each band and turn, with the band's lines in other components that may be similar."""
-    drawn = left.groupBy("key").agg(F.min_by(F.struct("lid", "component"), F.xxhash64(F.lit(turn), "key", "lid")).alias("d"))
-    drawn = stage(drawn.select("key", F.col("d.lid").alias("a"), F.col("d.component").alias("of")), "drawn-lines")
-    pairs = left.join(drawn, "key").where(F.col("component") != F.col("of")).select(F.least("a", "lid").alias("a"), F.greatest("a", "lid").alias("b")).distinct()
+def hopeful(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b), each once, that may be similar by what is ``known`` of their lines."""
     one, two = ends(known, ["n", "p"])
-    return pairs.join(one, "a").join(two, "b").where(may_be_similar()).select("a", "b")
+    once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return once.join(one, "a").join(two, "b").where(may_be_similar()).select("a", "b")
+
+
+def unlinked(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Staged rows (key, lid, off, lines) of the bands that hold lines without a link to the first one (off), without that one; lines: how many it has."""
+    star = links.select(F.col("node_a.lid").alias("rep"), F.col("node_b.lid").alias("lid"), F.lit(False).alias("off"))
+    rows = members.where("lid <> rep").join(star, ["rep", "lid"], "left").select("key", "lid", F.coalesce("off", F.lit(True)).alias("off"))
+    bands = rows.groupBy("key").agg((F.count("*") + 1).alias("lines"), F.max("off").alias("any")).where("any and lines > 2").select("key", "lines")
+    return stage(rows.join(bands, "key"), "lines-unlinked")
+
+
+def meet_drawn(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of lines drawn from each band's unlinked ones, another in each turn, with the band's other lines."""
+    turns = [F.min_by("lid", F.xxhash64(F.lit(t), "key", "lid")).alias(f"d{t}") for t in range(DRAWN)]
+    drawn = rows.where("off").groupBy("key").agg(*turns).select("key", F.explode(F.array_distinct(F.array(*[f"d{t}" for t in range(DRAWN)]))).alias("a"))
+    return rows.join(drawn, "key").where("lid <> a").select("a", F.col("lid").alias("b"))
 
 
 def line_links(table: DataFrame) -> DataFrame:
     """Links (node_a, node_b) between distinct lines, enough to tie all that are similar."""
     members = band_members(table)
     texts = stage(table.join(members.select("lid").distinct(), "lid", "left_semi").select("lid", "line", "doc", "at"), "candidate-lines")
-    links = similar(members.where("lid <> rep").select(F.col("rep").alias("a"), F.col("lid").alias("b")), texts)
-    left, tie = split_bands(members, links)
-    if left.isEmpty():
-        return links
-    texts = stage(texts.join(left.select("lid").distinct(), "lid", "left_semi"), "lines-unsettled")
     known = sketches(texts)
-    for turn in range(DRAWN):
-        links = links.unionByName(similar(meet_drawn(left.where(F.col("lines") > DIRECT), known, turn), texts))
-        left, tie = split_bands(left, links)
-    few = left.where(F.col("lines") <= DIRECT).select("lid", "key", F.col("component").alias("c")).join(known, "lid")
-    one, two = ends(stage(few, "small-bands"), ["key", "c", "n", "p"])
+    links = similar(hopeful(members.where("lid <> rep").select(F.col("rep").alias("a"), F.col("lid").alias("b")), known), texts)
+    left = unlinked(members, links)
+    small = left.where(F.col("lines") <= DIRECT).join(known, "lid")
+    one, two = ends(small, ["key", "off", "n", "p"])
     # the tests are part of the join's condition: pairs that fail them never become rows
-    direct = one.join(two, (F.col("key_a") == F.col("key_b")) & (F.col("c_a") != F.col("c_b")) & (F.col("a") < F.col("b")) & may_be_similar()).select("a", "b")
-    many = left.where(F.col("lines") > DIRECT).select("lid").distinct()
-    sets = texts.join(many, "lid", "left_semi").select("lid", shingle_set(F.col("line")).alias("hashes"))
-    crowded = prefix_pairs(sets.select("lid", F.size("hashes").alias("n"), F.explode("hashes").alias("element")), tie, round(100 * LEAST), known, may_be_similar())
-    return links.unionByName(similar(direct.unionByName(crowded), texts))
+    met = (F.col("key_a") == F.col("key_b")) & F.col("off_a") & (F.col("a") != F.col("b")) & (~F.col("off_b") | (F.col("a") < F.col("b"))) & may_be_similar()
+    direct = one.join(two, met).select("a", "b")
+    crowd = left.where(F.col("lines") > DIRECT)
+    links = links.unionByName(similar(direct.unionByName(hopeful(meet_drawn(crowd), known)), texts))
+    if crowd.isEmpty():
+        return links
+    crowd, tie = split_bands(members.join(crowd.select("key").distinct(), "key", "left_semi"), links)
+    if crowd.isEmpty():
+        return links
+    sets = texts.join(crowd.select("lid").distinct(), "lid", "left_semi").select("lid", shingle_set(F.col("line")).alias("hashes"))
+    pairs = prefix_pairs(sets.select("lid", F.size("hashes").alias("n"), F.explode("hashes").alias("element")), tie, round(100 * LEAST), known, may_be_similar())
+    return links.unionByName(similar(pairs, texts))
 
 
 def line_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

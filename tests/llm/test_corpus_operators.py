@@ -191,6 +191,32 @@ def test_near_copies_below_the_bound_do_not_become_pairs(spark, monkeypatch):
     assert joined[0][1] <= sum(s >= 0.7 for s in similarity)
 
 
+def test_small_bands_are_settled_without_union_find_and_unlike_pairs_without_texts(spark, monkeypatch):
+    """One union-find for the result, and only pairs that are about similar are compared in full."""
+    rng = random.Random(14)
+    lines = []
+    for _ in range(8):
+        shared = " ".join(words(rng, 60))
+        for _ in range(3):
+            own = " ".join(words(rng, 50))
+            lines += [f"{shared} {own}", f"{shared} {changed(rng, own, 0.03)}"]
+    sets = [line_sets(x) for x in lines]
+    similarity = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(sets)) for j in range(i)}
+    links = [pair for pair, s in similarity.items() if s >= 0.8]
+    rounds, compared, similar = [], [], line_dedup.similar
+
+    def counted(pairs, texts):
+        compared.append(pairs.distinct().count())
+        return similar(pairs, texts)
+
+    monkeypatch.setattr(line_dedup, "similar", counted)
+    monkeypatch.setattr(line_dedup, "components", lambda *args: rounds.append(1) or components(*args))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    kept = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.text}
+    assert links and kept == {*groups_of(len(lines), links)}
+    assert len(rounds) == 1 and max(compared) <= sum(s >= 0.7 for s in similarity.values())
+
+
 def pair_recall(spark, pairs):
     """The part of the pairs of lines, each of similarity 0.8 or more, of which line dedup leaves one."""
     for a, b in pairs:
