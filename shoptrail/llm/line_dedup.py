@@ -1,9 +1,9 @@
 r"""Line dedup: fuzzy equal lines are found over all texts, and one line of each group stays.
 
-1. Lines (split at ``\n``; lower-cased, white space at the ends trimmed) are reduced to distinct ones and written once.
-2. All of a line's character shingles are hashed and sorted. A signature holds minima: for each of seven fixed
-   points, the least three hashes from there on (after the last comes the first); for lines of few shingles the least two.
-3. A band is the hashes of a point. Lines that agree in one of seven bands are candidates. In each band's group the
+1. Lines (split at ``\n``; lower-cased, white space at the ends trimmed) are numbered and written once.
+2. All of a line's character shingles are hashed, row by row in generated code, and fall into 21 bins. The least hash of each bin,
+   kept while equal lines are combined, is the signature; an empty bin takes that of the next one.
+3. A band is three bins, for lines of few shingles two. Lines that agree in one of seven bands (few: 21) are candidates. In each band's group the
    first line meets all others; pairs whose sizes and parity sketches rule the similarity out are dropped.
    The Jaccard similarity of the full shingle sets of the others is computed exactly; pairs of 0.8 or more are links.
 4. In small groups lines without a link to the first one meet all others in the same way. In larger groups they
@@ -28,28 +28,32 @@ from shoptrail.llm.prefix_filter import prefix_pairs
 
 SHINGLE = 8
 BANDS, ROWS = 7, 3
+BINS = BANDS * ROWS
 LEAST = 0.8
-#: Lines of fewer shingles than this meet in bands of two: among few hashes, points soon share their three.
-FEW = 32
+#: Lines with up to ``FEW`` bins of their own meet in bands of two, those with ``MANY`` or more in bands of three, those with ``TINY`` or less
+#: in twice as many bands of two: so few hashes soon stand in for each other.
+TINY, MANY, FEW = 6, 12, 16
 #: Longs of a parity sketch.
 SKETCH = 8
 #: Lines of a band up to which those not linked to its first one meet all directly; of a larger one, by the prefix filter.
 DIRECT = 32
 #: Lines drawn from a larger band that its others meet, before the prefix filter.
 DRAWN = 2
-_POINTS = [((2 * i + 1 - BANDS) * (2**63 // BANDS)) | 1 for i in range(BANDS)]
 
 
-def shingle_set(line: Column) -> Column:
-    """The hashes of all different shingles of ``line``; a short line is one shingle.
+def shingles(line: Column) -> Column:
+    """The hashes of all shingles of ``line``; a short line is one shingle.
 
     Characters take four bytes each, so any place is found at once. The bytes are bound as the variable of an
     outer function: a column of binary type would be copied for each shingle.
     """
-    wide = F.encode(line, "UTF-32")
-    last = lambda w: F.greatest(F.lit(1), F.octet_length(w) - (4 * SHINGLE - 1))
-    each = lambda w: F.transform(F.sequence(F.lit(1), last(w), F.lit(4)), lambda i: F.xxhash64(F.substring(w, i, F.lit(4 * SHINGLE))))
-    return F.array_distinct(F.get(F.transform(F.array(wide), each), F.lit(0)))
+    each = lambda w: F.transform(places(w), lambda i: F.xxhash64(F.substring(w, i, F.lit(4 * SHINGLE))))
+    return F.get(F.transform(F.array(F.encode(line, "UTF-32")), each), F.lit(0))
+
+
+def places(wide: Column) -> Column:
+    """Where the shingles of a line begin, whose characters take four bytes each."""
+    return F.sequence(F.lit(1), F.greatest(F.lit(1), F.octet_length(wide) - (4 * SHINGLE - 1)), F.lit(4))
 
 
 def sketches(texts: DataFrame) -> DataFrame:
@@ -57,12 +61,12 @@ def sketches(texts: DataFrame) -> DataFrame:
 
     A bit of the sketch is the parity of the number of hashes that fall to it: sets that differ in d hashes differ in at most d bits.
     """
-    each = texts.select("lid", F.explode(shingle_set(F.col("line"))).alias("h"))
+    each = texts.select("lid", F.explode(F.array_distinct(shingles(F.col("line")))).alias("h"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("h", 1).bitwiseAND(F.lit(63)).cast("int"))
-    part = F.shiftright("h", 7).bitwiseAND(F.lit(SKETCH - 1))
-    parts = [F.bit_xor(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{i}") for i in range(SKETCH)]
+    each = each.select("lid", bit.alias("bit"), F.shiftright("h", 7).bitwiseAND(F.lit(SKETCH - 1)).alias("part"))
+    parts = [F.expr(f"bit_xor(bit) FILTER (WHERE part = {i})").alias(f"p{i}") for i in range(SKETCH)]
     summed = each.groupBy("lid").agg(F.count("*").alias("n"), *parts)
-    return stage(summed.select("lid", "n", F.array(*[f"p{i}" for i in range(SKETCH)]).alias("p")), "sketches")
+    return stage(summed.select("lid", "n", F.array(*[F.coalesce(f"p{i}", F.lit(0).cast("long")) for i in range(SKETCH)]).alias("p")), "sketches")
 
 
 def may_be_similar() -> Column:
@@ -74,52 +78,68 @@ def may_be_similar() -> Column:
 def split_lines(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """Rows (doc, at, line, d1, d2) of the lines that hold anything but white space; d1, d2: their digest."""
     lines = docs.where(F.col(f"`{id_column}`").isNotNull()).select(F.col(f"`{id_column}`").alias("doc"), F.posexplode(F.split(F.col(f"`{text}`").cast("string"), "\n")).alias("at", "raw"))
-    lines = lines.select("doc", "at", F.lower(F.btrim("raw", F.lit(" \t\r\x0b\x0c"))).alias("line")).where("line <> ''")
-    return lines.select("*", F.xxhash64("line").alias("d1"), F.xxhash64(F.lit(1), "line").alias("d2"))
+    lines = lines.select("doc", "at", F.btrim("raw", F.lit(" \t\r\x0b\x0c")).alias("raw")).where("raw <> ''")
+    return lines.select("doc", "at", F.lower("raw").alias("line")).select("*", F.xxhash64("line").alias("d1"), F.xxhash64(F.lit(1), "line").alias("d2"))
+
+
+def occurrences(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """Staged rows (oid, doc, at, line, d1, d2): the lines of ``split_lines``, numbered."""
+    return stage(split_lines(docs, id_column, text).select(F.monotonically_increasing_id().alias("oid"), "*"), "occurrences")
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """Staged rows (d1, d2, lid, line, doc, at, times): each line once, numbered, with its first occurrence."""
-    once = lines.groupBy("d1", "d2").agg(F.first("line").alias("line"), F.min(F.struct("doc", "at")).alias("o"), F.count("*").alias("times"))
-    return stage(once.select("d1", "d2", F.monotonically_increasing_id().alias("lid"), "line", "o.doc", "o.at", "times"), "lines")
+    """Staged rows (d1, d2, lid, repeated, keys): each line once, with the least number of its occurrences and the keys of its bands.
+
+    Shingles are rows that only exist inside a task's generated code. No text is shuffled: minima are combined in the tasks, by digest.
+    """
+    wide = lines.select("oid", "d1", "d2", F.encode("line", "UTF-32").alias("w"))
+    each = wide.select("oid", "d1", "d2", "w", F.explode(places(F.col("w"))).alias("i"))
+    hashed = each.select("oid", "d1", "d2", F.xxhash64(F.substring("w", F.col("i"), F.lit(4 * SHINGLE))).alias("h"))
+    binned = hashed.withColumn("bin", F.col("h").bitwiseAND(F.lit(2**31 - 1)).cast("int") % BINS)
+    least = [F.expr(f"min(h) FILTER (WHERE bin = {b})").alias(f"m{b}") for b in range(BINS)]
+    once = binned.groupBy("d1", "d2").agg(F.min("oid").alias("lid"), F.max("oid").alias("last"), *least)
+    mask = sum((F.when(F.col(f"m{b}").isNull(), 0).otherwise(1 << b) for b in range(BINS)), F.lit(0))
+    known = ["d1", "d2", "lid", (F.col("lid") < F.col("last")).alias("repeated")]
+    held = once.select(*known, mask.alias("mask"), F.array(*[f"m{b}" for b in range(BINS)]).alias("bins"))
+    own = F.bit_count("mask")
+    held = held.select("d1", "d2", "lid", "repeated", "mask", own.alias("own"), F.when(own == BINS, F.col("bins")).otherwise(F.filter("bins", lambda h: h.isNotNull())).alias("hashes"))
+
+    def nth(band: Column) -> Column:
+        """The first own hash from a bin on: as many own ones lie before it as there are bits below in the mask."""
+        below = F.col("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1), band) - 1)
+        return F.get("hashes", F.bit_count(below) % F.col("own"))
+
+    def pairs(apart: int) -> Column:
+        both = lambda b: (nth(b), nth((b + apart) % BINS))
+        return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.xxhash64(F.lit(-1), F.least(*both(b)), F.greatest(*both(b))))
+
+    many = F.array(*[F.xxhash64(F.lit(b), *[nth(F.lit(b + r * BANDS)) for r in range(ROWS)]) for b in range(BANDS)])
+    # lines within LEAST of each other have one kind of bands in common
+    kinds = ((F.col("own") >= MANY, many), (F.col("own") <= FEW, pairs(BANDS)), (F.col("own") <= TINY, pairs(BANDS // 2 + 1)))
+    keys = F.concat(*[F.when(some, bands).otherwise(F.array().cast("array<bigint>")) for some, bands in kinds])
+    return stage(held.select("d1", "d2", "lid", "repeated", F.array_distinct(keys).alias("keys")), "lines")
 
 
 def band_members(table: DataFrame) -> DataFrame:
     """Staged rows (key, rep, lid) of the lines in bands of two lines or more; rep is a band's least lid."""
-    # a point's first place among both tells how many hashes come before
-    points = F.array(*[F.lit(p).cast("long") for p in _POINTS])
-    hashed = table.select("lid", shingle_set(F.col("line")).alias("hashes"))
-    placed = hashed.select("lid", F.sort_array("hashes").alias("hashes"), F.sort_array(F.concat("hashes", points)).alias("mixed"))
-    placed = placed.select("lid", "hashes", F.size("hashes").alias("n"), F.array(*[F.array_position("mixed", F.lit(p).cast("long")) - 1 - b for b, p in enumerate(_POINTS)]).alias("from"))
-
-    def nth(band: int, n: int) -> Column:
-        return F.get("hashes", F.pmod(F.get("from", F.lit(band)) + n, F.col("n")).cast("int"))
-
-    few = F.array(*[F.xxhash64(F.lit(-1 - b), *[nth(b, r) for r in range(ROWS - 1)]) for b in range(BANDS)])
-    many = F.array(*[F.xxhash64(F.lit(b), *[nth(b, r) for r in range(ROWS)]) for b in range(BANDS)])
-    # lines within LEAST of each other have one kind of bands in common
-    kinds = F.when(F.col("n") < FEW, few).when(F.col("n") * LEAST >= FEW, many).otherwise(F.concat(few, many))
-    rows = stage(placed.select("lid", F.explode(F.array_distinct(kinds)).alias("key")), "bands")
+    rows = table.select("lid", F.explode("keys").alias("key"))
     # counted inside the tasks first, and joined: a band of any size is a large key of a join, which adaptive execution splits
     several = rows.groupBy("key").agg(F.min("lid").alias("rep"), F.max("lid").alias("last")).where("rep < last").select("key", "rep")
     return stage(rows.join(stage(several, "band-firsts"), "key"), "band-members")
 
 
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Staged links (node_a, node_b): the pairs (a, b) of lids whose lines have a Jaccard similarity of ``LEAST`` or more.
-
-    A node is (doc, at, lid) of a line's first occurrence, so the smallest node of a component is the line to keep.
-    """
-    left, right = (texts.select(F.col("lid").alias(c), F.struct("doc", "at", "lid").alias(f"node_{c}"), F.col("line").alias(f"line_{c}")) for c in ("a", "b"))
-    both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(left, "a").join(right, "b")
-    full = both.select("node_a", "node_b", shingle_set(F.col("line_a")).alias("x"), shingle_set(F.col("line_b")).alias("y"))
-    shared = full.select("node_a", "node_b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("sizes"))
-    return stage(shared.where(F.col("common") >= LEAST * (F.col("sizes") - F.col("common"))).select("node_a", "node_b"), "line-links")
+    """Staged links (a, b), a < b: the pairs (a, b, sizes) of lids whose lines have a Jaccard similarity of ``LEAST`` or more; sizes: of both sets."""
+    left, right = ends(texts, ["line"])
+    both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sizes").distinct().join(left, "a").join(right, "b")
+    # an intersection holds each hash once, however often the lines do
+    shared = both.select("a", "b", "sizes", F.size(F.array_intersect(shingles(F.col("line_a")), shingles(F.col("line_b")))).alias("common"))
+    return stage(shared.where(F.col("common") >= LEAST * (F.col("sizes") - F.col("common"))).select("a", "b"), "line-links")
 
 
 def split_bands(members: DataFrame, links: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """Staged rows (key, lid) of the bands that ``links`` leave in several components, and what adds the component to rows with a lid."""
-    tied = stage(components(links, "node_a", "node_b").select(F.col("node.lid").alias("lid"), F.col("component.lid").alias("component")), "line-components")
+    tied = stage(components(links, "a", "b").withColumnRenamed("node", "lid"), "line-components")
 
     def tie(rows: DataFrame) -> DataFrame:
         return rows.join(tied, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
@@ -135,15 +155,15 @@ def ends(rows: DataFrame, columns: list[str]) -> list[DataFrame]:
 
 
 def hopeful(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b), each once, that may be similar by what is ``known`` of their lines."""
+    """Rows (a, b, sizes) of those pairs (a, b), each once, that may be similar by what is ``known`` of their lines; sizes: of both sets."""
     one, two = ends(known, ["n", "p"])
     once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return once.join(one, "a").join(two, "b").where(may_be_similar()).select("a", "b")
+    return once.join(one, "a").join(two, "b").where(may_be_similar()).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes"))
 
 
 def unlinked(members: DataFrame, links: DataFrame) -> DataFrame:
     """Staged rows (key, lid, off, lines) of the bands that hold lines without a link to the first one (off), without that one; lines: how many it has."""
-    star = links.select(F.col("node_a.lid").alias("rep"), F.col("node_b.lid").alias("lid"), F.lit(False).alias("off"))
+    star = links.select(F.col("a").alias("rep"), F.col("b").alias("lid"), F.lit(False).alias("off"))
     rows = members.where("lid <> rep").join(star, ["rep", "lid"], "left").select("key", "lid", F.coalesce("off", F.lit(True)).alias("off"))
     bands = rows.groupBy("key").agg((F.count("*") + 1).alias("lines"), F.max("off").alias("any")).where("any and lines > 2").select("key", "lines")
     return stage(rows.join(bands, "key"), "lines-unlinked")
@@ -156,10 +176,10 @@ def meet_drawn(rows: DataFrame) -> DataFrame:
     return rows.join(drawn, "key").where("lid <> a").select("a", F.col("lid").alias("b"))
 
 
-def line_links(table: DataFrame) -> DataFrame:
-    """Links (node_a, node_b) between distinct lines, enough to tie all that are similar."""
+def line_links(table: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between distinct lines, enough to tie all that are similar, and staged rows (lid, line, d1, d2) of all that may have one."""
     members = band_members(table)
-    texts = stage(table.join(members.select("lid").distinct(), "lid", "left_semi").select("lid", "line", "doc", "at"), "candidate-lines")
+    texts = stage(lines.withColumnRenamed("oid", "lid").join(members.select("lid").distinct(), "lid", "left_semi").select("lid", "line", "d1", "d2"), "candidate-lines")
     known = sketches(texts)
     links = similar(hopeful(members.where("lid <> rep").select(F.col("rep").alias("a"), F.col("lid").alias("b")), known), texts)
     left = unlinked(members, links)
@@ -167,25 +187,28 @@ def line_links(table: DataFrame) -> DataFrame:
     one, two = ends(small, ["key", "off", "n", "p"])
     # the tests are part of the join's condition: pairs that fail them never become rows
     met = (F.col("key_a") == F.col("key_b")) & F.col("off_a") & (F.col("a") != F.col("b")) & (~F.col("off_b") | (F.col("a") < F.col("b"))) & may_be_similar()
-    direct = one.join(two, met).select("a", "b")
+    direct = one.join(two, met).select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes"))
     crowd = left.where(F.col("lines") > DIRECT)
     links = links.unionByName(similar(direct.unionByName(hopeful(meet_drawn(crowd), known)), texts))
     if crowd.isEmpty():
-        return links
+        return links, texts
     crowd, tie = split_bands(members.join(crowd.select("key").distinct(), "key", "left_semi"), links)
     if crowd.isEmpty():
-        return links
-    sets = texts.join(crowd.select("lid").distinct(), "lid", "left_semi").select("lid", shingle_set(F.col("line")).alias("hashes"))
+        return links, texts
+    sets = texts.join(crowd.select("lid").distinct(), "lid", "left_semi").select("lid", F.array_distinct(shingles(F.col("line"))).alias("hashes"))
     pairs = prefix_pairs(sets.select("lid", F.size("hashes").alias("n"), F.explode("hashes").alias("element")), tie, round(100 * LEAST), known, may_be_similar())
-    return links.unionByName(similar(pairs, texts))
+    return links.unionByName(similar(hopeful(pairs, known), texts)), texts
 
 
-def line_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (d1, d2, doc, at): for each line digest that is repeated or has similar lines, the occurrence that stays."""
-    table = distinct_lines(split_lines(docs, id_column, text))
-    tied = components(line_links(table), "node_a", "node_b").select(F.col("node.lid").alias("lid"), F.col("component.doc").alias("first_doc"), F.col("component.at").alias("first_at"))
-    found = table.select("d1", "d2", "lid", "doc", "at", "times").join(tied, "lid", "left").where("first_at is not null or times > 1")
-    return stage(found.select("d1", "d2", F.coalesce("first_doc", "doc").alias("doc"), F.coalesce("first_at", "at").alias("at")), "line-groups")
+def grouped_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """Staged rows (doc, at, group): the occurrences of all lines that are repeated or have similar lines."""
+    lines = occurrences(docs, id_column, text)
+    table = distinct_lines(lines)
+    links, texts = line_links(table, lines)
+    tied = stage(components(links, "a", "b").select(F.col("node").alias("lid"), F.col("component").alias("group")), "line-components")
+    alone = table.where("repeated").join(tied, "lid", "left_anti").select("d1", "d2", F.col("lid").alias("group"))
+    groups = texts.select("lid", "d1", "d2").join(tied, "lid").select("d1", "d2", "group").unionByName(alone)
+    return stage(lines.select("doc", "at", "d1", "d2").join(groups, ["d1", "d2"]).select("doc", "at", "group"), "grouped-lines")
 
 
 def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", count: str | None = "n_removed") -> DataFrame:
@@ -195,10 +218,10 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     text whose lines all stand elsewhere becomes empty. Rows with one id count as one document: what
     is kept of one is kept of all. Rows without an id keep all their lines. Other columns pass through.
     """
-    groups = line_groups(docs, id_column, text)
-    lines = split_lines(docs, id_column, text).select("doc", F.col("at").alias("place"), "d1", "d2")
-    gone = lines.join(groups.withColumnRenamed("doc", "first_doc"), ["d1", "d2"]).where((F.col("doc") != F.col("first_doc")) | (F.col("place") != F.col("at")))
-    removed = gone.groupBy("doc").agg(F.collect_set("place").alias("__gone")).withColumnRenamed("doc", "__doc")
+    rows = grouped_lines(docs, id_column, text)
+    firsts = rows.groupBy("group").agg(F.min(F.struct("doc", "at")).alias("first"))
+    gone = rows.join(firsts, "group").where((F.col("doc") != F.col("first.doc")) | (F.col("at") != F.col("first.at")))
+    removed = gone.groupBy("doc").agg(F.collect_set("at").alias("__gone")).withColumnRenamed("doc", "__doc")
     joined = docs.join(removed, F.col(f"`{id_column}`") == F.col("__doc"), "left")
     kept = F.filter(F.split(F.col(f"`{text}`").cast("string"), "\n"), lambda line, i: ~F.array_contains("__gone", i))
     others = [F.when(F.col("__gone").isNull(), F.col(f"`{c}`")).otherwise(F.array_join(kept, "\n")).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]

@@ -2,6 +2,7 @@
 
 import random
 import re
+import sys
 
 import numpy as np
 import pytest
@@ -217,6 +218,27 @@ def test_small_bands_are_settled_without_union_find_and_unlike_pairs_without_tex
     assert len(rounds) == 1 and max(compared) <= sum(s >= 0.7 for s in similarity.values())
 
 
+def test_line_signatures_need_no_sorting_and_shuffle_no_text(spark, monkeypatch):
+    """All lines' shingles and the union-find go through hash aggregations of numbers, the former in generated code."""
+    plans, write = {}, line_dedup.stage
+
+    def planned(df, label):
+        plans[label] = df._jdf.queryExecution().sparkPlan().toString()
+        return write(df, label)
+
+    for module in (line_dedup, sys.modules[components.__module__]):
+        monkeypatch.setattr(module, "stage", planned)
+    rng = random.Random(15)
+    lines = [" ".join(words(rng, 30)) for _ in range(4)]
+    docs = spark.createDataFrame(list(enumerate([*lines, *(f"{x} end" for x in lines), "-" * 30, "-" * 900])), "doc_id long, text string")
+    kept = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.text}
+    assert kept == {0, 1, 2, 3, 8}  # the last two have one and the same shingle
+    assert {"lines", "edges"} <= plans.keys()
+    assert all("SortAggregate" not in plans[label] and "HashAggregate" in plans[label] for label in ("lines", "edges"))
+    first = next(x for x in plans["lines"].split("\n") if "HashAggregate" in x and "partial_min" in x)
+    assert "first(" not in plans["lines"] and "line#" not in first and "transform(" not in plans["lines"][plans["lines"].index(first) :]
+
+
 def pair_recall(spark, pairs):
     """The part of the pairs of lines, each of similarity 0.8 or more, of which line dedup leaves one."""
     for a, b in pairs:
