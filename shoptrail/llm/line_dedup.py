@@ -32,7 +32,7 @@ BINS = BANDS * ROWS
 LEAST = 0.8
 #: Lines with up to ``FEW`` bins of their own meet in bands of two, those with ``MANY`` or more in bands of three, those with ``TINY`` or less
 #: in twice as many bands of two: so few hashes soon stand in for each other.
-TINY, MANY, FEW = 6, 12, 16
+TINY, MANY, FEW = 6, 10, 13
 #: Longs of a parity sketch.
 SKETCH = 8
 #: Lines of a band up to which those not linked to its first one meet all directly; of a larger one, by the prefix filter.
@@ -56,12 +56,17 @@ def places(wide: Column) -> Column:
     return F.sequence(F.lit(1), F.greatest(F.lit(1), F.octet_length(wide) - (4 * SHINGLE - 1)), F.lit(4))
 
 
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """Rows (lid, hashes), to be exploded by ``explode_outer``: ``explode`` would test for empty sets first, and make each set twice."""
+    return texts.select("lid", F.array_distinct(shingles(F.col("line"))).alias("hashes"))
+
+
 def sketches(texts: DataFrame) -> DataFrame:
     """Staged rows (lid, n, p): size and parity sketch of the lines' shingle sets.
 
     A bit of the sketch is the parity of the number of hashes that fall to it: sets that differ in d hashes differ in at most d bits.
     """
-    each = texts.select("lid", F.explode(F.array_distinct(shingles(F.col("line")))).alias("h"))
+    each = shingle_sets(texts).select("lid", F.explode_outer("hashes").alias("h"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("h", 1).bitwiseAND(F.lit(63)).cast("int"))
     each = each.select("lid", bit.alias("bit"), F.shiftright("h", 7).bitwiseAND(F.lit(SKETCH - 1)).alias("part"))
     parts = [F.expr(f"bit_xor(bit) FILTER (WHERE part = {i})").alias(f"p{i}") for i in range(SKETCH)]
@@ -134,7 +139,8 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sizes").distinct().join(left, "a").join(right, "b")
     # an intersection holds each hash once, however often the lines do
     shared = both.select("a", "b", "sizes", F.size(F.array_intersect(shingles(F.col("line_a")), shingles(F.col("line_b")))).alias("common"))
-    return stage(shared.where(F.col("common") >= LEAST * (F.col("sizes") - F.col("common"))).select("a", "b"), "line-links")
+    percent = round(100 * LEAST)  # named once in the test, the intersection is made once
+    return stage(shared.where(F.col("common") * (100 + percent) >= F.col("sizes") * percent).select("a", "b"), "line-links")
 
 
 def split_bands(members: DataFrame, links: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
@@ -195,8 +201,8 @@ def line_links(table: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame
     crowd, tie = split_bands(members.join(crowd.select("key").distinct(), "key", "left_semi"), links)
     if crowd.isEmpty():
         return links, texts
-    sets = texts.join(crowd.select("lid").distinct(), "lid", "left_semi").select("lid", F.array_distinct(shingles(F.col("line"))).alias("hashes"))
-    pairs = prefix_pairs(sets.select("lid", F.size("hashes").alias("n"), F.explode("hashes").alias("element")), tie, round(100 * LEAST), known, may_be_similar())
+    sets = shingle_sets(texts.join(crowd.select("lid").distinct(), "lid", "left_semi"))
+    pairs = prefix_pairs(sets.select("lid", F.size("hashes").alias("n"), F.explode_outer("hashes").alias("element")), tie, round(100 * LEAST), known, may_be_similar())
     return links.unionByName(similar(hopeful(pairs, known), texts)), texts
 
 
